@@ -1 +1,575 @@
-ORACLES: dict[str, str] = {}
+"""The same results in SQL over the given tables, for checking.
+
+Written for DuckDB. Common table expressions shared by several queries are kept as named
+fragments and put together by :func:`_sql`. Left out are only queries whose result depends on
+iterative fitting, on Spark's internal hash or on the clock.
+"""
+
+from __future__ import annotations
+
+from opinara.catalog.queries import (
+    DEMO_INTERCEPT, DEMO_WEIGHTS, SAMPLE_FRACTION, SAMPLE_PER_CLASS, SAMPLE_ROWS,
+)
+from opinara.functions.ranks import RANK_SPAN
+from opinara.functions.stopwords import ENGLISH
+
+_BLANK = r"[ \t\n\x0B\f\r]"
+_RUN = r"[^ \t\n\x0B\f\r]+"
+_STOP = "[" + ", ".join("'" + word.replace("'", "''") + "'" for word in ENGLISH) + "]"
+
+
+def _rank(seed: str) -> str:
+    return f"('0x' || substr(md5('{seed}:' || doc_id::VARCHAR), 1, 15))::BIGINT"
+
+
+# Fragments: name -> (fragments it reads, body).
+_FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
+    "raw": (
+        (),
+        """SELECT doc_id, l.quality + 1 AS polarity, d.source AS title, d.text
+           FROM documents d JOIN labels l USING (doc_id)""",
+    ),
+    "reviews": (
+        ("raw",),
+        f"""SELECT doc_id, polarity, lower(title) AS title, lower(text) AS text,
+                   lower(title) || ' ' || lower(text) AS combined_text,
+                   CASE WHEN polarity = 1 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS label,
+                   CASE WHEN {_rank("split-42")} < {int(0.2 * RANK_SPAN)}
+                        THEN 'test' ELSE 'train' END AS split
+            FROM raw
+            WHERE doc_id IS NOT NULL AND polarity IS NOT NULL
+              AND title IS NOT NULL AND text IS NOT NULL""",
+    ),
+    "articles": (
+        (),
+        """SELECT doc_id, lower(source) AS title, lower(text) AS text,
+                  lower(source) || ' ' || lower(text) AS combined_text
+           FROM documents
+           WHERE doc_id IS NOT NULL AND source IS NOT NULL AND text IS NOT NULL""",
+    ),
+    "lengths": (
+        ("articles",),
+        f"""SELECT doc_id, length(combined_text)::INTEGER AS char_length,
+                   len(regexp_extract_all(combined_text, '{_RUN}'))::INTEGER AS word_count,
+                   length(title)::INTEGER AS title_len, length(text)::INTEGER AS text_len
+            FROM articles""",
+    ),
+    "rules": (
+        ("reviews",),
+        """SELECT *, CASE WHEN prob >= 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+           FROM (SELECT *, least(length(text), 3000) / 3000.0::DOUBLE AS prob FROM reviews)""",
+    ),
+    "scored": (
+        ("rules",),
+        """SELECT prob AS score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END)::DOUBLE AS pos,
+                  sum(CASE WHEN label = 0 THEN 1 ELSE 0 END)::DOUBLE AS neg
+           FROM rules GROUP BY prob""",
+    ),
+    "ranked": (
+        ("scored",),
+        """SELECT *, sum(pos) OVER (ORDER BY score DESC) AS pos_upto,
+                  sum(neg) OVER (ORDER BY score DESC) AS neg_upto,
+                  sum(pos) OVER () AS positives, sum(neg) OVER () AS negatives
+           FROM scored""",
+    ),
+    "article_tokens": (
+        ("articles",),
+        f"""SELECT doc_id, CASE WHEN body = '' AND combined_text <> '' THEN []::VARCHAR[]
+                   ELSE string_split_regex(body, '{_BLANK}') END AS tokens
+            FROM (SELECT *, regexp_replace(combined_text, '{_BLANK}+\\z', '') AS body
+                  FROM articles)""",
+    ),
+    "article_kept": (
+        ("article_tokens",),
+        f"""SELECT doc_id, list_filter(tokens, lambda t: NOT list_contains({_STOP}, t)) AS kept
+            FROM article_tokens""",
+    ),
+    "article_terms": (("article_kept",), "SELECT doc_id, unnest(kept) AS term FROM article_kept"),
+    "article_vocabulary": (
+        ("article_terms",),
+        """SELECT row_number() OVER (ORDER BY cnt DESC, term) - 1 AS idx, term, cnt, df
+           FROM (SELECT term, count(*) AS cnt, count(DISTINCT doc_id) AS df
+                 FROM article_terms GROUP BY term HAVING count(DISTINCT doc_id) >= 5
+                 ORDER BY cnt DESC, term LIMIT 65536)""",
+    ),
+    "article_bigrams": (
+        ("article_kept",),
+        """SELECT doc_id, CASE WHEN len(kept) >= 2
+                  THEN list_transform(range(1, len(kept)), lambda i: kept[i] || ' ' || kept[i + 1])
+                  ELSE []::VARCHAR[] END AS grams
+           FROM article_kept""",
+    ),
+    "review_terms": (
+        ("reviews",),
+        f"""SELECT doc_id, label, split, unnest(list_filter(
+                   CASE WHEN body = '' THEN []::VARCHAR[]
+                   ELSE string_split_regex(body, '{_BLANK}') END,
+                   lambda t: NOT list_contains({_STOP}, t))) AS term
+            FROM (SELECT *, regexp_replace(combined_text, '{_BLANK}+\\z', '') AS body FROM reviews)""",
+    ),
+    "nb_vocabulary": (
+        ("review_terms",),
+        """SELECT row_number() OVER (ORDER BY cnt DESC, term) - 1 AS idx, term
+           FROM (SELECT term, count(*) AS cnt FROM review_terms WHERE split = 'train'
+                 GROUP BY term HAVING count(DISTINCT doc_id) >= 5
+                 ORDER BY cnt DESC, term LIMIT 65536)""",
+    ),
+    "nb_cells": (
+        ("nb_vocabulary", "review_terms"),
+        """SELECT c.label, v.idx, v.term, coalesce(s.tf, 0) AS tf
+           FROM nb_vocabulary v
+           CROSS JOIN (SELECT unnest([0.0::DOUBLE, 1.0::DOUBLE]) AS label) c
+           LEFT JOIN (SELECT label, term, count(*) AS tf FROM review_terms
+                      WHERE split = 'train' GROUP BY label, term) s
+             ON s.label = c.label AND s.term = v.term""",
+    ),
+    "nb_priors": (
+        ("reviews",),
+        """SELECT label, ln(count(*) + 1.0) - ln(sum(count(*)) OVER () + 2.0) AS pi
+           FROM reviews WHERE split = 'train' GROUP BY label""",
+    ),
+    "nb_model": (
+        ("nb_cells", "nb_priors"),
+        """SELECT label, idx, term, tf, pi, ln(tf + 1.0::DOUBLE)
+                  - ln((sum(tf) OVER (PARTITION BY label) + count(*) OVER (PARTITION BY label))
+                       ::DOUBLE) AS theta
+           FROM nb_cells JOIN nb_priors USING (label)""",
+    ),
+    "nb_margin": (
+        ("nb_model",),
+        """SELECT term, sum(CASE WHEN label = 1 THEN theta ELSE -theta END) AS weight
+           FROM nb_model GROUP BY term""",
+    ),
+    "nb_intercept": (
+        ("nb_priors",),
+        "SELECT sum(CASE WHEN label = 1 THEN pi ELSE -pi END) AS intercept FROM nb_priors",
+    ),
+    "nb_scored": (
+        ("reviews", "review_terms", "nb_margin", "nb_intercept"),
+        """SELECT doc_id, label, split, combined_text,
+                  1.0 / (1.0 + exp(least(-margin, 700.0))) AS prob,
+                  CASE WHEN margin > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+           FROM (SELECT r.*, coalesce(e.evidence, 0.0) + i.intercept AS margin
+                 FROM reviews r CROSS JOIN nb_intercept i
+                 LEFT JOIN (SELECT doc_id, sum(weight) AS evidence
+                            FROM review_terms JOIN nb_margin USING (term) GROUP BY doc_id) e
+                   USING (doc_id))""",
+    ),
+    # The stream scores the text alone, without the title, of all documents.
+    "stream_terms": (
+        (),
+        f"""SELECT doc_id, unnest(string_split_regex(
+                   regexp_replace(lower(text), '{_BLANK}+\\z', ''), '{_BLANK}')) AS term
+            FROM documents WHERE len(regexp_extract_all(text, '{_RUN}')) > 0""",
+    ),
+    "stream_scored": (
+        ("stream_terms", "nb_margin", "nb_intercept"),
+        """SELECT doc_id, 1.0 / (1.0 + exp(least(-margin, 700.0))) AS prob, margin
+           FROM (SELECT doc_id, coalesce(sum(weight), 0.0) + any_value(intercept) AS margin
+                 FROM stream_terms LEFT JOIN nb_margin USING (term) CROSS JOIN nb_intercept
+                 GROUP BY doc_id)""",
+    ),
+    "rule_rows": (
+        ("reviews",),
+        """SELECT seq, model, feature_type, label, prob,
+                  CASE WHEN prob >= 0.5 THEN 1 ELSE 0 END AS prediction
+           FROM (SELECT 0 AS seq, 'long_text' AS model, 'characters' AS feature_type, label,
+                        least(length(text), 3000) / 3000.0::DOUBLE AS prob FROM reviews
+                 UNION ALL
+                 SELECT 1, 'long_text', 'words', label,
+                        least(len(string_split(text, ' ')), 500) / 500.0::DOUBLE FROM reviews
+                 UNION ALL
+                 SELECT 2, 'short_text', 'characters', label,
+                        1.0::DOUBLE - least(length(text), 3000) / 3000.0::DOUBLE FROM reviews)""",
+    ),
+    "rule_cells": (
+        ("rule_rows",),
+        """SELECT seq, model, feature_type,
+                  sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END)::DOUBLE AS tp,
+                  sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END)::DOUBLE AS fp,
+                  sum(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END)::DOUBLE AS tn,
+                  sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END)::DOUBLE AS fn
+           FROM rule_rows GROUP BY seq, model, feature_type""",
+    ),
+    "rule_auc": (
+        ("rule_rows",),
+        """SELECT seq, sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc
+           FROM (SELECT *, sum(neg) OVER (PARTITION BY seq ORDER BY prob) - neg AS below
+                 FROM (SELECT seq, prob,
+                              sum(CASE WHEN label = 1 THEN 1 ELSE 0 END)::DOUBLE AS pos,
+                              sum(CASE WHEN label = 0 THEN 1 ELSE 0 END)::DOUBLE AS neg
+                       FROM rule_rows GROUP BY seq, prob))
+           GROUP BY seq""",
+    ),
+}
+
+
+def _weighted(cells: str, keys: str = "") -> str:
+    """Accuracy and support-weighted precision, recall and F1 from tp, fp, tn, fn."""
+    return f"""SELECT {keys}
+        (tp + tn) / n AS accuracy,
+        (s1 * p1 + s0 * p0) / n AS precision,
+        (s1 * r1 + s0 * r0) / n AS recall,
+        (s1 * CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0 END
+         + s0 * CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0 END) / n AS f1
+        FROM (SELECT *, tp + fp + tn + fn AS n, tp + fn AS s1, tn + fp AS s0,
+                     CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS p1,
+                     CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS r1,
+                     CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0 END AS p0,
+                     CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0 END AS r0
+              FROM {cells})"""
+
+
+_FRAGMENTS["rule_metrics"] = (("rule_cells",), _weighted("rule_cells", "seq, model, feature_type,"))
+_FRAGMENTS["rule_runs"] = (
+    ("rule_metrics", "rule_auc"),
+    "SELECT * FROM rule_metrics JOIN rule_auc USING (seq)",
+)
+
+
+def _sql(body: str, *fragments: str) -> str:
+    """Prefix ``body`` with the named fragments and all they read, in order."""
+    ordered: list[str] = []
+
+    def add(name: str) -> None:
+        if name not in ordered:
+            for needed in _FRAGMENTS[name][0]:
+                add(needed)
+            ordered.append(name)
+
+    for name in fragments:
+        add(name)
+    ctes = ",\n".join(f"{name} AS ({_FRAGMENTS[name][1]})" for name in ordered)
+    return f"WITH {ctes}\n{body}" if ctes else body
+
+
+def _binned(source: str, by: str, value: str, bins: int, *fragments: str) -> str:
+    """Equal-width histogram of ``value`` per ``by`` over each series' own range."""
+    return _sql(
+        f"""SELECT {by}, f.bin::INTEGER AS bin,
+                   round(low + f.bin * ((high - low) / {bins}.0::DOUBLE), 6) AS bin_start,
+                   coalesce(b.cnt, 0)::BIGINT AS cnt
+            FROM (SELECT {by}, low, high, unnest(range({bins})) AS bin FROM spans) f
+            LEFT JOIN (SELECT {by}, least(floor((value - low)
+                              / ((high - low) / {bins}.0::DOUBLE)), {bins - 1}) AS bin,
+                              count(*) AS cnt
+                       FROM entries JOIN spans USING ({by}) GROUP BY ALL) b
+              USING ({by}, bin)""",
+        *fragments,
+    ).replace(
+        "\nSELECT",
+        f""",
+entries AS (SELECT {by}, ({value})::DOUBLE AS value FROM {source}),
+spans AS (SELECT {by}, CASE WHEN low = high THEN low - 0.5 ELSE low END AS low,
+                 CASE WHEN low = high THEN high + 0.5 ELSE high END AS high
+          FROM (SELECT {by}, min(value) AS low, max(value) AS high FROM entries GROUP BY {by}))
+SELECT""",
+        1,
+    )
+
+
+def _top_words(k: int) -> str:
+    return f"""SELECT label, word, count(*) AS cnt,
+        row_number() OVER (PARTITION BY label ORDER BY count(*) DESC, word)::INTEGER AS rank
+        FROM (SELECT label, unnest(regexp_extract_all(lower(combined_text),
+                     '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS word FROM reviews)
+        WHERE NOT list_contains({_STOP}, word)
+        GROUP BY label, word
+        QUALIFY row_number() OVER (PARTITION BY label ORDER BY count(*) DESC, word) <= {k}"""
+
+
+_METRIC_NAMES = ("accuracy", "precision", "recall", "f1", "auc")
+_ROUNDED = ", ".join(f"round({m}, 6) AS {m}" for m in _METRIC_NAMES)
+_BUCKETED = """SELECT bucket_no::INTEGER AS bucket_no, ['0-100', '100-300', '300-500', '500-1000', '1000+'][bucket_no + 1] AS length_bucket,
+    round(avg(hit), 6) AS accuracy, count(*) AS cnt
+    FROM (SELECT CASE WHEN label = prediction THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS hit,
+                 CASE WHEN length(combined_text) < 100 THEN 0 WHEN length(combined_text) < 300 THEN 1
+                      WHEN length(combined_text) < 500 THEN 2
+                      WHEN length(combined_text) < 1000 THEN 3 ELSE 4 END AS bucket_no
+          FROM {source})
+    GROUP BY bucket_no"""
+_NB_SCORED = "SELECT doc_id, label, prediction, round(prob, 6) AS prob FROM nb_scored"
+_DEMO = ", ".join(f"('{term}', {weight!r}::DOUBLE)" for term, weight in DEMO_WEIGHTS.items())
+
+
+def _errors(label: int, prediction: int, order: str) -> str:
+    return _sql(
+        f"""SELECT doc_id, round(prob, 6) AS confidence, substr(combined_text, 1, 300) AS preview
+            FROM rules WHERE label = {label} AND prediction = {prediction}
+            ORDER BY prob {order}, doc_id LIMIT 20""",
+        "rules",
+    )
+
+
+ORACLES: dict[str, str] = {
+    # Sources and sinks
+    "scan_parquet": "SELECT doc_id, source AS title, text FROM documents",
+    "scan_csv": _sql("SELECT polarity, title, text FROM raw", "raw"),
+    "conform_schema": _sql("SELECT doc_id, polarity, title, text FROM raw", "raw"),
+    "sink_roundtrip": _sql("SELECT doc_id, polarity, title, text FROM raw", "raw"),
+    "null_drop_counts": """SELECT count(*) AS rows_before,
+        count(CASE WHEN doc_id IS NOT NULL AND quality IS NOT NULL AND source IS NOT NULL
+                    AND text IS NOT NULL THEN 1 END) AS rows_after
+        FROM documents LEFT JOIN labels USING (doc_id)""",
+    "preview_rows": _sql("SELECT doc_id, polarity, title, text FROM raw ORDER BY doc_id LIMIT 5", "raw"),
+    # Projections and filters
+    "prep_reviews": _sql("SELECT doc_id, title, combined_text, label, split FROM reviews", "reviews"),
+    "label_map": """SELECT quality + toxic + 1 AS polarity,
+        CASE WHEN quality + toxic + 1 = 1 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS label,
+        count(*) AS cnt FROM labels GROUP BY ALL""",
+    "correct_flag": _sql(
+        "SELECT doc_id, CASE WHEN label = prediction THEN 1 ELSE 0 END AS is_correct FROM rules", "rules"
+    ),
+    "text_lengths": _sql("SELECT * FROM lengths", "lengths"),
+    "score_input_guard": f"""SELECT conv_id, turn, substr(text, 1, 512) AS model_input
+        FROM conversations WHERE len(regexp_extract_all(text, '{_RUN}')) > 0""",
+    "verdict": _sql(
+        """SELECT doc_id, CASE WHEN prediction = 1 THEN 'Positive' ELSE 'Negative' END AS sentiment,
+           round(greatest(prob, 1.0::DOUBLE - prob), 6) AS confidence FROM rules""",
+        "rules",
+    ),
+    # Sampling and splitting
+    "sample_fraction": _sql(
+        f"SELECT doc_id, title FROM articles WHERE {_rank('42')} < {int(SAMPLE_FRACTION * RANK_SPAN)}",
+        "articles",
+    ),
+    "sample_exact": _sql(
+        f"SELECT doc_id, title FROM articles ORDER BY {_rank('42')}, doc_id LIMIT {SAMPLE_ROWS}",
+        "articles",
+    ),
+    "sample_per_class": _sql(
+        f"""SELECT doc_id, label FROM reviews QUALIFY row_number() OVER
+            (PARTITION BY label ORDER BY {_rank('42')}, doc_id) <= {SAMPLE_PER_CLASS}""",
+        "reviews",
+    ),
+    "stratified_split": _sql(
+        f"""SELECT doc_id, label, CASE WHEN row_number() OVER
+                   (PARTITION BY label ORDER BY {_rank('42')}, doc_id)
+                   <= round(0.1::DOUBLE * count(*) OVER (PARTITION BY label))
+                   THEN 'validation' ELSE 'train' END AS part FROM reviews""",
+        "reviews",
+    ),
+    # Data profile
+    "split_counts": _sql("SELECT split, count(*) AS cnt FROM reviews GROUP BY split", "reviews"),
+    "class_distribution": _sql(
+        "SELECT split, label, count(*) AS cnt FROM reviews GROUP BY split, label", "reviews"
+    ),
+    "hist_char_length": _binned(
+        "(SELECT 'char_length' AS series, least(char_length, 3000) AS v FROM lengths)",
+        "series", "v", 100, "lengths",
+    ),
+    "hist_word_count": _binned(
+        "(SELECT 'word_count' AS series, least(word_count, 500) AS v FROM lengths)",
+        "series", "v", 100, "lengths",
+    ),
+    "hist_title_text": _binned(
+        """(SELECT 'title' AS series, least(title_len, 200) AS v FROM lengths
+            UNION ALL SELECT 'text', least(text_len, 3000) FROM lengths)""",
+        "series", "v", 50, "lengths",
+    ),
+    "length_density": _sql(
+        f""", words AS (SELECT label, least(len(regexp_extract_all(combined_text, '{_RUN}')), 500)
+                               ::DOUBLE AS v FROM reviews),
+            stats AS (SELECT label, count(*) AS n, stddev_samp(v) AS s, min(v) AS low, max(v) AS high
+                      FROM words GROUP BY label),
+            grid AS (SELECT label, pow(n, -0.2) * s AS h, n, point,
+                            low - 0.5 * (high - low) + point * (2.0 * (high - low) / 999.0) AS x
+                     FROM (SELECT *, unnest(range(1000)) AS point FROM stats))
+            SELECT label, point::INTEGER AS point, round(any_value(x), 6) AS x,
+                   round(sum(exp(-0.5 * pow((x - v) / h, 2))
+                         / (n * h * sqrt(2.0 * pi()))), 9) AS density
+            FROM grid JOIN words USING (label) GROUP BY label, point""",
+        "reviews",
+    ).replace("\n, words AS", ",\nwords AS", 1),
+    "top_words_by_class": _sql(_top_words(30), "reviews"),
+    "word_weights": _sql(
+        f"""SELECT label, word, cnt, rank,
+                   round(cnt / max(cnt) OVER (PARTITION BY label)::DOUBLE, 6) AS weight
+            FROM ({_top_words(200)})""",
+        "reviews",
+    ),
+    "length_summary": _sql(
+        """SELECT measure, count(*) AS count, round(avg(v), 1) AS mean,
+                  round(stddev_samp(v), 1) AS std, min(v) AS min,
+                  round(quantile_cont(v, 0.25), 1) AS p25, round(quantile_cont(v, 0.5), 1) AS p50,
+                  round(quantile_cont(v, 0.75), 1) AS p75, max(v) AS max
+           FROM (SELECT measure, v::DOUBLE AS v FROM lengths
+                 UNPIVOT (v FOR measure IN (char_length, word_count, title_len, text_len)))
+           GROUP BY measure""",
+        "lengths",
+    ),
+    # Evaluation
+    "metrics": _sql(
+        f"SELECT {_ROUNDED} FROM rule_runs WHERE seq = 0", "rule_runs"
+    ),
+    "auc_exact": _sql("SELECT round(auc, 6) AS auc FROM rule_auc WHERE seq = 0", "rule_auc"),
+    "confusion_matrix": _sql(
+        """SELECT l.label, p.prediction, count(r.doc_id) AS cnt
+           FROM (SELECT unnest([0.0::DOUBLE, 1.0::DOUBLE]) AS label) l
+           CROSS JOIN (SELECT unnest([0.0::DOUBLE, 1.0::DOUBLE]) AS prediction) p
+           LEFT JOIN rules r ON r.label = l.label AND r.prediction = p.prediction
+           GROUP BY l.label, p.prediction""",
+        "rules",
+    ),
+    "roc_points": _sql(
+        """SELECT NULL::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+           UNION ALL SELECT round(score, 6), round(neg_upto / negatives, 6),
+                            round(pos_upto / positives, 6) FROM ranked""",
+        "ranked",
+    ),
+    "pr_points": _sql(
+        """SELECT NULL::DOUBLE AS threshold, 1.0::DOUBLE AS precision, 0.0::DOUBLE AS recall
+           UNION ALL SELECT round(score, 6), round(pos_upto / (pos_upto + neg_upto), 6),
+                            round(pos_upto / positives, 6) FROM ranked""",
+        "ranked",
+    ),
+    "average_precision": _sql(
+        """SELECT round(sum((recall - before) * precision), 6) AS average_precision
+           FROM (SELECT recall, precision,
+                        coalesce(lag(recall) OVER (ORDER BY score DESC), 0.0) AS before
+                 FROM (SELECT score, pos_upto / positives AS recall,
+                              pos_upto / (pos_upto + neg_upto) AS precision FROM ranked))""",
+        "ranked",
+    ),
+    "error_overview": _sql(
+        """SELECT total, correct, total - correct AS incorrect,
+                  round(100.0::DOUBLE * correct / total, 6) AS correct_pct,
+                  round(100.0::DOUBLE * (total - correct) / total, 6) AS incorrect_pct
+           FROM (SELECT count(*) AS total,
+                        sum(CASE WHEN label = prediction THEN 1 ELSE 0 END)::BIGINT AS correct
+                 FROM rules)""",
+        "rules",
+    ),
+    "accuracy_by_length": _sql(_BUCKETED.format(source="rules"), "rules"),
+    "confidence_hist": _binned(
+        "(SELECT CASE WHEN label = prediction THEN 1 ELSE 0 END AS is_correct, prob FROM rules)",
+        "is_correct", "prob", 50, "rules",
+    ),
+    "top_false_positives": _errors(0, 1, "DESC"),
+    "top_false_negatives": _errors(1, 0, "ASC"),
+    # Features
+    "tokens": _sql(
+        """SELECT doc_id, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, '|') AS tokens
+           FROM article_tokens""",
+        "article_tokens",
+    ),
+    "tokens_filtered": _sql(
+        """SELECT doc_id, len(kept)::INTEGER AS n_tokens, array_to_string(kept, '|') AS tokens
+           FROM article_kept""",
+        "article_kept",
+    ),
+    "bigrams": _sql(
+        "SELECT doc_id, array_to_string(grams, '|') AS bigrams FROM article_bigrams", "article_bigrams"
+    ),
+    "vocabulary": _sql(
+        "SELECT idx::INTEGER AS idx, term, cnt, df FROM article_vocabulary", "article_vocabulary"
+    ),
+    "bigram_vocabulary": _sql(
+        """SELECT (row_number() OVER (ORDER BY cnt DESC, term) - 1)::INTEGER AS idx, term, cnt, df
+           FROM (SELECT term, count(*) AS cnt, count(DISTINCT doc_id) AS df
+                 FROM (SELECT doc_id, unnest(grams) AS term FROM article_bigrams)
+                 GROUP BY term HAVING count(DISTINCT doc_id) >= 5
+                 ORDER BY cnt DESC, term LIMIT 65536)""",
+        "article_bigrams",
+    ),
+    "term_counts": _sql(
+        """SELECT doc_id, idx::INTEGER AS idx, term, count(*) AS cnt
+           FROM article_terms JOIN (SELECT idx, term FROM article_vocabulary) USING (term)
+           GROUP BY doc_id, idx, term""",
+        "article_vocabulary",
+    ),
+    "tfidf_terms": _sql(
+        """SELECT doc_id, idx::INTEGER AS idx, term, tf, df,
+                  round(tf * ln((n + 1.0::DOUBLE) / (df + 1.0::DOUBLE)), 6) AS tfidf
+           FROM (SELECT doc_id, idx, term, df, count(*) AS tf
+                 FROM article_terms JOIN article_vocabulary USING (term)
+                 GROUP BY doc_id, idx, term, df)
+           CROSS JOIN (SELECT count(*) AS n FROM articles)""",
+        "article_vocabulary",
+    ),
+    "hashed_tf": _sql(
+        "SELECT count(*) AS n_docs, sum(len(kept))::BIGINT AS total_tf FROM article_kept", "article_kept"
+    ),
+    "features_count_vectorizer": _sql(
+        """SELECT idx::INTEGER AS slot, round(cnt / n::DOUBLE, 6) AS mean, df AS docs
+           FROM article_vocabulary CROSS JOIN (SELECT count(*) AS n FROM articles)""",
+        "article_vocabulary",
+    ),
+    # Models: naive Bayes has a closed form
+    "train_nb": _sql(
+        f""", test AS (SELECT * FROM nb_scored WHERE split = 'test'),
+            cells AS (SELECT
+                sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END)::DOUBLE AS tp,
+                sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END)::DOUBLE AS fp,
+                sum(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END)::DOUBLE AS tn,
+                sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END)::DOUBLE AS fn FROM test),
+            area AS (SELECT sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS auc
+                FROM (SELECT *, sum(neg) OVER (ORDER BY prob) - neg AS below
+                      FROM (SELECT prob, sum(label) AS pos, sum(1 - label) AS neg
+                            FROM test GROUP BY prob)))
+            SELECT {_ROUNDED} FROM ({_weighted("cells")}) CROSS JOIN area""",
+        "nb_scored",
+    ).replace("\n, test AS", ",\ntest AS", 1),
+    "score_batch": _sql(_NB_SCORED, "nb_scored"),
+    "model_roundtrip": _sql(_NB_SCORED, "nb_scored"),
+    "nb_predict": _sql(_NB_SCORED, "nb_scored"),
+    "nb_accuracy_by_length": _sql(_BUCKETED.format(source="nb_scored"), "nb_scored"),
+    "nb_weights": _sql(
+        """SELECT label, idx::INTEGER AS idx, term, tf, round(theta, 6) AS theta, round(pi, 6) AS pi
+           FROM nb_model""",
+        "nb_model",
+    ),
+    "score_with_weights": _sql(
+        f"""SELECT doc_id, round(margin, 6) AS margin, round(1.0 / (1.0 + exp(-margin)), 6) AS prob,
+                   CASE WHEN margin > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction
+            FROM (SELECT a.doc_id, coalesce(e.evidence, 0.0) + {DEMO_INTERCEPT!r}::DOUBLE AS margin
+                  FROM articles a
+                  LEFT JOIN (SELECT doc_id, sum(weight) AS evidence
+                             FROM article_terms JOIN (VALUES {_DEMO}) w(term, weight) USING (term)
+                             GROUP BY doc_id) e USING (doc_id))""",
+        "article_terms",
+    ),
+    # Run tables
+    "best_run": _sql(
+        """SELECT seq, model, feature_type, round(accuracy, 6) AS accuracy
+           FROM rule_metrics ORDER BY accuracy DESC, seq LIMIT 1""",
+        "rule_metrics",
+    ),
+    "run_comparison": _sql(
+        "SELECT model, feature_type, "
+        + ", ".join(f"format('{{:.4f}}', round({m}, 9)) AS {m}" for m in _METRIC_NAMES)
+        + ", '0.0s' AS training_time FROM rule_runs",
+        "rule_runs",
+    ),
+    "run_comparison_long": _sql(
+        """SELECT model || ' + ' || feature_type AS run, metric, round(value, 6) AS value
+           FROM rule_runs UNPIVOT (value FOR metric IN (accuracy, f1))""",
+        "rule_runs",
+    ),
+    "run_pivot": _sql(
+        """SELECT metric,
+                  round(max(CASE WHEN seq = 0 THEN value END), 6) AS "long_text + characters",
+                  round(max(CASE WHEN seq = 1 THEN value END), 6) AS "long_text + words",
+                  round(max(CASE WHEN seq = 2 THEN value END), 6) AS "short_text + characters"
+           FROM rule_runs UNPIVOT (value FOR metric IN (accuracy, precision, recall, f1, auc))
+           GROUP BY metric""",
+        "rule_runs",
+    ),
+    "runs_json": _sql(f"SELECT seq, model, feature_type, {_ROUNDED} FROM rule_runs", "rule_runs"),
+    "run_log": _sql(
+        """SELECT model || '_' || feature_type AS run_name, model AS model_name,
+                  '3000' AS max_chars, metric, round(value, 6) AS value
+           FROM (SELECT *, 0.0::DOUBLE AS training_time_seconds FROM rule_runs)
+           UNPIVOT (value FOR metric IN (accuracy, precision, recall, f1, auc, training_time_seconds))""",
+        "rule_runs",
+    ),
+    # Streaming
+    "score_stream": _sql(
+        """SELECT doc_id, CASE WHEN margin > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
+                  round(prob, 6) AS prob,
+                  CASE WHEN margin > 0 THEN 'Positive' ELSE 'Negative' END AS sentiment,
+                  round(greatest(prob, 1.0::DOUBLE - prob), 6) AS confidence
+           FROM stream_scored""",
+        "stream_scored",
+    ),
+}
