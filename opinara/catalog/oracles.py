@@ -99,6 +99,14 @@ _FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
                   ELSE []::VARCHAR[] END AS grams
            FROM article_kept""",
     ),
+    "bigram_vocabulary": (
+        ("article_bigrams",),
+        """SELECT row_number() OVER (ORDER BY cnt DESC, term) - 1 AS idx, term, cnt, df
+           FROM (SELECT term, count(*) AS cnt, count(DISTINCT doc_id) AS df
+                 FROM (SELECT doc_id, unnest(grams) AS term FROM article_bigrams)
+                 GROUP BY term HAVING count(DISTINCT doc_id) >= 5
+                 ORDER BY cnt DESC, term LIMIT 65536)""",
+    ),
     "review_terms": (
         ("reviews",),
         f"""SELECT doc_id, label, split, unnest(list_filter(
@@ -465,12 +473,7 @@ ORACLES: dict[str, str] = {
         "SELECT idx::INTEGER AS idx, term, cnt, df FROM article_vocabulary", "article_vocabulary"
     ),
     "bigram_vocabulary": _sql(
-        """SELECT (row_number() OVER (ORDER BY cnt DESC, term) - 1)::INTEGER AS idx, term, cnt, df
-           FROM (SELECT term, count(*) AS cnt, count(DISTINCT doc_id) AS df
-                 FROM (SELECT doc_id, unnest(grams) AS term FROM article_bigrams)
-                 GROUP BY term HAVING count(DISTINCT doc_id) >= 5
-                 ORDER BY cnt DESC, term LIMIT 65536)""",
-        "article_bigrams",
+        "SELECT idx::INTEGER AS idx, term, cnt, df FROM bigram_vocabulary", "bigram_vocabulary"
     ),
     "term_counts": _sql(
         """SELECT doc_id, idx::INTEGER AS idx, term, count(*) AS cnt
@@ -495,6 +498,11 @@ ORACLES: dict[str, str] = {
            FROM article_vocabulary CROSS JOIN (SELECT count(*) AS n FROM articles)""",
         "article_vocabulary",
     ),
+    "features_ngram_cv": _sql(
+        """SELECT idx::INTEGER AS slot, round(cnt / n::DOUBLE, 6) AS mean, df AS docs
+           FROM bigram_vocabulary CROSS JOIN (SELECT count(*) AS n FROM articles)""",
+        "bigram_vocabulary", "articles",
+    ),
     # Models: naive Bayes has a closed form
     "train_nb": _sql(
         f""", test AS (SELECT * FROM nb_scored WHERE split = 'test'),

@@ -33,7 +33,7 @@ QUERIES: dict[str, Query] = {}
 
 SAMPLE_FRACTION, SAMPLE_ROWS, SAMPLE_PER_CLASS = 0.1, 250, 40
 # Terms and weights of a hand-made linear model, and its intercept.
-DEMO_WEIGHTS = {"the": 0.02, "and": -0.015, "that": 0.05, "der": -0.1, "que": 0.075, "les": -0.03}
+DEMO_WEIGHTS = {"de": 0.02, "la": -0.015, "the.": 0.05, "der": -0.1, "que": 0.075, "orre": -0.03}
 DEMO_INTERCEPT = -0.25
 
 
@@ -191,12 +191,12 @@ def length_density(spark, sf_dir):
 
 @query
 def top_words_by_class(spark, sf_dir):
-    return words.top_words(reviews(spark, sf_dir))
+    return words.top_words(reviews(spark, sf_dir, heavy=True))
 
 
 @query
 def word_weights(spark, sf_dir):
-    return rounded(words.word_weights(reviews(spark, sf_dir)), "weight")
+    return rounded(words.word_weights(reviews(spark, sf_dir, heavy=True)), "weight")
 
 
 @query
@@ -271,7 +271,7 @@ def top_false_negatives(spark, sf_dir):
 
 @query
 def tokens(spark, sf_dir):
-    split = PipelineModel(stages=text_stages()).transform(articles(spark, sf_dir))
+    split = PipelineModel(stages=text_stages()).transform(articles(spark, sf_dir, heavy=True))
     return split.select(
         KEY, F.size("tokens").alias("n_tokens"), F.array_join("tokens", "|").alias("tokens")
     )
@@ -279,14 +279,14 @@ def tokens(spark, sf_dir):
 
 @query
 def tokens_filtered(spark, sf_dir):
-    split = PipelineModel(stages=text_stages()).transform(articles(spark, sf_dir))
+    split = PipelineModel(stages=text_stages()).transform(articles(spark, sf_dir, heavy=True))
     kept = F.col("filtered_tokens")
     return split.select(KEY, F.size(kept).alias("n_tokens"), F.array_join(kept, "|").alias("tokens"))
 
 
 @query
 def bigrams(spark, sf_dir):
-    split = with_tokens(articles(spark, sf_dir))
+    split = with_tokens(articles(spark, sf_dir, heavy=True))
     return split.select(
         KEY, F.array_join(ngrams(F.col("filtered_tokens")), "|").alias("bigrams")
     )
@@ -294,22 +294,22 @@ def bigrams(spark, sf_dir):
 
 @query
 def vocabulary_(spark, sf_dir):
-    return vocabulary(with_tokens(articles(spark, sf_dir)))
+    return vocabulary(with_tokens(articles(spark, sf_dir, heavy=True)))
 
 
 @query
 def bigram_vocabulary(spark, sf_dir):
-    return vocabulary(with_tokens(articles(spark, sf_dir)), ngrams(F.col("filtered_tokens")))
+    return vocabulary(with_tokens(articles(spark, sf_dir, heavy=True)), ngrams(F.col("filtered_tokens")))
 
 
 @query
 def term_counts_(spark, sf_dir):
-    return term_counts(with_tokens(articles(spark, sf_dir)), KEY)
+    return term_counts(with_tokens(articles(spark, sf_dir, heavy=True)), KEY)
 
 
 @query
 def tfidf_terms(spark, sf_dir):
-    return rounded(tfidf(with_tokens(articles(spark, sf_dir)), KEY), "tfidf")
+    return rounded(tfidf(with_tokens(articles(spark, sf_dir, heavy=True)), KEY), "tfidf")
 
 
 def _slots(vectors: DataFrame, column: str) -> DataFrame:
@@ -327,7 +327,7 @@ def _slots(vectors: DataFrame, column: str) -> DataFrame:
 @query
 def hashed_tf(spark, sf_dir):
     """Counts in hashed slots add up to the number of tokens, whatever the hash."""
-    text = PipelineModel(stages=text_stages()).transform(articles(spark, sf_dir))
+    text = PipelineModel(stages=text_stages()).transform(articles(spark, sf_dir, heavy=True))
     hashing = weighting_stages("tfidf")[0]
     total = Summarizer.metrics("sum").summary(F.col(HASHED))
     summed = hashing.transform(text).agg(F.count(F.lit(1)).alias("n_docs"), total.alias("s"))
@@ -336,7 +336,7 @@ def hashed_tf(spark, sf_dir):
 
 
 def _fitted_features(spark, sf_dir, feature_type) -> DataFrame:
-    vectors = PipelineModel(stages=text_stages()).transform(articles(spark, sf_dir))
+    vectors = PipelineModel(stages=text_stages()).transform(articles(spark, sf_dir, heavy=True))
     for stage in weighting_stages(feature_type):
         stage = stage.fit(vectors) if hasattr(stage, "fit") else stage
         vectors = stage.transform(vectors)
@@ -404,20 +404,20 @@ def train_gbt(spark, sf_dir):
 @query
 def score_batch(spark, sf_dir):
     model = _fit(spark, sf_dir, "naive_bayes")
-    return rounded(score(model, reviews(spark, sf_dir), KEY, "label"), "prob")
+    return rounded(score(model, reviews(spark, sf_dir, heavy=True), KEY, "label"), "prob")
 
 
 @query
 def model_roundtrip(spark, sf_dir):
     path = save_model(_fit(spark, sf_dir, "naive_bayes"), fresh_path(spark, "model"))
-    return rounded(score(load_model(path), reviews(spark, sf_dir), KEY, "label"), "prob")
+    return rounded(score(load_model(path), reviews(spark, sf_dir, heavy=True), KEY, "label"), "prob")
 
 
 @query
 def nb_accuracy_by_length(spark, sf_dir):
     """Fit, score and break down: the whole way from raw tables to the error analysis."""
     predictions = score(
-        _fit(spark, sf_dir, "naive_bayes"), reviews(spark, sf_dir), "label", "combined_text"
+        _fit(spark, sf_dir, "naive_bayes"), reviews(spark, sf_dir, heavy=True), "label", "combined_text"
     )
     return rounded(evaluation.accuracy_by_length(predictions), "accuracy")
 
@@ -434,7 +434,7 @@ def nb_predict(spark, sf_dir):
     train, _ = train_and_test(spark, sf_dir)
     margin = weights.naive_bayes_margin(weights.naive_bayes_weights(with_tokens(train)))
     scored = weights.score_with_weights(
-        with_tokens(reviews(spark, sf_dir)), margin, KEY, carry=("label",)
+        with_tokens(reviews(spark, sf_dir, heavy=True)), margin, KEY, carry=("label",)
     )
     return rounded(scored.select(KEY, "label", "prediction", "prob"), "prob")
 
@@ -449,8 +449,8 @@ def score_with_weights(spark, sf_dir):
     demo = weights.weights_of(
         spark, list(DEMO_WEIGHTS), list(DEMO_WEIGHTS.values()), DEMO_INTERCEPT
     )
-    docs = with_tokens(articles(spark, sf_dir))
-    scored = weights.score_with_weights(docs, demo, KEY, "tokens", terms=len(DEMO_WEIGHTS))
+    docs = with_tokens(articles(spark, sf_dir, heavy=True))
+    scored = weights.score_with_weights(docs, demo, KEY, terms=len(DEMO_WEIGHTS))
     return rounded(scored, "margin", "prob")
 
 

@@ -8,7 +8,7 @@ from opinara.functions.text import without_stop_words, tokens
 from opinara.operators.metrics import classification_metrics
 from opinara.operators.prep import drop_nulls, prepare, prepare_text, with_split
 from opinara.operators.runs import RUNS_SCHEMA
-from opinara.sources.reviews import read_reviews
+from opinara.sources.reviews import read_reviews, spread
 
 KEY = "doc_id"
 RULE_CHARS, RULE_WORDS = 3000, 500
@@ -21,36 +21,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def upstream_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents in the upstream layout: ``label`` 0/1, ``title``, ``content``."""
-    documents = table(spark, sf_dir, "documents").select(
-        KEY, F.col("source").alias("title"), F.col("text").alias("content")
-    )
     labels = table(spark, sf_dir, "labels").select(KEY, F.col("quality").cast("bigint").alias("label"))
-    return documents.join(labels, KEY)
+    return documents(spark, sf_dir).withColumnRenamed("text", "content").join(labels, KEY)
+
 
+def documents(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """Key, title and text of all documents; ``heavy`` prepares for costly text work."""
+    scan = table(spark, sf_dir, "documents").select(KEY, F.col("source").alias("title"), "text")
+    return spread(scan, KEY) if heavy else scan
 
-def raw_reviews(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
+
+def raw_reviews(
+    spark: SparkSession, sf_dir: str, how: str = "inner", heavy: bool = False
+) -> DataFrame:
     """Key, polarity, title and text; ``how="left"`` keeps unlabelled documents."""
-    documents = table(spark, sf_dir, "documents").select(
-        KEY, F.col("source").alias("title"), "text"
-    )
     labels = table(spark, sf_dir, "labels").select(KEY, (F.col("quality") + 1).alias("polarity"))
-    return documents.join(labels, KEY, how).select(KEY, "polarity", "title", "text")
+    rows = documents(spark, sf_dir, heavy).join(labels, KEY, how)
+    return rows.select(KEY, "polarity", "title", "text")
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """Prepared labelled reviews with their split."""
-    return with_split(prepare(raw_reviews(spark, sf_dir)), KEY)
+    return with_split(prepare(raw_reviews(spark, sf_dir, heavy=heavy)), KEY)
 
 
 def train_and_test(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    whole = reviews(spark, sf_dir)
+    whole = reviews(spark, sf_dir, heavy=True)
     return whole.filter(F.col("split") == "train"), whole.filter(F.col("split") == "test")
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+def articles(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
     """All documents, labelled or not, prepared."""
-    documents = table(spark, sf_dir, "documents")
-    return prepare_text(drop_nulls(documents.select(KEY, F.col("source").alias("title"), "text")))
+    return prepare_text(drop_nulls(documents(spark, sf_dir, heavy)))
 
 
 def with_tokens(df: DataFrame) -> DataFrame:

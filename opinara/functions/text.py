@@ -8,6 +8,7 @@ from opinara.functions.stopwords import ENGLISH
 
 # One blank, as the ML tokenizer sees it; spelled out because engines disagree on \s.
 BLANK = r"[ \t\n\x0B\f\r]"
+BLANKS = " \t\n\x0b\f\r"
 NON_BLANK_RUN = r"[^ \t\n\x0B\f\r]+"
 # A word of two or more word characters in any script.
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -61,7 +62,7 @@ def tokens(text: Column) -> Column:
     The empty string gives one empty token, an all-blank one gives none.
     """
     lowered = F.lower(text)
-    body = F.regexp_replace(lowered, BLANK + r"+\z", "")
+    body = F.rtrim(lowered, F.lit(BLANKS))
     return F.when(
         (body == "") & (lowered != ""), F.array().cast("array<string>")
     ).otherwise(F.split(body, BLANK))

@@ -10,6 +10,16 @@ from opinara.settings import REVIEW_SCHEMA, SourceSettings
 ROWS_PER_FILE = 1_000_000
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Let every core work on a table that arrives in fewer splits than there are cores.
+
+    For plain scans ahead of costly text work. A table of many splits, as any large one is,
+    stays as it is; only one in few files (or in unsplittable ones) is redistributed by key.
+    """
+    wanted = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted, key)
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
