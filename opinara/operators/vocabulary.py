@@ -11,15 +11,18 @@ DEFAULTS = FeatureSettings()
 BROADCAST_TERMS = 1 << 18
 
 
-def term_stats(df: DataFrame, pieces: Column | str) -> DataFrame:
-    """Occurrences ``cnt`` and documents ``df`` per term.
+def term_stats(
+    df: DataFrame, pieces: Column | str, by: str | None = None, levels: tuple = ()
+) -> DataFrame:
+    """Occurrences ``cnt`` and documents ``df`` per term, and ``cnt_<i>`` per level of ``by``.
 
-    Both come from one scan: every occurrence and every first occurrence is emitted, and the
+    All come from one scan: every occurrence and every first occurrence is emitted, and the
     sums are combined per task, so frequent terms do not burden a single reducer.
     """
     pieces = F.col(pieces) if isinstance(pieces, str) else pieces
+    kept = [F.col(by).alias("level")] if by else []
     # Its own projection, so that the array is computed once for both uses below.
-    rows = df.select(pieces.alias("pieces"))
+    rows = df.select(pieces.alias("pieces"), *kept)
 
     def emit(array: Column, cnt: int, docs: int) -> Column:
         return F.transform(
@@ -30,10 +33,14 @@ def term_stats(df: DataFrame, pieces: Column | str) -> DataFrame:
         )
 
     both = F.concat(emit(F.col("pieces"), 1, 0), emit(F.array_distinct("pieces"), 0, 1))
+    per_level = [
+        F.sum(F.when(F.col("level") == level, F.col("cnt")).otherwise(0)).alias(f"cnt_{i}")
+        for i, level in enumerate(levels)
+    ]
     return (
-        rows.select(F.inline(both))
+        rows.select(*(["level"] if by else []), F.inline(both))
         .groupBy("term")
-        .agg(F.sum("cnt").alias("cnt"), F.sum("df").alias("df"))
+        .agg(F.sum("cnt").alias("cnt"), F.sum("df").alias("df"), *per_level)
     )
 
 
@@ -61,7 +68,7 @@ def most_frequent(terms: DataFrame, size: int) -> DataFrame:
         .limit(size)
     )
     number = F.row_number().over(Window.orderBy(F.desc("cnt"), "term")) - 1
-    return top.select(number.alias("idx"), "term", "cnt", "df")
+    return top.select(number.alias("idx"), *terms.columns)
 
 
 def vocabulary(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from opinara.operators.vocabulary import BROADCAST_TERMS, small, vocabulary
+from opinara.operators.vocabulary import BROADCAST_TERMS, most_frequent, small, term_stats
+from opinara.session import materialize
 from opinara.settings import FeatureSettings
 
 WEIGHTS_SCHEMA = StructType(
@@ -23,41 +24,30 @@ def naive_bayes_weights(
     df: DataFrame, pieces: str = "filtered_tokens", label: str = "label",
     settings: FeatureSettings = FeatureSettings(), smoothing: float = 1.0,
 ) -> DataFrame:
-    """Log prior ``pi`` and log likelihood ``theta`` per class and vocabulary term."""
-    size = settings.vocab_size
-    known = vocabulary(df, pieces, size, settings.min_df).select("term", "idx")
-    seen = (
-        df.select(label, F.explode(pieces).alias("term"))
-        .join(small(known, size), "term")
-        .groupBy(label, "idx")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    """Log prior ``pi`` and log likelihood ``theta`` per class and vocabulary term.
+
+    A fit, so it runs at once: one pass counts terms per class, and the result, two rows per
+    vocabulary term, is written to the shared folder.
+    """
+    terms = term_stats(df, pieces, label, CLASSES).filter(F.col("df") >= F.lit(settings.min_df))
+    known = most_frequent(terms, settings.vocab_size)
+    per_class = F.array(
+        *[
+            F.struct(F.lit(c).alias("label"), F.col(f"cnt_{i}").alias("tf"))
+            for i, c in enumerate(CLASSES)
+        ]
     )
-    both = F.array(*[F.lit(c) for c in CLASSES])
-    cells = known.select("idx", "term", F.explode(both).alias(label))
-    per_class = Window.partitionBy(label)
-    tf = F.coalesce("tf", F.lit(0))
-    total = F.sum(tf).over(per_class)
-    terms = F.count(F.lit(1)).over(per_class)
-    theta = F.log(tf + smoothing) - F.log(total + smoothing * terms)
+    cells = known.select("idx", "term", F.inline(per_class))
+    whole = Window.partitionBy("label")
+    total = F.sum("tf").over(whole) + smoothing * F.count(F.lit(1)).over(whole)
+    theta = F.log(F.col("tf") + smoothing) - F.log(total)
 
-    rows = df.agg(*[F.count(F.when(F.col(label) == c, 1)).alias(f"n{int(c)}") for c in CLASSES])
-    everything = F.col("n0") + F.col("n1")
-    priors = rows.select(
-        F.array(
-            *[
-                F.log(F.col(f"n{int(c)}") + smoothing)
-                - F.log(everything + smoothing * len(CLASSES))
-                for c in CLASSES
-            ]
-        ).alias("pi")
-    ).scalar()
-    return cells.join(seen, [label, "idx"], "left").select(
-        label,
-        "idx",
-        "term",
-        tf.alias("tf"),
-        theta.alias("theta"),
-        F.get(priors, F.col(label).cast("int")).alias("pi"),
+    rows = [F.count(F.when(F.col(label) == c, 1)) for c in CLASSES]
+    everything = F.log(sum(rows[1:], rows[0]) + smoothing * len(CLASSES))
+    priors = df.agg(F.array(*[F.log(n + smoothing) - everything for n in rows]).alias("pi"))
+    pi = F.get(priors.scalar(), F.col("label").cast("int"))
+    return materialize(
+        cells.select("label", "idx", "term", "tf", theta.alias("theta"), pi.alias("pi"))
     )
 
 

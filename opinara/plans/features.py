@@ -6,7 +6,7 @@ from pyspark.ml import Transformer
 from pyspark.ml.feature import (
     IDF, CountVectorizer, CountVectorizerModel, HashingTF, NGram, StopWordsRemover, Tokenizer,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from opinara.operators.vocabulary import vocabulary
 from opinara.settings import FeatureSettings
@@ -23,6 +23,18 @@ PIPELINES = {
 }
 
 
+def _counting_model(terms: list[str]) -> CountVectorizerModel:
+    """``CountVectorizerModel.from_vocabulary`` without its one call into the JVM per term."""
+    separator = "\n"
+    if any(separator in term for term in terms):
+        return CountVectorizerModel.from_vocabulary(terms, inputCol="in", outputCol="out")
+    jvm = SparkSession.active()._jvm
+    array = jvm.java.util.regex.Pattern.compile(separator).split(separator.join(terms), -1)
+    return CountVectorizerModel._create_from_java_class(
+        "org.apache.spark.ml.feature.CountVectorizerModel", array
+    )
+
+
 class StableCountVectorizer(CountVectorizer):
     """``CountVectorizer`` whose vocabulary order never depends on partitioning.
 
@@ -37,12 +49,12 @@ class StableCountVectorizer(CountVectorizer):
         terms = [row.term for row in known.select("idx", "term").orderBy("idx").collect()]
         if not terms:
             raise ValueError(f"No term is in at least {self.getMinDF():g} documents")
-        return CountVectorizerModel.from_vocabulary(
-            terms,
-            inputCol=self.getInputCol(),
-            outputCol=self.getOutputCol(),
-            minTF=self.getMinTF(),
-            binary=self.getBinary(),
+        return (
+            _counting_model(terms)
+            .setInputCol(self.getInputCol())
+            .setOutputCol(self.getOutputCol())
+            .setMinTF(self.getMinTF())
+            .setBinary(self.getBinary())
         )
 
 
