@@ -397,10 +397,10 @@ ORACLES: dict[str, str] = {
         "reviews",
     ),
     "length_summary": _sql(
-        """SELECT measure, count(*) AS count, round(avg(v), 1) AS mean,
-                  round(stddev_samp(v), 1) AS std, min(v) AS min,
-                  round(quantile_cont(v, 0.25), 1) AS p25, round(quantile_cont(v, 0.5), 1) AS p50,
-                  round(quantile_cont(v, 0.75), 1) AS p75, max(v) AS max
+        """SELECT measure, count(*) AS count, round_even(avg(v), 1) AS mean,
+                  round_even(stddev_samp(v), 1) AS std, min(v) AS min,
+                  round_even(quantile_cont(v, 0.25), 1) AS p25, round_even(quantile_cont(v, 0.5), 1) AS p50,
+                  round_even(quantile_cont(v, 0.75), 1) AS p75, max(v) AS max
            FROM (SELECT measure, v::DOUBLE AS v FROM lengths
                  UNPIVOT (v FOR measure IN (char_length, word_count, title_len, text_len)))
            GROUP BY measure""",

@@ -147,7 +147,10 @@ def density(
 
 
 def summary(df: DataFrame, measures: dict[str, str]) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles of integer measures."""
+    """Count, mean, deviation, extremes and exact quartiles of integer measures.
+
+    Rounded to one decimal, halves to even.
+    """
     counts = value_counts(df, {name: F.col(c) for name, c in measures.items()})
     whole = Window.partitionBy("series")
     mean = F.sum(F.col("value") * F.col("cnt")).over(whole) / F.sum("cnt").over(whole)
@@ -165,11 +168,11 @@ def summary(df: DataFrame, measures: dict[str, str]) -> DataFrame:
     return stats.select(
         F.col("series").alias("measure"),
         "count",
-        F.round("mean", 1).alias("mean"),
-        F.round("std", 1).alias("std"),
+        F.bround("mean", 1).alias("mean"),
+        F.bround("std", 1).alias("std"),
         "min",
-        F.round(F.col("q")[0], 1).alias("p25"),
-        F.round(F.col("q")[1], 1).alias("p50"),
-        F.round(F.col("q")[2], 1).alias("p75"),
+        F.bround(F.col("q")[0], 1).alias("p25"),
+        F.bround(F.col("q")[1], 1).alias("p50"),
+        F.bround(F.col("q")[2], 1).alias("p75"),
         "max",
     )

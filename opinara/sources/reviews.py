@@ -35,6 +35,7 @@ def read_csv(
 
     Texts with line breaks need ``multiline``, which reads each file in one task: many
     moderate files are read in parallel. Turn it off only for data known to have none.
+    CSV cannot tell an empty field from a missing one: both are read as null.
     """
     return spark.read.csv(
         path,
