@@ -99,12 +99,15 @@ def _with_start(df: DataFrame, points: DataFrame, **start: float) -> DataFrame:
 
 
 def roc_points(df: DataFrame, score: str = "prob") -> DataFrame:
-    """False and true positive rate at every distinct score, after the start at (0, 0)."""
+    """False and true positive rate at every distinct score, after the start at (0, 0).
+
+    A rate over a class without rows is NULL.
+    """
     ranked = ranked_counts(df, score)
     points = ranked.select(
         F.col("score").alias("threshold"),
-        (F.col("neg_upto") / F.col("negatives")).alias("fpr"),
-        (F.col("pos_upto") / F.col("positives")).alias("tpr"),
+        F.try_divide("neg_upto", "negatives").alias("fpr"),
+        F.try_divide("pos_upto", "positives").alias("tpr"),
     )
     return _with_start(df, points, fpr=0.0, tpr=0.0)
 
@@ -115,13 +118,13 @@ def pr_points(df: DataFrame, score: str = "prob") -> DataFrame:
     points = ranked.select(
         F.col("score").alias("threshold"),
         (F.col("pos_upto") / (F.col("pos_upto") + F.col("neg_upto"))).alias("precision"),
-        (F.col("pos_upto") / F.col("positives")).alias("recall"),
+        F.try_divide("pos_upto", "positives").alias("recall"),
     )
     return _with_start(df, points, precision=1.0, recall=0.0)
 
 
 def average_precision(df: DataFrame, score: str = "prob") -> DataFrame:
     """Precision summed over falling scores, weighted by the recall each score adds."""
-    gained = F.col("pos") / F.col("positives")
+    gained = F.try_divide("pos", "positives")
     precision = F.col("pos_upto") / (F.col("pos_upto") + F.col("neg_upto"))
     return ranked_counts(df, score).agg(F.sum(gained * precision).alias("average_precision"))

@@ -79,15 +79,15 @@ def correct_flags(df: DataFrame) -> DataFrame:
 def error_overview(df: DataFrame) -> DataFrame:
     """Rows, right and wrong predictions, and both shares in percent."""
     counted = correct_flags(df).agg(
-        F.count(F.lit(1)).alias("total"), F.sum("is_correct").alias("correct")
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("is_correct") == 1).alias("correct")
     )
     incorrect = F.col("total") - F.col("correct")
     return counted.select(
         "total",
         "correct",
         incorrect.alias("incorrect"),
-        (100.0 * F.col("correct") / F.col("total")).alias("correct_pct"),
-        (100.0 * incorrect / F.col("total")).alias("incorrect_pct"),
+        F.try_divide(100.0 * F.col("correct"), F.col("total")).alias("correct_pct"),
+        F.try_divide(100.0 * incorrect, F.col("total")).alias("incorrect_pct"),
     )
 
 

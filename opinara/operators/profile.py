@@ -124,8 +124,10 @@ def density(
         }
     ).withColumn(
         "variance",
-        F.sum(F.col("cnt") * F.pow(F.col("value") - F.col("mean"), F.lit(2.0))).over(whole)
-        / (F.col("rows") - 1),
+        F.try_divide(
+            F.sum(F.col("cnt") * F.pow(F.col("value") - F.col("mean"), F.lit(2.0))).over(whole),
+            F.col("rows") - 1,
+        ),
     )
     # No density without spread: one row, or one value only.
     stats = stats.filter(F.col("variance") > 0).withColumn(
@@ -160,7 +162,7 @@ def summary(df: DataFrame, measures: dict[str, str]) -> DataFrame:
     stats = counts.groupBy("series").agg(
         F.sum("cnt").alias("count"),
         F.first("mean").alias("mean"),
-        F.sqrt(squares / (F.sum("cnt") - 1)).alias("std"),
+        F.sqrt(F.try_divide(squares, F.sum("cnt") - 1)).alias("std"),
         F.min("value").alias("min"),
         quartiles.alias("q"),
         F.max("value").alias("max"),

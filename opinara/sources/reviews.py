@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.settings import REVIEW_SCHEMA, SourceSettings
+from opinara.settings import REVIEW_SCHEMA
 
 # One quoted newline makes a file unsplittable, so large tables are written as many files.
 ROWS_PER_FILE = 1_000_000
@@ -24,6 +24,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def with_file_key(scan: DataFrame, key: str) -> DataFrame:
+    """Give rows of a Parquet scan a key: file name and position, whatever the partitioning."""
+    place = F.concat_ws(":", F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    return scan.withColumn(key, place)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -49,25 +55,19 @@ def read_csv(
     )
 
 
+def is_parquet(path: str) -> bool:
+    return path.rstrip("/").endswith(".parquet")
+
+
 def read_reviews(
     spark: SparkSession, path: str, schema: str = REVIEW_SCHEMA, header: bool = False
 ) -> DataFrame:
     """Pick the reader by the path's ending, separately for each path."""
-    if path.rstrip("/").endswith(".parquet"):
+    if is_parquet(path):
         return read_parquet(spark, path)
     return read_csv(spark, path, schema=schema, header=header)
 
 
-def read_splits(
-    spark: SparkSession, settings: SourceSettings = SourceSettings()
-) -> tuple[DataFrame, DataFrame]:
-    """Raw train and test tables."""
-    return (
-        read_reviews(spark, settings.train_path, settings.schema),
-        read_reviews(spark, settings.test_path, settings.schema),
-    )
-
-
 def conform(df: DataFrame) -> DataFrame:
     """Upstream layout ``label`` 0/1, ``content`` to ``polarity`` 1/2, ``text``."""
     return (

@@ -84,6 +84,9 @@ def test_one_class_has_no_auc(spark, label):
     assert got.auc is None
     assert got.accuracy == pytest.approx(MulticlassClassificationEvaluator(metricName="accuracy").evaluate(df))
     assert got.f1 == pytest.approx(MulticlassClassificationEvaluator(metricName="f1").evaluate(df))
+    rates = {(r.fpr is None, r.tpr is None) for r in curves.roc_points(df).collect()}
+    assert rates == {(False, False), (label == 1, label == 0)}
+    assert (curves.average_precision(df).first()[0] is None) == (label == 0)
 
 
 def test_runs_are_evaluated_side_by_side(skewed):
@@ -112,3 +115,11 @@ def test_top_errors_break_ties_by_key(spark):
     assert errors.correct_rows(df).count() == 0
     with pytest.raises(ValueError, match="Unknown kind"):
         errors.top_errors(df, "tp", "id")
+
+
+def test_nothing_to_evaluate(spark):
+    df = predictions(spark, [(1, 1.0, 0.9)]).limit(0)
+    assert tuple(metrics.error_overview(df).first()) == (0, 0, 0, None, None)
+    assert metrics.accuracy_by_length(df.withColumn("combined_text", F.lit(""))).count() == 0
+    assert metrics.confusion(df).agg(F.sum("cnt")).first()[0] == 0
+    assert curves.roc_points(df).count() == 1

@@ -55,6 +55,13 @@ def test_summary_equals_pandas(lengths):
     assert list(got)[1:] == list(expected)
 
 
+def test_one_row_has_no_spread(spark):
+    df = spark.createDataFrame([(1.0, 5)], "label double, n int")
+    assert profile.density(df, "n", 500, "label").count() == 0
+    got = profile.summary(df, {"n": "n"}).first()
+    assert got.std is None and got.p50 == got.mean == 5.0
+
+
 def test_top_words_break_ties_by_word(spark):
     df = spark.createDataFrame([(0.0, "bb aa the AA cc bb"), (1.0, "zz x the")], "label double, combined_text string")
     got = words.top_words(df, k=2).orderBy("label", "rank").collect()

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.operators.prep import drop_nulls, guarded_input, prepare, with_split
+from opinara.plans.loading import load_splits
 from opinara.settings import REVIEW_SCHEMA, SessionSettings, SourceSettings
 from opinara.sources import reviews as sources
 
@@ -89,3 +90,26 @@ def test_spread_only_where_splits_are_few(spark, small_dir):
 
 def test_first_rows(spark):
     assert [r.id for r in sources.first_rows(spark.range(50).repartition(5), "id", 3).collect()] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_load_splits(spark, tmp_path, fmt):
+    df = spark.createDataFrame([(1 + i % 2, f"T{i}", f"Text {i}") for i in range(400)], REVIEW_SCHEMA)
+    paths = {}
+    for split, ids in (("train", "title < 'T2'"), ("test", "title >= 'T2'")):
+        paths[split] = sources.write_reviews(df.filter(ids), str(tmp_path / f"{split}.{fmt}"), fmt, rows_per_file=30)
+    whole = SourceSettings(paths["train"], paths["test"])
+    train, test = load_splits(spark, whole)
+    assert train.count() + test.count() == 400
+    assert {"polarity", "title", "text", "review_id", "combined_text", "label"} == set(train.columns)
+    assert train.select("review_id").distinct().count() == train.count()
+    assert train.first().combined_text.startswith("t")
+    part, _ = load_splits(spark, SourceSettings(paths["train"], paths["test"], sample_fraction=0.3))
+    ids = {r.review_id for r in part.collect()}
+    assert 0 < len(ids) < train.count()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        again, _ = load_splits(spark, SourceSettings(paths["train"], paths["test"], sample_fraction=0.3))
+        assert {r.review_id for r in again.collect()} == ids
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
