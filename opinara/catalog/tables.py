@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.functions.text import without_stop_words, tokens
+from opinara.functions.text import pieces, without_stop_words
 from opinara.operators.metrics import classification_metrics
 from opinara.operators.prep import drop_nulls, prepare, prepare_text, with_split
 from opinara.operators.runs import RUNS_SCHEMA
@@ -56,8 +56,8 @@ def articles(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame
 
 
 def with_tokens(df: DataFrame) -> DataFrame:
-    """Token columns from plain expressions, equal to those of the ML stages."""
-    return df.withColumn("tokens", tokens(F.col("combined_text"))).withColumn(
+    """Token columns of prepared text from plain expressions, equal to those of the ML stages."""
+    return df.withColumn("tokens", pieces(F.col("combined_text"))).withColumn(
         "filtered_tokens", without_stop_words(F.col("tokens"))
     )
 

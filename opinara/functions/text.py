@@ -57,19 +57,23 @@ def is_blank(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """What the ML ``Tokenizer`` yields: inner and leading empty pieces stay, trailing ones go.
+    """What the ML ``Tokenizer`` yields: lower-cased pieces between single blanks."""
+    return pieces(F.lower(text))
 
-    The empty string gives one empty token, an all-blank one gives none.
+
+def pieces(lowered: Column) -> Column:
+    """Pieces of a lower-cased text; inner and leading empty ones stay, trailing ones go.
+
+    The empty string gives one empty piece, an all-blank one gives none.
     """
-    lowered = F.lower(text)
     body = F.rtrim(lowered, F.lit(BLANKS))
     return F.when(
         (body == "") & (lowered != ""), F.array().cast("array<string>")
     ).otherwise(F.split(body, BLANK))
 
 
-def without_stop_words(pieces: Column) -> Column:
-    return F.filter(pieces, lambda piece: ~piece.isin(*ENGLISH))
+def without_stop_words(tokens: Column) -> Column:
+    return F.filter(tokens, lambda token: ~token.isin(*ENGLISH))
 
 
 def ngrams(pieces: Column, n: int = 2) -> Column:

@@ -113,3 +113,11 @@ def test_load_splits(spark, tmp_path, fmt):
         assert {r.review_id for r in again.collect()} == ids
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_null_conditions_reach_the_scan(spark, small_dir):
+    scan = spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text")
+    plan = drop_nulls(scan)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(doc_id), IsNotNull(text)]" in plan
+    df = spark.createDataFrame([(1.0,), (None,), (float("nan"),)], "x double")
+    assert drop_nulls(df).count() == df.na.drop("any").count() == 1
