@@ -9,6 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from opinara.functions.text import preview
 from opinara.operators import curves, errors, metrics, profile, words
 from opinara.operators.prep import with_lengths
 from opinara.operators.runs import append_log, comparison, log_entries, valid_runs, write_runs_json
@@ -60,8 +61,14 @@ def profile_job(spark: SparkSession, sources: SourceSettings, out: str) -> dict[
 
 def evaluation_job(predictions: DataFrame, key: str, out: str) -> dict[str, str]:
     """Metrics, curves and error tables of one model's predictions."""
-    # The predictions are read many times; scoring them each time would cost far more.
-    kept = materialize(predictions.select(key, "label", "prediction", "prob", "combined_text"))
+    # Read many times, so scored once; of the text only its length and its beginning are kept.
+    text = F.col("combined_text")
+    kept = materialize(
+        predictions.select(
+            key, "label", "prediction", "prob",
+            F.length(text).alias("text_length"), preview(text).alias("preview"),
+        )
+    )
     return _write(
         {
             "metrics": metrics.classification_metrics(kept),
@@ -70,10 +77,10 @@ def evaluation_job(predictions: DataFrame, key: str, out: str) -> dict[str, str]
             "precision_recall": curves.pr_points(kept),
             "average_precision": curves.average_precision(kept),
             "overview": metrics.error_overview(kept),
-            "accuracy_by_length": metrics.accuracy_by_length(kept),
+            "accuracy_by_length": metrics.accuracy_by_length(kept, length="text_length"),
             "confidence": metrics.confidence_histogram(kept),
-            "false_positives": errors.top_errors(kept, "fp", key),
-            "false_negatives": errors.top_errors(kept, "fn", key),
+            "false_positives": errors.top_errors(kept, "fp", key, text="preview"),
+            "false_negatives": errors.top_errors(kept, "fn", key, text="preview"),
         },
         out,
     )

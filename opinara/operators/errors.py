@@ -21,7 +21,10 @@ def false_negatives(df: DataFrame) -> DataFrame:
     return df.filter((F.col("label") == 1) & (F.col("prediction") == 0))
 
 
-def top_errors(df: DataFrame, kind: str, key: str, k: int = TOP_ERRORS, score: str = "prob") -> DataFrame:
+def top_errors(
+    df: DataFrame, kind: str, key: str, k: int = TOP_ERRORS, score: str = "prob",
+    text: str = "combined_text",
+) -> DataFrame:
     """The ``k`` most confident false positives (``fp``) or false negatives (``fn``).
 
     Ties go to the smaller key. Every task keeps its own ``k`` rows, so nothing is sorted whole.
@@ -35,5 +38,5 @@ def top_errors(df: DataFrame, kind: str, key: str, k: int = TOP_ERRORS, score: s
     return (
         wrong.orderBy(order, key)
         .limit(k)
-        .select(key, F.col(score).alias("confidence"), preview(F.col("combined_text")).alias("preview"))
+        .select(key, F.col(score).alias("confidence"), preview(F.col(text)).alias("preview"))
     )

@@ -91,9 +91,11 @@ def error_overview(df: DataFrame) -> DataFrame:
     )
 
 
-def accuracy_by_length(df: DataFrame, text: str = "combined_text") -> DataFrame:
-    """Accuracy per length bucket, shortest first."""
-    length = F.length(text)
+def accuracy_by_length(
+    df: DataFrame, text: str = "combined_text", length: str | None = None
+) -> DataFrame:
+    """Accuracy per length bucket, shortest first; ``length`` names a column already counted."""
+    length = F.col(length) if length else F.length(text)
     return (
         correct_flags(df)
         .groupBy(length_bucket_no(length).alias("bucket_no"), length_bucket(length).alias("length_bucket"))

@@ -86,6 +86,16 @@ def small(df: DataFrame, rows: int, limit: int = BROADCAST_TERMS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def _known_occurrences(df: DataFrame, key: str, pieces: str, known: DataFrame, size: int) -> DataFrame:
+    """One row per occurrence of a vocabulary term.
+
+    The outer explode spares the optimizer's filter on the array's size, for which a computed
+    array would be computed again; the join drops the empty documents' NULL.
+    """
+    occurrences = df.select(key, F.explode_outer(pieces).alias("term"))
+    return occurrences.join(small(known, size), "term")
+
+
 def term_counts(
     df: DataFrame, key: str, pieces: str = "filtered_tokens",
     size: int = DEFAULTS.vocab_size, min_df: float = DEFAULTS.min_df,
@@ -93,8 +103,7 @@ def term_counts(
     """Occurrences of each vocabulary term per document, the sparse count vector as rows."""
     known = vocabulary(df, pieces, size, min_df).select("term", "idx")
     return (
-        df.select(key, F.explode(pieces).alias("term"))
-        .join(small(known, size), "term")
+        _known_occurrences(df, key, pieces, known, size)
         .groupBy(key, "idx", "term")
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
@@ -108,8 +117,7 @@ def tfidf(
     known = vocabulary(df, pieces, size, min_df).select("term", "idx", "df")
     documents = df.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
     counted = (
-        df.select(key, F.explode(pieces).alias("term"))
-        .join(small(known, size), "term")
+        _known_occurrences(df, key, pieces, known, size)
         .groupBy(key, "idx", "term", "df")
         .agg(F.count(F.lit(1)).alias("tf"))
     )

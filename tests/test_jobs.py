@@ -46,6 +46,9 @@ def test_jobs_from_end_to_end(spark, paths, tmp_path):
     again = main(["errors", *common, "--model", written["model"], "--out", str(tmp_path / "errors")])
     assert spark.read.parquet(again["metrics"]).first() == best
     total = spark.read.parquet(again["overview"]).first().total
+    assert spark.read.parquet(again["accuracy_by_length"]).agg(F.sum("cnt")).first()[0] == 87
+    wrong = spark.read.parquet(again["false_positives"]).collect()
+    assert all(0 < len(row.preview) <= 300 for row in wrong)
     assert spark.read.parquet(again["confidence"]).agg(F.sum("cnt")).first()[0] == total == 87
 
     exported = main(["export", "--model", written["model"], "--out", str(tmp_path / "export")])

@@ -15,26 +15,29 @@ def database(small_dir):
     return connect(Path(small_dir))
 
 
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
+
+
+def forbidden_operators(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [operator for operator in FORBIDDEN if operator in plan]
+
+
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, small_dir, database, name):
-    assert compare(queries()[name](spark, small_dir), database, oracle_sql()[name]) == []
+    df = queries()[name](spark, small_dir)
+    assert forbidden_operators(df) == []
+    assert compare(df, database, oracle_sql()[name]) == []
 
 
 @pytest.mark.parametrize("name", sorted(set(queries()) - set(oracle_sql()) - SLOW))
 def test_query_without_sql_has_rows(spark, small_dir, name):
-    assert queries()[name](spark, small_dir).count() > 0
+    df = queries()[name](spark, small_dir)
+    assert forbidden_operators(df) == []
+    assert df.count() > 0
 
 
 def test_entry(spark):
     rows = entry(spark).collect()
     assert [row.bucket_no for row in rows] == sorted(row.bucket_no for row in rows)
     assert sum(row.cnt for row in rows) == 87
-
-
-FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
-
-
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW - {"score_stream", "run_log"}))
-def test_plan_has_no_cross_join_and_no_python(spark, small_dir, name):
-    plan = queries()[name](spark, small_dir)._jdf.queryExecution().executedPlan().toString()
-    assert not [operator for operator in FORBIDDEN if operator in plan]
