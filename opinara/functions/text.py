@@ -76,12 +76,17 @@ def without_stop_words(tokens: Column) -> Column:
     return F.filter(tokens, lambda token: ~token.isin(*ENGLISH))
 
 
-def ngrams(pieces: Column, n: int = 2) -> Column:
-    """Runs of ``n`` neighbours joined by one blank; none if there are fewer pieces."""
-    size = F.size(pieces)
-    starts = F.sequence(F.lit(1), size - (n - 1))
-    joined = F.transform(starts, lambda at: F.array_join(F.slice(pieces, at, n), " "))
-    return F.when(size >= n, joined).otherwise(F.array().cast("array<string>"))
+def ngrams(tokens: Column, n: int = 2) -> Column:
+    """Runs of ``n`` neighbours joined by one blank; none if there are fewer tokens.
+
+    Built from ``n`` shifted copies: a lambda that looked up ``tokens`` by position would compute
+    an inlined expression anew for every element.
+    """
+    runs = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+    shifted = [F.slice(tokens, i + 1, runs).alias(f"w{i}") for i in range(n)]
+    return F.transform(
+        F.arrays_zip(*shifted), lambda run: F.concat_ws(" ", *[run[f"w{i}"] for i in range(n)])
+    )
 
 
 def words(text: Column) -> Column:

@@ -18,7 +18,7 @@ EDGE_CASES = {
 }
 
 
-def test_stop_words_are_sparks():
+def test_stop_words_are_sparks(spark):
     assert list(ENGLISH) == StopWordsRemover.loadDefaultStopWords("english")
 
 
