@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.llm import bpe, line_dedup, mixing, pii, sharding
+from opinara.llm import bpe, jaccard, line_dedup, mixing, pii, sharding
 from opinara.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +44,8 @@ def op6_bpe_round_trip(spark, sf_dir):
 def op9_cut_repeated_lines(spark, sf_dir):
     cut = line_dedup.cut_repeated_lines(table(spark, sf_dir, "documents"))
     return cut.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@query
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard.join_components(table(spark, sf_dir, "documents"))
