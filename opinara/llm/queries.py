@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.llm import bpe, jaccard, line_dedup, mixing, pii, sharding
+from opinara.llm import bpe, jaccard, line_dedup, mixing, pii, sharding, suffix_dedup
 from opinara.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,9 @@ def op9_cut_repeated_lines(spark, sf_dir):
 @query
 def op8_jaccard_join(spark, sf_dir):
     return jaccard.join_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_suffix_array_dedup(spark, sf_dir):
+    cut = suffix_dedup.cut_repeated_bytes(table(spark, sf_dir, "documents"))
+    return cut.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept", "spans")
