@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.llm import bpe, jaccard, line_dedup, mixing, pii, sharding, suffix_dedup
+from opinara.llm import bpe, jaccard, line_dedup, mixing, pii, quality, sharding, suffix_dedup
 from opinara.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,8 @@ def op8_jaccard_join(spark, sf_dir):
 def op7_suffix_array_dedup(spark, sf_dir):
     cut = suffix_dedup.cut_repeated_bytes(table(spark, sf_dir, "documents"))
     return cut.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept", "spans")
+
+
+@query
+def op10_quality_rules(spark, sf_dir):
+    return quality.apply_rules(table(spark, sf_dir, "documents"))
