@@ -17,6 +17,7 @@ SLAB_BYTES = 1 << 20
 # An odd multiplier, its inverse modulo 2^64, and finalizer constants.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+BEGIN, END = 0x110000, 0x110001  # marks of a word, past the last code point
 FIRST, SECOND = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -128,5 +129,34 @@ def grams(hashes: np.ndarray, size: int) -> np.ndarray:
     return total
 
 
+@dataclass(frozen=True)
+class WordGrams:
+    """Words as one array of code points with marks, and the hash of every n-gram ending at each place."""
+
+    step: np.ndarray  # place within its word; 0 is the begin mark
+    owner: np.ndarray  # which word
+    hashes: list[np.ndarray]  # by order; order 0 is the empty context
+
+
+def word_grams(words: list[str], salts: np.ndarray, order: int) -> WordGrams:
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+    codes = np.empty(int(sizes.sum()), np.uint64)
+    inner = np.ones(len(codes), bool)
+    inner[starts] = inner[starts + sizes - 1] = False
+    codes[inner] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    codes[starts], codes[starts + sizes - 1] = BEGIN, END
+    owner = np.repeat(np.arange(len(words)), sizes)
+    step = np.arange(len(codes)) - starts[owner]
+    own = salts[owner]
+    hashes, total = [mix(own)], own.copy()
+    for n in range(1, order + 1):
+        moved = np.zeros_like(codes)
+        moved[n - 1 :] = codes[: len(codes) - n + 1]
+        total = total + mix((moved + np.uint64(1)) * np.uint64(2 * n + 1))
+        hashes.append(mix(total + np.uint64(n)))
+    return WordGrams(step, owner, hashes)
+
+
 def signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinara.llm import line_dedup, mixing, sharding
+from opinara.llm import line_dedup, mixing, sharding, topk
 
 ORACLES: dict[str, str] = {}
 
@@ -78,3 +78,19 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
     sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '')) AS kept_sha256
 FROM ranked GROUP BY doc_id
 """
+
+ORACLES["op3_top_k_search"] = f"""
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({topk.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % {topk.EVERY} = 0
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored
+)
+SELECT * FROM ranked WHERE rank <= {topk.K}
+"""

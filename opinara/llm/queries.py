@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.llm import bpe, jaccard, line_dedup, mixing, pii, quality, sharding, suffix_dedup
+from opinara.llm import bpe, jaccard, line_dedup, mixing, pii, quality, sharding, suffix_dedup, topk, toxicity
 from opinara.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,15 @@ def op7_suffix_array_dedup(spark, sf_dir):
 @query
 def op10_quality_rules(spark, sf_dir):
     return quality.apply_rules(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (toxicity.fold("doc_id") == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op3_top_k_search(spark, sf_dir):
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
