@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 
 from opinara.llm.frames import documents_of, map_batches
 
-CACHE_WORDS, CACHED_LENGTH = 150_000, 64
+CACHE_WORDS, CACHED_LENGTH, PIECE_ROWS = 150_000, 64, 512
 # White space as the Unicode property White_Space has it.
 SPACE = r"\t-\r \x85\xa0  -     　"
 DIGEST_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -200,3 +200,22 @@ def round_trip_digests(docs: DataFrame, path: str, key: str = "doc_id", text: st
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return map_batches(documents_of(docs, key, text), run, DIGEST_SCHEMA)
+
+
+def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, n_tokens, ids, decoded``: what a model would be fed, and what it stands for."""
+    codec_of = _codecs(docs, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = codec_of()
+        for batch in batches:
+            for start in range(0, batch.num_rows, PIECE_ROWS):
+                piece = batch.slice(start, PIECE_ROWS)
+                ids = [codec.encode(value.as_py()) for value in piece.column(1)]
+                columns = [
+                    piece.column(0), pa.array(list(map(len, ids)), pa.int64()),
+                    pa.array(ids, pa.list_(pa.int32())), pa.array(list(map(codec.decode, ids)), pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded"])
+
+    return map_batches(documents_of(docs, key, text), run, "doc_id long, n_tokens long, ids array<int>, decoded string")

@@ -129,3 +129,19 @@ def _ranked(docs: DataFrame, key: str, source: str, total: int, with_row: bool)
     rows = rows.withColumn("own", F.row_number().over(own) - 1)
     rows = rows.join(counts, F.col("source").eqNullSafe(F.col("of")) & (F.col("slice") == F.col("at")))
     return rows.withColumn("rank", F.col("earlier") + F.col("own")).drop("of", "at", "earlier", "own", "slice", "bits")
+
+
+def in_mixed_order(docs: DataFrame, weights: DataFrame | None = None, key="doc_id", source="source") -> DataFrame:
+    """The same rows and columns in the order of the mix, from the first partition to the last.
+
+    Where the key names each row, only keys and sources pass through the schedule, and the rows meet
+    their positions once; otherwise whole rows pass through it.
+    """
+    doubled = docs.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1))
+    if doubled.isEmpty():
+        places = mix(docs.select(key, source), weights, key, source)
+        places = places.select(F.col("doc_id").alias("__key"), F.col("position").alias("__position"))
+        placed = docs.join(places, F.col(key) == F.col("__key")).drop("__key")
+        return placed.repartitionByRange("__position").sortWithinPartitions("__position").drop("__position")
+    placed = mix(docs, weights, key, source, with_row=True).select("position", "row")
+    return placed.repartitionByRange("position").sortWithinPartitions("position").select("row.*")

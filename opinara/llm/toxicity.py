@@ -220,6 +220,20 @@ def scored(docs: DataFrame, model: Model, key="doc_id", text="text") -> DataFram
     return map_batches(documents_of(docs, key, text), run, SCORED)
 
 
+def keep_clean(docs: DataFrame, model: Model, text="text") -> DataFrame:
+    """The rows whose text is not predicted toxic, all columns as they are."""
+    place = docs.columns.index(text)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(shared.value)
+        for batch in batches:
+            scores = scorer.scores(t.as_py() or "" for t in batch.column(place))
+            yield batch.filter(pa.array([score < 0.5 for score in scores], pa.bool_()))
+
+    return map_batches(docs, run, docs.schema)
+
+
 class Scorer:
     """Scores texts one by one, remembering the words it has met."""
 

@@ -19,9 +19,9 @@ def shingles(text, size=4):
     return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
 
 
-def brute_force(rows, percent=85):
+def brute_force(rows, percent=85, size=4):
     """doc_id to (n_shingles, component) by union of all linked pairs; candidates share a shingle."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, size) for i, t in rows}
     holders = {}
     for i, grams in sets.items():
         for gram in grams:
