@@ -9,9 +9,9 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import opinara
-from opinara.session import materialize
+from opinara.session import fresh_path, materialize
 
-__all__ = ["documents_of", "map_batches", "materialize", "table", "text_of"]
+__all__ = ["documents_of", "map_batches", "materialize", "store", "table", "text_of"]
 
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
@@ -30,6 +30,17 @@ def documents_of(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("doc_id"), text_of(text).alias("text"))
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Compute ``df`` once into a table of the shared folder and read it back.
+
+    Like ``materialize``, but in columns: for large tables, whose checkpoints would be several
+    times the size.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def map_batches(df: DataFrame, function, schema) -> DataFrame:
     """``mapInArrow`` with this package sent along, so that executors need no copy of it."""
     ship(df.sparkSession)

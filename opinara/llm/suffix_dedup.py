@@ -1,8 +1,8 @@
 """Suffix-array dedup: cut every byte covered by a 200-byte string that starts anywhere else too.
 
-Anchors bring equal strings together. Of the 64-byte grams in each 200-byte string the one of least
-hash is an anchor; the choice looks at the string alone, so two equal strings have an anchor at the
-same place. An anchor's context is what all 200-byte strings around it can reach. Three cases:
+Anchors bring equal strings together. Of the 96-byte grams in each 200-byte string the one of least
+hash is its anchor; the choice looks at the string alone, so two equal strings have their anchors at
+the same place. An anchor's context is what the 200-byte strings it is the anchor of cover. Three cases:
 
 * an anchor that occurs once has no repeated string around it;
 * a context that occurs twice as a whole is repeated as a whole, and is known by its hash;
@@ -30,15 +30,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from opinara.llm import kernels, suffixes
-from opinara.llm.frames import documents_of, map_batches, materialize
+from opinara.llm.frames import documents_of, map_batches, materialize, store
 
-LENGTH, GRAM, WIDE = 200, 64, 4096
-POOL_BYTES = 1 << 20
+LENGTH, GRAM, WIDE = 200, 96, 4096
+POOL_BYTES, PIECE_ROWS = 1 << 18, 256
 CUT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, spans array<long>"
-REST_SCHEMA = "anchor long, context long, doc long, pos int, before int, bytes binary"
+REST_SCHEMA = "anchor long, context long, doc long, pos int, low int, bytes binary"
 FOUND_SCHEMA = "anchor long, context long, low int, high int"
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches: what is made of a row can be much larger than the row."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, PIECE_ROWS):
+            yield batch.slice(start, PIECE_ROWS)
+
+
 def sliding(values: np.ndarray, width: int, take: np.ufunc, pad: int) -> np.ndarray:
     """``take`` (minimum or maximum) over each window of ``width`` values."""
     count = len(values) - width + 1
@@ -54,7 +61,7 @@ def sliding(values: np.ndarray, width: int, take: np.ufunc, pad: int) -> np.ndar
 
 
 def anchors_of(slab: kernels.Slab, length: int, gram: int):
-    """Row, place in the slab, gram hash and context hash of every anchor of a slab."""
+    """Row, place, gram hash, context hash and context bounds of every anchor, as places in the slab."""
     data, offsets = slab.data, slab.offsets
     if len(data) < length:
         return None
@@ -71,17 +78,25 @@ def anchors_of(slab: kernels.Slab, length: int, gram: int):
     # A gram is an anchor if it is the least of any string around it.
     around = np.zeros(len(least) + 2 * (width - 1), np.uint64)
     around[width - 1 : width - 1 + len(least)] = least
-    best = sliding(around, width, np.maximum, 0)
-    places = np.flatnonzero(best == hashes)
+    places = np.flatnonzero(sliding(around, width, np.maximum, 0) == hashes)
+    if not len(places):
+        return None
+    # Its strings begin in one run of ``least``: the last run at or before it that holds its hash.
+    starts = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    ends = np.append(starts[1:], len(least)) - 1
+    run = np.searchsorted(starts, places, "right") - 1
+    while (other := least[starts[run]] != hashes[places]).any():
+        run -= other
+    low = np.maximum(starts[run], places - width + 1)
+    high = np.minimum(ends[run], places) + length
+    shape = (places - low).astype(np.uint64) * kernels.SECOND
+    context = kernels.mix(kernels.span_hash(sums, low, high) + shape)
     row = np.searchsorted(offsets, places, "right") - 1
-    low = np.maximum(offsets[row], places - (length - gram))
-    high = np.minimum(offsets[row + 1], places + length)
-    context = kernels.mix(kernels.span_hash(sums, low, high) + (places - low).astype(np.uint64) * kernels.SECOND)
-    return row, places, hashes[places], context
+    return row, places, hashes[places], context, low - places, high - places
 
 
 def anchor_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``anchor, context, doc, pos``."""
+    """``anchor, context, doc, pos, low, high``; the context's bounds are relative to the anchor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,32 +105,33 @@ def anchor_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 found = anchors_of(slab, length, gram)
                 if found is None:
                     continue
-                row, places, anchor, context = found
+                row, places, anchor, context, low, high = found
                 pos = (places - slab.offsets[row]).astype(np.int32)
-                columns = [kernels.signed(anchor), kernels.signed(context), keys[slab.first + row], pos]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "context", "doc", "pos"])
+                columns = [kernels.signed(anchor), kernels.signed(context), keys[slab.first + row], pos, low.astype(np.int32), high.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "context", "doc", "pos", "low", "high"])
 
-    return map_batches(docs, run, "anchor long, context long, doc long, pos int")
+    return map_batches(docs, run, "anchor long, context long, doc long, pos int, low int, high int")
 
 
-def context_bytes(docs: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
-    """The bytes of the contexts listed by document in ``wanted``; ``before``: bytes left of the anchor."""
+def context_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The bytes of the contexts listed in ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             out = [[] for _ in range(6)]
             for doc, text, places in zip(*(batch.column(i) for i in range(3))):
                 raw, doc = text.as_py().encode(), doc.as_py()
                 for place in places.as_py():
-                    low = max(0, place["pos"] - (length - gram))
-                    values = (place["anchor"], place["context"], doc, place["pos"], place["pos"] - low, raw[low : place["pos"] + length])
+                    pos, low = place["pos"], place["low"]
+                    values = (place["anchor"], place["context"], doc, pos, low, raw[pos + low : pos + place["high"]])
                     for column, value in zip(out, values):
                         column.append(value)
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            names = ["anchor", "context", "doc", "pos", "before", "bytes"]
+            names = ["anchor", "context", "doc", "pos", "low", "bytes"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
-    places = wanted.groupBy(F.col("doc").alias("of")).agg(F.collect_list(F.struct("anchor", "context", "pos")).alias("places"))
+    listed = F.collect_list(F.struct("anchor", "context", "pos", "low", "high"))
+    places = wanted.groupBy(F.col("doc").alias("of")).agg(listed.alias("places"))
     joined = docs.join(places, F.col("doc") == F.col("of")).select("doc", "text", "places")
     return map_batches(joined, run, REST_SCHEMA)
 
@@ -125,29 +141,33 @@ class Pool:
 
     def __init__(self, table: pa.Table, length: int):
         self.names = [table.column(c).to_numpy() for c in ("anchor", "context")]
-        self.before = table.column("before").to_numpy().astype(np.int64)
+        self.low = table.column("low").to_numpy().astype(np.int64)
         raw = table.column("bytes").to_pylist()
-        self.sizes = np.array([len(r) for r in raw])
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.starts = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
         self.text = np.frombuffer(b"".join(raw), np.uint8)
         _, doc = np.unique(table.column("doc").to_numpy(), return_inverse=True)
-        pos = table.column("pos").to_numpy().astype(np.int64) - self.before
-        self.origin = (doc.astype(np.int64) << 40) + pos  # where the context begins in the corpus
+        # Where the context begins in the corpus.
+        self.origin = (doc.astype(np.int64) << 40) + table.column("pos").to_numpy() + self.low
         self.length = length
 
+    def strings(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places in the pool where a string lies whole within its context, and which context."""
+        counts = np.maximum(np.diff(self.starts) - self.length + 1, 0)
+        owner = np.repeat(np.arange(len(counts)), counts)
+        return self.starts[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts), owner
+
     def repeated(self) -> np.ndarray:
         """Places in the pool where a string begins that begins elsewhere in the corpus as well."""
+        places, owners = self.strings()
+        owner = np.full(len(self.text), -1)
+        owner[places] = owners
         order = suffixes.suffix_array(self.text, self.length)
-        shared = suffixes.common_prefixes(self.text, order, self.length)
-        run = np.cumsum(shared < self.length)
-        owner = np.searchsorted(self.starts, order, "right") - 1
-        whole = order + self.length <= self.starts[owner + 1]
-        order, run, owner = order[whole], run[whole], owner[whole]
+        order = order[owner[order] >= 0]
         if not len(order):
             return order
+        heads = np.flatnonzero(suffixes.common_prefixes(self.text, order, self.length) < self.length)
         # One place of the corpus can lie in several contexts; it does not repeat itself.
-        origin = self.origin[owner] + order - self.starts[owner]
-        heads = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        origin = self.origin[owner[order]] + order - self.starts[owner[order]]
         several = np.minimum.reduceat(origin, heads) != np.maximum.reduceat(origin, heads)
         return np.sort(order[np.repeat(several, np.diff(np.append(heads, len(order))))])
 
@@ -158,7 +178,7 @@ class Pool:
         first[1:] = (owner[1:] != owner[:-1]) | (places[1:] > places[:-1] + self.length)
         last = np.ones(len(places), bool)
         last[:-1] = first[1:]
-        at = self.starts[owner] + self.before[owner]
+        at = self.starts[owner] - self.low[owner]
         low, high = (places - at)[first], (places + self.length - at)[last]
         names = [pa.array(column[owner[first]]) for column in self.names]
         arrays = [*names, pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))]
@@ -200,18 +220,18 @@ def counted_strings(rest: DataFrame, length: int) -> DataFrame:
     """The same for anchors with very many contexts: every string by its hash, in counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = (kernels.letters(12), kernels.letters(13))
         for batch in batches:
-            for row in batch.to_pylist():
-                data = np.frombuffer(row["bytes"], np.uint8)
-                at = np.arange(len(data) - length + 1)
-                names = [kernels.signed(kernels.span_hash(kernels.prefix_hash(data, v), at, at + length)) for v in letters]
-                fixed = [np.full(len(at), row[c], np.int64) for c in ("anchor", "context", "doc")]
-                place = [at - row["before"], at + row["pos"] - row["before"]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in (*names, *fixed, place[0].astype(np.int32), place[1])],
-                    ["one", "two", "anchor", "context", "doc", "low", "start"],
-                )
+            for start in range(0, batch.num_rows, 1024):
+                table = pa.Table.from_batches([batch.slice(start, 1024)])
+                pool = Pool(table, length)
+                places, owner = pool.strings()
+                hashes = (kernels.span_hash(kernels.prefix_hash(pool.text, kernels.letters(s)), places, places + length) for s in (12, 13))
+                low = places - pool.starts[owner] + pool.low[owner]
+                columns = [
+                    *map(kernels.signed, hashes), *(name[owner] for name in pool.names), table.column("doc").to_numpy()[owner],
+                    low.astype(np.int32), table.column("pos").to_numpy()[owner] + low,
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["one", "two", "anchor", "context", "doc", "low", "start"])
 
     strings = map_batches(rest, run, "one long, two long, anchor long, context long, doc long, low int, start long")
     where = F.struct("doc", "start")
@@ -227,7 +247,7 @@ def _unique_keys(rows: DataFrame) -> DataFrame:
     if doubled.isEmpty():
         # The filter drops nothing; with it, both joins below read one and the same exchange.
         return rows.select(F.col("doc_id").alias("doc"), "text").filter("doc is not null")
-    return materialize(rows.withColumn("doc", F.monotonically_increasing_id()))
+    return store(rows.withColumn("doc", F.monotonically_increasing_id()), "numbered")
 
 
 def cut_repeated_bytes(docs: DataFrame, key="doc_id", text="text", length: int = LENGTH, gram: int = GRAM, wide: int = WIDE) -> DataFrame:
@@ -235,31 +255,21 @@ def cut_repeated_bytes(docs: DataFrame, key="doc_id", text="text", length: int =
     rows = _unique_keys(documents_of(docs, key, text))
     texts = rows.select("doc", "text")
     anchors = anchor_table(texts, length, gram)
-    ends = anchors.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("n"), F.min("context").alias("least"), F.max("context").alias("most")
-    )
     # Written out, so that the join deals both sides anew and Spark can split a hot anchor.
-    often = materialize(ends.filter("n > 1").select("anchor", (F.col("least") != F.col("most")).alias("mixed")))
-    places = materialize(anchors.join(often, "anchor"))
-
-    contexts = places.groupBy("anchor", "context").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "pos")).alias("one"), F.first("mixed").alias("mixed")
-    )
-    contexts = materialize(contexts)
-    whole = contexts.filter("n > 1").select(
-        "anchor", "context", F.lit(gram - length).cast("int").alias("low"), F.lit(length).cast("int").alias("high")
-    )
-    rest = contexts.filter("mixed").select("anchor", "context", "one.doc", "one.pos")
-    many = rest.groupBy("anchor").count().filter(F.col("count") > wide).select("anchor")
+    often = materialize(anchors.groupBy("anchor").count().filter("count > 1").select("anchor"))
+    places = store(anchors.join(often, "anchor"), "anchors")
+
+    one = F.min(F.struct("doc", "pos", "low", "high")).alias("one")
+    contexts = store(places.groupBy("anchor", "context").agg(F.count(F.lit(1)).alias("n"), one), "contexts")
+    whole = contexts.filter("n > 1").select("anchor", "context", "one.low", "one.high")
+    kinds = materialize(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"))
+    rest = contexts.join(kinds.filter(F.col("kinds") <= wide), "anchor", "left_semi").select("anchor", "context", "one.*")
+    many = kinds.filter(F.col("kinds") > wide)
     known = ["anchor", "context"]
-    found = whole
-    if many.isEmpty():
-        found = found.unionByName(sorted_contexts(context_bytes(texts, rest, length, gram), length))
-    else:
-        many = materialize(many)
-        narrow = context_bytes(texts, rest.join(many, "anchor", "left_anti"), length, gram)
-        broad = context_bytes(texts, rest.join(many, "anchor", "left_semi"), length, gram)
-        found = found.unionByName(sorted_contexts(narrow, length)).unionByName(counted_strings(broad, length))
+    found = whole.unionByName(sorted_contexts(context_bytes(texts, rest), length))
+    if not many.isEmpty():
+        broad = contexts.join(many, "anchor", "left_semi").select("anchor", "context", "one.*")
+        found = found.unionByName(counted_strings(context_bytes(texts, broad), length))
     spans = places.select("doc", "pos", *known).join(found, known)
     spans = spans.groupBy(F.col("doc").alias("of")).agg(
         F.collect_set(F.struct((F.col("pos") + F.col("low")).alias("low"), (F.col("pos") + F.col("high")).alias("high"))).alias("spans")
@@ -270,7 +280,7 @@ def cut_repeated_bytes(docs: DataFrame, key="doc_id", text="text", length: int =
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches):
         sizes, removed, counts, kept, spans = [], [], [], [], []
         for text, found in zip(batch.column(1), batch.column(2)):
             raw = text.as_py().encode()

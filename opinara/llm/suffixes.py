@@ -28,25 +28,33 @@ def words_at(padded: np.ndarray, count: int, kind: str) -> np.ndarray:
     return np.ndarray((count,), kind, padded.data, strides=(1,))
 
 
+def block_ranks(padded: np.ndarray) -> np.ndarray:
+    """The rank of the 16 bytes at each place among all such blocks: bigger steps for the sort."""
+    words = words_at(padded, len(padded) - 7, ">u8").astype(np.uint64)
+    ranks = np.unique(words, return_inverse=True)[1].astype(np.uint64)
+    return np.unique((ranks[:-8] << np.uint64(32)) | ranks[8:], return_inverse=True)[1].astype(np.uint64)
+
+
 def sort_directly(places: np.ndarray, padded: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes in the order of their first ``depth`` bytes; only ties go on to the next bytes."""
-    keys = words_at(padded, len(padded) - 3, ">u4")
+    keys = block_ranks(padded)
     order = places.copy()
-    group = np.zeros(len(order), np.uint64)
-    active = np.arange(len(order))
-    for offset in range(0, depth, 4):
-        composite = (group[active] << np.uint64(32)) | keys[order[active] + offset].astype(np.uint64)
+    # Of the suffixes still tied: where they stand in the order, which they are, and their group.
+    slot, tied, group = np.arange(len(order)), places, np.zeros(len(order), np.uint64)
+    for offset in range(0, depth, 16):
+        composite = (group << np.uint64(32)) | keys[tied + offset]
         turn = np.argsort(composite, kind="stable")
-        composite = composite[turn]
-        order[active] = order[active][turn]
-        # Members of a group stand side by side, so a group's number is where it starts.
+        composite, tied = composite[turn], tied[turn]
+        order[slot] = tied
         first = np.ones(len(composite), bool)
         first[1:] = composite[1:] != composite[:-1]
         starts = np.flatnonzero(first)
         sizes = np.diff(np.append(starts, len(composite)))
-        group[active] = np.repeat(active[starts], sizes).astype(np.uint64)
-        active = active[np.repeat(sizes > 1, sizes)]
-        if not len(active):
+        stay = np.repeat(sizes > 1, sizes)
+        # Members of a group stand side by side, so a group's number is where it starts.
+        group = np.repeat(slot[starts], sizes)[stay].astype(np.uint64)
+        slot, tied = slot[stay], tied[stay]
+        if not len(tied):
             break
     return order
 
@@ -54,7 +62,7 @@ def sort_directly(places: np.ndarray, padded: np.ndarray, depth: int) -> np.ndar
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """All suffixes in the order of at least their first ``depth`` bytes."""
     count = len(text)
-    padded = np.concatenate([text, np.zeros(depth + 8, np.uint8)])
+    padded = np.concatenate([text, np.zeros(depth + 32, np.uint8)])
     small = small_suffixes(text)
     sorted_small = sort_directly(np.flatnonzero(small), padded, depth)
     sizes = np.bincount(text, minlength=256)
@@ -92,19 +100,20 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray, cap: int) -> np.ndarray:
-    """Bytes, up to ``cap`` rounded up to eights, that each suffix shares with the one before it."""
+    """Bytes, ``cap`` or up to seven more at most, that each listed suffix shares with the one before it."""
     padded = np.concatenate([text, np.zeros(cap + 16, np.uint8)])
-    keys = words_at(padded, len(padded) - 7, ">u8")
+    keys = words_at(padded, len(padded) - 7, "<u8").astype(np.uint64)
     shared = np.zeros(len(order), np.int64)
     active = np.arange(1, len(order))
+    one, two = order[1:], order[:-1]
     for offset in range(0, cap, 8):
-        one = keys[order[active] + offset].astype(np.uint64)
-        differ = one ^ keys[order[active - 1] + offset].astype(np.uint64)
+        differ = keys[one + offset] ^ keys[two + offset]
         same = differ == 0
         ends = differ[~same]
-        shared[active[~same]] = offset + sum((ends < np.uint64(1 << 8 * b)).astype(np.int64) for b in range(1, 8))
-        active = active[same]
+        # The lowest byte that differs is the first.
+        shared[active[~same]] = offset + sum(((ends & np.uint64((1 << 8 * b) - 1)) == 0).astype(np.int64) for b in range(1, 8))
+        active, one, two = active[same], one[same], two[same]
         shared[active] = offset + 8
-    limits = len(text) - np.maximum(order[1:], order[:-1]) if len(order) > 1 else 0
-    shared[1:] = np.minimum(shared[1:], limits)
+    if len(order) > 1:
+        shared[1:] = np.minimum(shared[1:], len(text) - np.maximum(order[1:], order[:-1]))
     return shared
