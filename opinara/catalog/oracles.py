@@ -212,6 +212,31 @@ _FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
+_FRAGMENTS["partly"] = (
+    ("rules",),
+    """SELECT r.label, r.prediction, coalesce(s.score, '-inf'::DOUBLE) AS score
+       FROM rules r LEFT JOIN (SELECT conv_id AS doc_id, max(turn) / 10.0::DOUBLE AS score
+                               FROM conversations GROUP BY conv_id) s USING (doc_id)""",
+)
+_FRAGMENTS["partly_scored"] = (
+    ("partly",),
+    """SELECT score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END)::DOUBLE AS pos,
+              sum(CASE WHEN label = 0 THEN 1 ELSE 0 END)::DOUBLE AS neg FROM partly GROUP BY score""",
+)
+_FRAGMENTS["partly_ranked"] = (
+    ("partly_scored",),
+    """SELECT *, sum(pos) OVER (ORDER BY score DESC) AS pos_upto, sum(neg) OVER (ORDER BY score DESC) AS neg_upto,
+              sum(pos) OVER () AS positives, sum(neg) OVER () AS negatives FROM partly_scored""",
+)
+_FRAGMENTS["partly_cells"] = (
+    ("partly",),
+    """SELECT sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END)::DOUBLE AS tp,
+              sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END)::DOUBLE AS fp,
+              sum(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END)::DOUBLE AS tn,
+              sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END)::DOUBLE AS fn FROM partly""",
+)
+
+
 def _weighted(cells: str, keys: str = "") -> str:
     """Accuracy and support-weighted precision, recall and F1 from tp, fp, tn, fn."""
     return f"""SELECT {keys}
@@ -229,6 +254,11 @@ def _weighted(cells: str, keys: str = "") -> str:
 
 
 _FRAGMENTS["rule_metrics"] = (("rule_cells",), _weighted("rule_cells", "seq, model, feature_type,"))
+_FRAGMENTS["partly_metrics"] = (("partly_cells",), _weighted("partly_cells"))
+_FRAGMENTS["partly_auc"] = (
+    ("partly_ranked",),
+    "SELECT sum(pos * (negatives - neg_upto + 0.5 * neg)) / (any_value(positives) * any_value(negatives)) AS auc FROM partly_ranked",
+)
 _FRAGMENTS["rule_runs"] = (
     ("rule_metrics", "rule_auc"),
     "SELECT * FROM rule_metrics JOIN rule_auc USING (seq)",
@@ -410,6 +440,16 @@ ORACLES: dict[str, str] = {
     "metrics": _sql(
         f"SELECT {_ROUNDED} FROM rule_runs WHERE seq = 0", "rule_runs"
     ),
+    "metrics_partly_scored": _sql(
+        f"SELECT {_ROUNDED} FROM partly_metrics CROSS JOIN partly_auc", "partly_metrics", "partly_auc"
+    ),
+    "roc_partly_scored": _sql(
+        """SELECT NULL::DOUBLE AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+           UNION ALL SELECT CASE WHEN isfinite(score) THEN round(score, 6) ELSE score END,
+                            round(neg_upto / negatives, 6), round(pos_upto / positives, 6)
+           FROM partly_ranked""",
+        "partly_ranked",
+    ),
     "auc_exact": _sql("SELECT round(auc, 6) AS auc FROM rule_auc WHERE seq = 0", "rule_auc"),
     "confusion_matrix": _sql(
         """SELECT l.label, p.prediction, count(r.doc_id) AS cnt

@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opinara.catalog.tables import (
-    KEY, RULE_RUNS, articles, raw_reviews, reviews, rule_predictions, rule_runs, table,
+    KEY, RULE_RUNS, articles, partial_predictions, raw_reviews, reviews, rule_predictions, rule_runs, table,
     train_and_test, upstream_reviews, with_tokens,
 )
 from opinara.functions.predictions import confidence, verdict
@@ -229,6 +229,17 @@ def roc_points(spark, sf_dir):
     return rounded(curves.roc_points(rule_predictions(spark, sf_dir)), "threshold", "fpr", "tpr")
 
 
+@query
+def metrics_partly_scored(spark, sf_dir):
+    measured = evaluation.classification_metrics(partial_predictions(spark, sf_dir))
+    return rounded(measured, *run_tables.METRICS)
+
+
+@query
+def roc_partly_scored(spark, sf_dir):
+    return rounded(curves.roc_points(partial_predictions(spark, sf_dir)), "threshold", "fpr", "tpr")
+
+
 @query
 def pr_points(spark, sf_dir):
     points = curves.pr_points(rule_predictions(spark, sf_dir))

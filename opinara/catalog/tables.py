@@ -74,6 +74,13 @@ def rule_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_scores(reviews(spark, sf_dir))
 
 
+def partial_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule's predictions with scores from elsewhere, which only some of the reviews have."""
+    texts = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias(KEY))
+    scores = texts.agg((F.max("turn") / F.lit(10.0)).alias("prob"))
+    return rule_predictions(spark, sf_dir).drop("prob").join(scores, KEY, "left")
+
+
 def rule_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A runs table of three rules, evaluated side by side in one pass over the reviews."""
     chars = F.least(F.length("text"), F.lit(RULE_CHARS)) / F.lit(float(RULE_CHARS))

@@ -69,13 +69,14 @@ def evaluation_job(predictions: DataFrame, key: str, out: str) -> dict[str, str]
             F.length(text).alias("text_length"), preview(text).alias("preview"),
         )
     )
+    ranked = materialize(curves.ranked_counts(kept))  # metrics and all curves come from it
     return _write(
         {
-            "metrics": metrics.classification_metrics(kept),
+            "metrics": metrics.classification_metrics(kept, ranked=ranked),
             "confusion": metrics.confusion(kept),
-            "roc": curves.roc_points(kept),
-            "precision_recall": curves.pr_points(kept),
-            "average_precision": curves.average_precision(kept),
+            "roc": curves.roc_points(kept, ranked=ranked),
+            "precision_recall": curves.pr_points(kept, ranked=ranked),
+            "average_precision": curves.average_precision(kept, ranked=ranked),
             "overview": metrics.error_overview(kept),
             "accuracy_by_length": metrics.accuracy_by_length(kept, length="text_length"),
             "confidence": metrics.confidence_histogram(kept),

@@ -4,10 +4,16 @@ A running sum over the whole score order would put every score on one task. Inst
 scores are merged first, the distinct scores are cut into slices of about equal size, sums run
 within a slice, and the totals of the slices above are added. The cut points come from an
 approximate quantile, which decides only how even the slices are, never the result.
+
+A row without a score (null or NaN) counts like any other: it ranks below every score, under the
+threshold minus infinity.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -20,16 +26,19 @@ INFINITY = float("inf")
 def score_counts(df: DataFrame, score: str = "prob", by: tuple[str, ...] = ()) -> DataFrame:
     """Per distinct score: rows of each class, and how many of them are predicted positive."""
     positive, predicted = F.col("label") == 1, F.col("prediction") == 1
+    value = F.col(score).cast("double")
+    value = F.when(value.isNull() | F.isnan(value), F.lit(-INFINITY)).otherwise(value)
     cells = {"tn": ~positive & ~predicted, "fn": positive & ~predicted}
     cells |= {"fp": ~positive & predicted, "tp": positive & predicted}
-    return df.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
+    return df.groupBy(*by, value.alias("score")).agg(
         *[F.count(F.when(cell, 1)).alias(name) for name, cell in cells.items()]
     )
 
 
 def _sliced(counts: DataFrame, slices: int) -> DataFrame:
     shares = [i / slices for i in range(1, slices)]
-    cuts = sorted(set(counts.approxQuantile("score", shares, 0.25 / slices))) or [0.5]
+    cuts = {cut for cut in counts.approxQuantile("score", shares, 0.25 / slices) if abs(cut) < INFINITY}
+    cuts = sorted(cuts) or [0.5]
     slicer = Bucketizer(splits=[-INFINITY, *cuts, INFINITY], inputCol="score", outputCol="slice")
     return slicer.transform(counts)
 
@@ -60,9 +69,13 @@ def ranked_counts(
         )
     )
     within = Window.partitionBy(*by, "slice").orderBy(F.desc("score"))
+    run = counts.withColumns({"pos_run": F.sum("pos").over(within), "neg_run": F.sum("neg").over(within)})
+    keys = (*by, "slice")
+    offsets = offsets.withColumnsRenamed({c: f"of_{c}" for c in keys})
+    # Null-safe: a group may be named by a null.
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"of_{c}")) for c in keys))
     return (
-        counts.withColumns({"pos_run": F.sum("pos").over(within), "neg_run": F.sum("neg").over(within)})
-        .join(offsets, [*by, "slice"])
+        run.join(offsets, same)
         .select(
             *by,
             "score",
@@ -98,12 +111,12 @@ def _with_start(df: DataFrame, points: DataFrame, **start: float) -> DataFrame:
     return first.unionByName(points)
 
 
-def roc_points(df: DataFrame, score: str = "prob") -> DataFrame:
+def roc_points(df: DataFrame, score: str = "prob", ranked: DataFrame | None = None) -> DataFrame:
     """False and true positive rate at every distinct score, after the start at (0, 0).
 
     A rate over a class without rows is NULL.
     """
-    ranked = ranked_counts(df, score)
+    ranked = ranked_counts(df, score) if ranked is None else ranked
     points = ranked.select(
         F.col("score").alias("threshold"),
         F.try_divide("neg_upto", "negatives").alias("fpr"),
@@ -112,9 +125,9 @@ def roc_points(df: DataFrame, score: str = "prob") -> DataFrame:
     return _with_start(df, points, fpr=0.0, tpr=0.0)
 
 
-def pr_points(df: DataFrame, score: str = "prob") -> DataFrame:
+def pr_points(df: DataFrame, score: str = "prob", ranked: DataFrame | None = None) -> DataFrame:
     """Precision and recall at every distinct score, after the start at precision 1, recall 0."""
-    ranked = ranked_counts(df, score)
+    ranked = ranked_counts(df, score) if ranked is None else ranked
     points = ranked.select(
         F.col("score").alias("threshold"),
         (F.col("pos_upto") / (F.col("pos_upto") + F.col("neg_upto"))).alias("precision"),
@@ -123,8 +136,9 @@ def pr_points(df: DataFrame, score: str = "prob") -> DataFrame:
     return _with_start(df, points, precision=1.0, recall=0.0)
 
 
-def average_precision(df: DataFrame, score: str = "prob") -> DataFrame:
+def average_precision(df: DataFrame, score: str = "prob", ranked: DataFrame | None = None) -> DataFrame:
     """Precision summed over falling scores, weighted by the recall each score adds."""
     gained = F.try_divide("pos", "positives")
     precision = F.col("pos_upto") / (F.col("pos_upto") + F.col("neg_upto"))
-    return ranked_counts(df, score).agg(F.sum(gained * precision).alias("average_precision"))
+    ranked = ranked_counts(df, score) if ranked is None else ranked
+    return ranked.agg(F.sum(gained * precision).alias("average_precision"))

@@ -54,11 +54,11 @@ def _weighted_metrics() -> dict[str, Column]:
 
 
 def classification_metrics(
-    df: DataFrame, score: str | None = "prob", by: tuple[str, ...] = ()
+    df: DataFrame, score: str | None = "prob", by: tuple[str, ...] = (), ranked: DataFrame | None = None
 ) -> DataFrame:
     """Accuracy, weighted precision, recall, F1 and, given a score, the exact AUC.
 
-    One pass over the predictions; ``by`` evaluates several runs side by side.
+    Every row counts, whether it has a score or not. ``ranked`` hands over ranked counts already made. One pass over the predictions; ``by`` evaluates several runs side by side.
     """
     totals = [F.sum(c).alias(c) for c in ("tp", "fp", "tn", "fn")]
     if score is None:
@@ -66,7 +66,8 @@ def classification_metrics(
         counted = counted.groupBy(*by).agg(*totals)
         area = F.lit(None).cast("double")
     else:
-        counted = ranked_counts(df, score, by).groupBy(*by).agg(*totals, auc_sum().alias("auc"))
+        ranked = ranked_counts(df, score, by) if ranked is None else ranked
+        counted = ranked.groupBy(*by).agg(*totals, auc_sum().alias("auc"))
         area = F.col("auc")
     metrics = [value.alias(name) for name, value in _weighted_metrics().items()]
     return counted.select(*by, *metrics, area.alias("auc"))

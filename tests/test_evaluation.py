@@ -123,3 +123,22 @@ def test_nothing_to_evaluate(spark):
     assert metrics.accuracy_by_length(df.withColumn("combined_text", F.lit(""))).count() == 0
     assert metrics.confusion(df).agg(F.sum("cnt")).first()[0] == 0
     assert curves.roc_points(df).count() == 1
+
+
+def test_rows_without_a_score_count(spark):
+    rows = [(1.0, 1.0, 0.9), (0.0, 0.0, 0.2), (1.0, 0.0, None), (0.0, 1.0, float("nan")), (1.0, 1.0, 0.2)]
+    df = spark.createDataFrame(rows, "label double, prediction double, prob double")
+    measured = metrics.classification_metrics(df).first()
+    assert measured.accuracy == pytest.approx(0.6)
+    # Positives at 0.9, 0.2 and unscored, negatives at 0.2 and unscored: 4 of 6 pairs right, ties half.
+    assert measured.auc == pytest.approx((2 + 1.5 + 0.5) / 6)
+    points = sorted((p.fpr, p.tpr) for p in curves.roc_points(df).collect())
+    assert points[0] == (0.0, 0.0) and points[-1] == (1.0, 1.0) and len(points) == 4
+    assert curves.pr_points(df).agg({"recall": "max"}).first()[0] == 1.0
+
+
+def test_a_group_named_by_a_null_counts(spark):
+    rows = [(None, 1.0, 1.0, 0.9), (None, 0.0, 0.0, 0.1), ("a", 1.0, 0.0, 0.4)]
+    df = spark.createDataFrame(rows, "run string, label double, prediction double, prob double")
+    found = {r.run: r.accuracy for r in metrics.classification_metrics(df, by=("run",)).collect()}
+    assert found == {None: 1.0, "a": 0.0}
