@@ -17,6 +17,9 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--train", default=SourceSettings.train_path)
         command.add_argument("--test", default=SourceSettings.test_path)
         command.add_argument("--fraction", type=float, default=1.0, help="share of rows to use")
+        command.add_argument("--format", choices=["parquet", "csv"], help="default: by the paths' endings")
+        command.add_argument("--header", action="store_true", help="CSV files begin with column names")
+        command.add_argument("--single-line", action="store_true", help="no text in CSV holds a line break")
         command.add_argument("--out", required=True)
         if name == "errors":
             command.add_argument("--model", required=True)
@@ -38,7 +41,10 @@ def main(arguments: list[str] | None = None) -> object:
         return jobs.conform_job(spark, given.source, given.out, given.format, given.expect)
     if given.job == "export":
         return jobs.export_job(spark, given.model, given.out)
-    sources = SourceSettings(given.train, given.test, sample_fraction=given.fraction)
+    sources = SourceSettings(
+        given.train, given.test, sample_fraction=given.fraction,
+        fmt=given.format, header=given.header, multiline=not given.single_line,
+    )
     if given.job == "errors":
         return jobs.error_job(spark, sources, given.model, given.out)
     work = {"profile": jobs.profile_job, "train": jobs.train_job, "scaling": jobs.scaling_job}

@@ -31,6 +31,7 @@ from opinara.streaming.scoring import review_stream, score_stream
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+STATES = 1024  # partial feature summaries, one for so many tasks at most
 SAMPLE_FRACTION, SAMPLE_ROWS, SAMPLE_PER_CLASS = 0.1, 250, 40
 # Terms and weights of a hand-made linear model, and its intercept.
 DEMO_WEIGHTS = {"de": 0.02, "la": -0.015, "the.": 0.05, "der": -0.1, "que": 0.075, "orre": -0.03}
@@ -59,7 +60,7 @@ def scan_parquet(spark, sf_dir):
 def scan_csv(spark, sf_dir):
     path = fresh_path(spark, "reviews-csv")
     sources.write_reviews(raw_reviews(spark, sf_dir).drop(KEY), path, "csv")
-    return sources.read_reviews(spark, path)
+    return sources.read_reviews(spark, path, fmt="csv")
 
 
 @query
@@ -324,15 +325,20 @@ def tfidf_terms(spark, sf_dir):
 
 
 def _slots(vectors: DataFrame, column: str) -> DataFrame:
-    """Mean and non-zero entries per feature slot, aggregated without densifying any row."""
-    summary = Summarizer.metrics("mean", "numNonZeros").summary(F.col(column))
-    means, filled = (vector_to_array(F.col(f"s.{name}")) for name in ("mean", "numNonZeros"))
-    slots = vectors.agg(summary.alias("s")).select(F.posexplode(F.arrays_zip(means.alias("mean"), filled.alias("docs"))))
-    return slots.select(
-        F.col("pos").alias("slot"),
-        F.col("col.mean").alias("mean"),
-        F.col("col.docs").cast("bigint").alias("docs"),
-    ).filter(F.col("docs") > 0)
+    """Mean and non-zero entries per feature slot.
+
+    Two levels: a dense state per group of tasks first, then the groups' slots apart, so that the
+    states of all tasks never meet in one.
+    """
+    summary = Summarizer.metrics("sum", "numNonZeros", "count").summary(F.col(column))
+    states = vectors.groupBy((F.spark_partition_id() % STATES).alias("state")).agg(summary.alias("s"))
+    totals, filled = (vector_to_array(F.col(f"s.{name}")) for name in ("sum", "numNonZeros"))
+    slots = states.select(F.col("s.count").alias("n"), F.posexplode(F.arrays_zip(totals.alias("sum"), filled.alias("docs"))))
+    rows = states.agg(F.sum("s.count")).scalar()
+    merged = slots.groupBy(F.col("pos").alias("slot")).agg(
+        (F.sum("col.sum") / rows).alias("mean"), F.sum("col.docs").cast("bigint").alias("docs")
+    )
+    return merged.filter(F.col("docs") > 0)
 
 
 @query
@@ -341,9 +347,13 @@ def hashed_tf(spark, sf_dir):
     text = PipelineModel(stages=text_stages()).transform(articles(spark, sf_dir, heavy=True))
     hashing = weighting_stages("tfidf")[0]
     total = Summarizer.metrics("sum").summary(F.col(HASHED))
-    summed = hashing.transform(text).agg(F.count(F.lit(1)).alias("n_docs"), total.alias("s"))
+    states = hashing.transform(text).groupBy((F.spark_partition_id() % STATES).alias("state"))
+    summed = states.agg(F.count(F.lit(1)).alias("n_docs"), total.alias("s"))
     added = F.aggregate(vector_to_array(F.col("s.sum")), F.lit(0.0), lambda a, b: a + b)
-    return summed.select("n_docs", added.cast("bigint").alias("total_tf"))
+    return summed.select("n_docs", added.alias("tf")).agg(
+        F.coalesce(F.sum("n_docs"), F.lit(0)).alias("n_docs"),
+        F.coalesce(F.sum("tf"), F.lit(0.0)).cast("bigint").alias("total_tf"),
+    )
 
 
 def _fitted_features(spark, sf_dir, feature_type) -> DataFrame:
@@ -461,7 +471,7 @@ def score_with_weights(spark, sf_dir):
         spark, list(DEMO_WEIGHTS), list(DEMO_WEIGHTS.values()), DEMO_INTERCEPT
     )
     docs = with_tokens(articles(spark, sf_dir, heavy=True))
-    scored = weights.score_with_weights(docs, demo, KEY, terms=len(DEMO_WEIGHTS))
+    scored = weights.score_with_weights(docs, demo, KEY)
     return rounded(scored, "margin", "prob")
 
 

@@ -94,15 +94,18 @@ def train_job(
     """Run the grid, log and compare the runs, save the best model and its evaluation."""
     train, test = load_splits(spark, sources)
     result = run_grid(spark, train, test, specs or default_grid(), KEY, overrides)
-    paths = {
-        "runs": write_runs_json(result.runs, f"{out}/runs"),
-        "log": append_log(log_entries(valid_runs(result.runs)), f"{out}/log"),
-    }
-    paths |= _write({"comparison": comparison(valid_runs(result.runs))}, out)
+    paths = {"runs": write_runs_json(result.runs, f"{out}/runs")}
+    failed = result.runs.filter(F.col("error").isNotNull()).select("seq", "model", "feature_type", "error")
+    paths |= _write({"comparison": comparison(valid_runs(result.runs)), "failed": failed}, out)
     if result.best_model is not None:
         paths["model"] = save_model(result.best_model, f"{out}/model")
-        paths |= evaluation_job(result.best_predictions, KEY, f"{out}/evaluation")
-        result.best_predictions.unpersist()
+        paths |= evaluation_job(score(result.best_model, test), KEY, f"{out}/evaluation")
+    specs = specs or default_grid()
+    for seq, spec in enumerate(specs):
+        params = {"vocab_size": spec.settings.vocab_size, "min_df": spec.settings.min_df}
+        artifacts = [paths[name] for name in ("model", "metrics", "roc") if name in paths] if spec == result.best else []
+        entries = log_entries(valid_runs(result.runs.filter(F.col("seq") == seq)), params, artifacts)
+        paths["log"] = append_log(entries, f"{out}/log")
     return paths
 
 

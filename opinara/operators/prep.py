@@ -12,12 +12,20 @@ from opinara.settings import SEED
 TEST_FRACTION = 0.2
 
 
-def drop_nulls(df: DataFrame) -> DataFrame:
-    """Keep complete rows. One condition per column, so that each can reach its scan."""
+def complete(df: DataFrame) -> list[Column]:
+    """What makes a row complete: one condition per column, two where NaN is possible."""
+    conditions = []
     for name, kind in df.dtypes:
-        df = df.filter(F.col(name).isNotNull())
+        conditions.append(F.col(name).isNotNull())
         if kind in ("float", "double"):
-            df = df.filter(~F.isnan(name))
+            conditions.append(~F.isnan(name))
+    return conditions
+
+
+def drop_nulls(df: DataFrame) -> DataFrame:
+    """Keep complete rows. Condition by condition, so that each can reach its scan."""
+    for condition in complete(df):
+        df = df.filter(condition)
     return df
 
 

@@ -88,7 +88,9 @@ def clean_metrics(metrics: Column) -> Column:
     return F.map_filter(named, lambda _, value: value.isNotNull())
 
 
-def log_entries(runs: DataFrame, params: Mapping[str, object] | None = None) -> DataFrame:
+def log_entries(
+    runs: DataFrame, params: Mapping[str, object] | None = None, artifacts: Sequence[str] = ()
+) -> DataFrame:
     """Log rows of a runs table: what was run as params, what came out as metrics."""
     given = [F.lit(text) for pair in (params or {}).items() for text in (pair[0], str(pair[1]))]
     metrics = [
@@ -102,7 +104,7 @@ def log_entries(runs: DataFrame, params: Mapping[str, object] | None = None) ->
         clean_metrics(
             F.create_map(*metrics, F.lit("training_time_seconds"), F.col("training_time"))
         ).alias("metrics"),
-        F.array().cast("array<string>").alias("artifacts"),
+        F.array(*map(F.lit, artifacts)).cast("array<string>").alias("artifacts"),
     )
 
 

@@ -26,10 +26,12 @@ def naive_bayes_weights(
 ) -> DataFrame:
     """Log prior ``pi`` and log likelihood ``theta`` per class and vocabulary term.
 
-    A fit, so it runs at once: one pass counts terms per class, and the result, two rows per
-    vocabulary term, is written to the shared folder.
+    A fit, so it runs at once: the texts are read once for the terms, whose counts are written out
+    and serve both the choice of the vocabulary and its counts per class, and once for the priors.
+    The result, two rows per vocabulary term, is written to the shared folder.
     """
     terms = term_stats(df, pieces, label, CLASSES).filter(F.col("df") >= F.lit(settings.min_df))
+    terms = materialize(terms)
     known = most_frequent(terms, settings.vocab_size)
     per_class = F.array(
         *[
@@ -55,6 +57,8 @@ def naive_bayes_margin(weights: DataFrame) -> DataFrame:
     """The two classes' logs as one weight per term plus an intercept row."""
     sign = F.when(F.col("label") == 1, 1.0).otherwise(-1.0)
     terms = weights.groupBy("idx", "term").agg(F.sum(sign * F.col("theta")).alias("weight"))
+    if weights.isEmpty():
+        raise ValueError("No term in the vocabulary; lower min_df or give more text")
     intercept = weights.filter(F.col("idx") == 0).agg(
         F.lit(INTERCEPT).alias("idx"),
         F.lit(None).cast("string").alias("term"),
@@ -72,17 +76,18 @@ def weights_of(spark: SparkSession, terms: list[str], weights: list[float], inte
 
 def score_with_weights(
     docs: DataFrame, weights: DataFrame, key: str, pieces: Column | str = "filtered_tokens",
-    terms: int = FeatureSettings().vocab_size, carry: tuple[str, ...] = (),
+    terms: int | None = None, carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Margin and positive probability of each document under a weights table.
 
-    ``terms`` bounds the rows of ``weights``: up to the broadcast limit no token is shuffled,
-    and only one partial sum per document and task is. ``key`` must be unique; ``carry`` names
+    The weights are counted unless ``terms`` says how many there are: up to the broadcast limit no token is
+    shuffled, and only one partial sum per document and task is. ``key`` must be unique; ``carry`` names
     columns to keep.
     """
     pieces = F.col(pieces) if isinstance(pieces, str) else pieces
     intercept = weights.filter(F.col("idx") == INTERCEPT).agg(F.first("weight").alias("w")).scalar()
     lookup = weights.filter(F.col("idx") != INTERCEPT).select("term", "weight")
+    terms = lookup.count() if terms is None else terms
     # explode_outer keeps documents without tokens, the left join those without known terms.
     scored = (
         docs.select(key, *carry, F.explode_outer(pieces).alias("term"))

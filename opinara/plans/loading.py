@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from opinara.operators.prep import prepare
 from opinara.operators.sampling import hash_sample
 from opinara.settings import SourceSettings
-from opinara.sources.reviews import is_parquet, read_reviews, with_file_key
+from opinara.sources.reviews import format_of, read_reviews, with_file_key
 
 KEY = "review_id"
 
@@ -18,11 +18,11 @@ def load_split(spark: SparkSession, path: str, settings: SourceSettings = Source
     Copies in CSV thus share a key: enough for sampling by fraction, which keeps or drops
     them together; write CSV as Parquet first where keys must be unique.
     """
-    raw = read_reviews(spark, path, settings.schema)
+    raw = read_reviews(spark, path, settings.schema, settings.header, settings.fmt, settings.multiline)
     columns = raw.columns
     keyed = (
-        with_file_key(raw, KEY)
-        if is_parquet(path)
+        with_file_key(raw, KEY, path)
+        if format_of(path, settings.fmt) == "parquet"
         else raw.withColumn(KEY, F.xxhash64(*columns))
     )
     return hash_sample(prepare(keyed), KEY, settings.sample_fraction)

@@ -11,13 +11,15 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors.exceptions.captured import CapturedException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from opinara.operators.metrics import classification_metrics
 from opinara.operators.prep import keep, release
-from opinara.operators.runs import METRICS, RUNS_SCHEMA
+from opinara.operators.runs import RUNS_SCHEMA, best_run
 from opinara.operators.sampling import hash_sample
 from opinara.plans.features import text_stages, weighting_stages
 from opinara.plans.models import classifier, full_pipeline, score
@@ -59,10 +61,11 @@ def default_grid(
 
 @dataclass
 class GridResult:
+    """Runs table, and the run of highest accuracy with its model; None where every run failed."""
+
     runs: DataFrame
     best: RunSpec | None
     best_model: PipelineModel | None
-    best_predictions: DataFrame | None
 
 
 def run_grid(
@@ -73,46 +76,25 @@ def run_grid(
     """Fit and evaluate every specification; a failing one becomes a row with its error.
 
     Text is tokenized once for all runs, and runs with equal features share one fit of them;
-    its time counts for each. The best run's model is kept, so nothing is fitted twice.
+    its time counts for each. Only what a run needs is cached: class and tokens. The models stay on
+    the driver until the runs can be compared; the winner can then score what it is asked to.
     """
     text = PipelineModel(stages=text_stages())
-    columns = [key, "label", "combined_text"]
-    tokenized = keep(text.transform(train.select(columns)).select("label", "filtered_tokens"))
-    held_out = keep(text.transform(test.select(columns)))
-    fitted: dict[tuple[str, FeatureSettings], tuple[PipelineModel, float]] = {}
-    rows, best = [], GridResult(None, None, None, None)
-    best_accuracy = 0.0
+    tokenized, held_out = (
+        keep(text.transform(rows.select(key, "label", "combined_text")).select(key, "label", "filtered_tokens"))
+        for rows in (train, test)
+    )
+    features: dict[tuple[str, FeatureSettings], tuple[PipelineModel, float]] = {}
+    rows, models = [], {}
     try:
         for seq, spec in enumerate(specs):
-            row = {"seq": seq, "model": spec.model, "feature_type": spec.feature_type}
+            row = dict.fromkeys(RUNS_SCHEMA.names) | {"seq": seq, "model": spec.model, "feature_type": spec.feature_type}
             try:
-                named = (spec.feature_type, spec.settings)
-                if named not in fitted:
-                    started = time.monotonic()
-                    stages = weighting_stages(*named)
-                    fitted[named] = Pipeline(stages=stages).fit(tokenized), time.monotonic() - started
-                features, seconds = fitted[named]
-                started = time.monotonic()
-                estimator = classifier(spec.model, **(overrides or {}).get(spec.model, {}))
-                model = estimator.fit(features.transform(tokenized))
-                row["training_time"] = seconds + time.monotonic() - started
-
-                stages = [*features.stages, model]
-                predictions = keep(
-                    score(PipelineModel(stages=stages), held_out, key, "label", "combined_text")
-                )
-                row |= classification_metrics(predictions).first().asDict()
-                if row["accuracy"] > best_accuracy:
-                    best_accuracy = row["accuracy"]
-                    if best.best_predictions is not None:
-                        release(best.best_predictions)
-                    best.best, best.best_predictions = spec, predictions
-                    best.best_model = PipelineModel(stages=[*text.stages, *stages])
-                else:
-                    release(predictions)
-            except Exception as failure:  # one run's failure must not end the study
+                fitted, row["training_time"] = _timed_fit(spec, tokenized, features, (overrides or {}).get(spec.model, {}))
+                row |= classification_metrics(score(fitted, held_out, key, "label")).first().asDict()
+                models[seq] = PipelineModel(stages=[*text.stages, *fitted.stages])
+            except (CapturedException, Py4JJavaError, ValueError) as failure:  # one run must not end the study
                 log.warning("run %s on %s failed: %s", spec.model, spec.feature_type, failure)
-                row |= {name: None for name in (*METRICS, "training_time")}
                 row["error"] = str(failure)
             rows.append(row)
             if on_run is not None:
@@ -120,8 +102,24 @@ def run_grid(
     finally:
         release(tokenized)
         release(held_out)
-    best.runs = spark.createDataFrame([{**dict.fromkeys(RUNS_SCHEMA.names), **r} for r in rows], RUNS_SCHEMA)
-    return best
+    runs = spark.createDataFrame(rows, RUNS_SCHEMA)
+    winner = best_run(runs).first()
+    seq = None if winner is None else winner.seq
+    return GridResult(runs, None if seq is None else specs[seq], models.get(seq))
+
+
+def _timed_fit(
+    spec: RunSpec, tokenized: DataFrame, features: dict, overrides: dict
+) -> tuple[PipelineModel, float]:
+    """Features and classifier of one run, and the seconds both took to fit."""
+    named = (spec.feature_type, spec.settings)
+    if named not in features:
+        started = time.monotonic()
+        features[named] = Pipeline(stages=weighting_stages(*named)).fit(tokenized), time.monotonic() - started
+    weighting, seconds = features[named]
+    started = time.monotonic()
+    model = classifier(spec.model, **overrides).fit(weighting.transform(tokenized))
+    return PipelineModel(stages=[*weighting.stages, model]), seconds + time.monotonic() - started
 
 
 def scaling_study(

@@ -12,8 +12,9 @@ REVIEW_SCHEMA = "polarity INT, title STRING, text STRING"
 @dataclass(frozen=True)
 class SessionSettings:
     app_name: str = "opinara"
-    driver_memory: str | None = "8g"
-    executor_memory: str | None = "8g"
+    # None leaves what spark-submit was given.
+    driver_memory: str | None = None
+    executor_memory: str | None = None
     extra: dict[str, str] = field(default_factory=dict)
 
 
@@ -23,6 +24,10 @@ class SourceSettings:
     test_path: str = "data/test.parquet"
     schema: str = REVIEW_SCHEMA
     sample_fraction: float = 1.0
+    # None picks the format by each path's ending.
+    fmt: str | None = None
+    header: bool = False
+    multiline: bool = True
 
 
 @dataclass(frozen=True)

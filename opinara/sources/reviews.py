@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from opinara.operators.prep import complete
 from opinara.settings import REVIEW_SCHEMA
 
 # One quoted newline makes a file unsplittable, so large tables are written as many files.
 ROWS_PER_FILE = 1_000_000
+# What a null is written as in CSV; an empty text is written as "".
+CSV_NULL = r"\N"
+FORMATS = ("parquet", "csv")
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:
@@ -24,10 +28,16 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def with_file_key(scan: DataFrame, key: str) -> DataFrame:
-    """Give rows of a Parquet scan a key: file name and position, whatever the partitioning."""
-    place = F.concat_ws(":", F.col("_metadata.file_name"), F.col("_metadata.row_index"))
-    return scan.withColumn(key, place)
+def with_file_key(scan: DataFrame, key: str, root: str = "") -> DataFrame:
+    """Give rows of a Parquet scan a key: the file's path below ``root`` and the row's position in it.
+
+    The path, not the name: folders of a partitioned table repeat the names of their files.
+    """
+    path = F.col("_metadata.file_path")
+    if root:
+        below = F.substring_index(path, root.rstrip("/"), -1)
+        path = F.when(below == "", F.col("_metadata.file_name")).otherwise(F.ltrim(below, F.lit("/")))
+    return scan.withColumn(key, F.concat_ws(":", path, F.col("_metadata.row_index")))
 
 
 def read_csv(
@@ -41,7 +51,8 @@ def read_csv(
 
     Texts with line breaks need ``multiline``, which reads each file in one task: many
     moderate files are read in parallel. Turn it off only for data known to have none.
-    CSV cannot tell an empty field from a missing one: both are read as null.
+    An empty text is a quoted empty field, a null is ``\\N``, as ``write_reviews`` writes them; in files from
+    elsewhere a field with nothing at all between two commas is read as null, too.
     """
     return spark.read.csv(
         path,
@@ -49,23 +60,34 @@ def read_csv(
         header=header,
         quote='"',
         escape='"',
+        nullValue=CSV_NULL,
         multiLine=multiline,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
 
 
-def is_parquet(path: str) -> bool:
-    return path.rstrip("/").endswith(".parquet")
+def format_of(path: str, fmt: str | None = None) -> str:
+    """The format given, else Parquet for paths that end in ``.parquet`` and CSV for all others."""
+    if fmt is not None and fmt not in FORMATS:
+        raise ValueError(f"Unknown format: {fmt}. Choose parquet or csv")
+    return fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
 
 
 def read_reviews(
-    spark: SparkSession, path: str, schema: str = REVIEW_SCHEMA, header: bool = False
+    spark: SparkSession, path: str, schema: str = REVIEW_SCHEMA, header: bool = False,
+    fmt: str | None = None, multiline: bool = True,
 ) -> DataFrame:
-    """Pick the reader by the path's ending, separately for each path."""
-    if is_parquet(path):
+    """Pick the reader by ``fmt`` or the path's ending, separately for each path.
+
+    Raises where a path to be read as CSV holds Parquet files.
+    """
+    if format_of(path, fmt) == "parquet":
         return read_parquet(spark, path)
-    return read_csv(spark, path, schema=schema, header=header)
+    found = read_csv(spark, path, schema=schema, header=header, multiline=multiline)
+    if any(name.endswith(".parquet") for name in found.inputFiles()):
+        raise ValueError(f"{path} holds Parquet files; give the format")
+    return found
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -99,6 +121,7 @@ def write_reviews(
             header=header,
             quote='"',
             escape='"',
+            nullValue=CSV_NULL,
             ignoreLeadingWhiteSpace=False,
             ignoreTrailingWhiteSpace=False,
         )
@@ -113,11 +136,11 @@ def first_rows(df: DataFrame, key: str, n: int = 5) -> DataFrame:
 
 
 def null_drop_counts(df: DataFrame) -> DataFrame:
-    """Rows before and after dropping rows with a null, in one pass."""
-    complete = F.lit(True)
-    for name in df.columns:
-        complete = complete & F.col(name).isNotNull()
+    """Rows before and after ``drop_nulls``, in one pass."""
+    whole = F.lit(True)
+    for condition in complete(df):
+        whole = whole & condition
     return df.agg(
         F.count(F.lit(1)).alias("rows_before"),
-        F.count(F.when(complete, 1)).alias("rows_after"),
+        F.count(F.when(whole, 1)).alias("rows_after"),
     )

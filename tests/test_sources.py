@@ -8,7 +8,7 @@ from opinara.sources import reviews as sources
 
 
 def test_settings():
-    assert SessionSettings().driver_memory == "8g"
+    assert SessionSettings().driver_memory is None
     assert SourceSettings().sample_fraction == 1.0
     assert [part.split()[0] for part in REVIEW_SCHEMA.split(", ")] == ["polarity", "title", "text"]
 
@@ -35,10 +35,34 @@ def test_written_reviews_come_back(spark, tmp_path, fmt):
     assert len(back.inputFiles()) > 1
 
 
-def test_csv_reads_an_empty_field_as_null(spark, tmp_path):
-    df = spark.createDataFrame([(1, "t", "")], REVIEW_SCHEMA)
+def test_csv_tells_empty_from_null(spark, tmp_path):
+    df = spark.createDataFrame([(1, "t", ""), (2, "", "x"), (None, None, "y"), (1, "", None)], REVIEW_SCHEMA)
     path = sources.write_reviews(df, str(tmp_path / "out"), "csv")
-    assert sources.read_reviews(spark, path).first().text is None
+    assert sorted(map(str, sources.read_reviews(spark, path).collect())) == sorted(map(str, df.collect()))
+
+
+def test_parquet_is_not_read_as_csv(spark, tmp_path):
+    df = spark.createDataFrame([(1, "t", "x")], REVIEW_SCHEMA)
+    path = sources.write_reviews(df, str(tmp_path / "reviews"))
+    with pytest.raises(ValueError, match="Parquet"):
+        sources.read_reviews(spark, path)
+    assert sources.read_reviews(spark, path, fmt="parquet").collect() == df.collect()
+    with pytest.raises(ValueError, match="Unknown format"):
+        sources.read_reviews(spark, path, fmt="xml")
+
+
+def test_keys_differ_across_partition_folders(spark, tmp_path):
+    for folder in ("day=1", "day=2"):
+        spark.range(2).coalesce(1).write.parquet(str(tmp_path / "t" / folder))
+        (part,) = (tmp_path / "t" / folder).glob("part-*")
+        part.rename(part.with_name("part-0.parquet"))
+    rows = sources.with_file_key(spark.read.parquet(str(tmp_path / "t")), "key", str(tmp_path / "t")).collect()
+    assert sorted(r.key for r in rows) == [f"day={d}/part-0.parquet:{i}" for d in (1, 2) for i in (0, 1)]
+
+
+def test_null_counts_agree_with_dropping(spark):
+    df = spark.createDataFrame([(1.0, "a"), (float("nan"), "b"), (None, "c"), (2.0, None)], "x double, t string")
+    assert sources.null_drop_counts(df).first() == (4, drop_nulls(df).count())
 
 
 def test_unknown_format(spark, tmp_path):
