@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from opinara.llm.frames import documents_of, map_batches
 FOLDS, SAMPLE_ROWS, SAMPLE_BYTES = 5, 3000, 32 << 20
 SHORTEST, LONGEST, BUCKETS, WIDTH = 3, 5, 1 << 17, 8
 EPOCHS, BATCH, RATE, TABLE_RATE, SEED = 12, 128, 0.05, 10.0, 42
-LEAST_DOCUMENTS, PADDING, CACHED_WORDS = 5, 10, 200_000
+LEAST_DOCUMENTS, PADDING, CACHED_WORDS, PIECE_ROWS = 5, 10, 300_000, 500
 WORD = re.compile(r"[^\W_]+")
 SCORED = "doc_id long, score double, predicted int"
 
@@ -73,6 +74,8 @@ class Model:
     bias: float
 
     def word_logits(self, words: list[str]) -> np.ndarray:
+        if not words:
+            return np.zeros(0)
         rows, counts = subwords(words)
         return np.add.reduceat(self.rows[rows], np.cumsum(counts) - counts) / counts
 
@@ -241,15 +244,14 @@ class Scorer:
         self.model, self.known = model, {}
 
     def scores(self, texts) -> list[float]:
-        out = []
-        for text in texts:
-            words = word_set(text)
+        out, texts = [], iter(texts)
+        while piece := [word_set(text) for text in islice(texts, PIECE_ROWS)]:
             if len(self.known) > CACHED_WORDS:
                 self.known.clear()
-            new = list(words - self.known.keys())
+            # The new words of many documents at once: numpy pays off on long arrays only.
+            new = list(set().union(*piece) - self.known.keys())
             if new:
                 self.known.update(zip(new, self.model.word_logits(new).tolist()))
-            mean = sum(map(self.known.__getitem__, words)) / (len(words) + PADDING)
-            logit = min(max(mean + self.model.bias, -500.0), 500.0)
-            out.append(1 / (1 + np.exp(-logit)))
+            means = [sum(map(self.known.__getitem__, words)) / (len(words) + PADDING) for words in piece]
+            out += (1 / (1 + np.exp(-np.clip(np.array(means) + self.model.bias, -500, 500)))).tolist()
         return out
