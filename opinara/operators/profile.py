@@ -1,7 +1,7 @@
 """Data profile: counts, histograms, densities, summaries.
 
 Clipped lengths take few distinct values, so each profile first counts rows per value (one
-scan, combined before the shuffle) and derives everything else from that small table.
+scan, combined before the shuffle), writes that small table out and derives everything else from it.
 """
 
 from __future__ import annotations
@@ -11,9 +11,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opinara.functions.text import clip
+from opinara.session import materialize
 
 DENSITY_POINTS = 1000
 QUARTILES = (0.25, 0.5, 0.75)
+RANGE = 256  # values to a range when ranks are looked up
 
 
 def split_counts(df: DataFrame, split: str = "split") -> DataFrame:
@@ -25,12 +27,12 @@ def class_distribution(df: DataFrame, split: str = "split", label: str = "label"
 
 
 def value_counts(df: DataFrame, series: dict[str, Column]) -> DataFrame:
-    """Rows per (series, value) for several measures in one scan."""
+    """Rows per (series, value) for several measures in one scan, run at once."""
     entries = [
         F.struct(F.lit(name).alias("series"), measure.cast("double").alias("value"))
         for name, measure in series.items()
     ]
-    return (
+    return materialize(
         df.select(F.inline(F.array(*entries)))
         .groupBy("series", "value")
         .agg(F.count(F.lit(1)).alias("cnt"))
@@ -148,33 +150,59 @@ def density(
     )
 
 
+def values_at(counts: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``series, rank, value``: the value at each rank (from 0) of each series of :func:`value_counts`.
+
+    Two levels: totals of value ranges tell which range holds a rank, and only that range is ordered.
+    """
+    ranged = counts.withColumn("range", F.floor(F.col("value") / RANGE))
+    up = Window.partitionBy("series").orderBy("range")
+    totals = ranged.groupBy("series", "range").agg(F.sum("cnt").alias("n"))
+    totals = totals.withColumn("upto", F.sum("n").over(up)).withColumn("before", F.col("upto") - F.col("n"))
+    held = totals.join(ranks, "series").filter((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
+    within = Window.partitionBy("series", "rank").orderBy("value")
+    inside = ranged.join(held.select("series", "range", "rank", "before"), ["series", "range"])
+    inside = inside.withColumn("upto", F.col("before") + F.sum("cnt").over(within))
+    return inside.filter(F.col("rank") < F.col("upto")).groupBy("series", "rank").agg(F.min("value").alias("value"))
+
+
 def summary(df: DataFrame, measures: dict[str, str]) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles of integer measures.
 
-    Rounded to one decimal, halves to even.
+    Rounded to one decimal, halves to even; a quartile between two ranks is interpolated.
     """
     counts = value_counts(df, {name: F.col(c) for name, c in measures.items()})
-    whole = Window.partitionBy("series")
-    mean = F.sum(F.col("value") * F.col("cnt")).over(whole) / F.sum("cnt").over(whole)
-    counts = counts.withColumn("mean", mean)
-    squares = F.sum(F.col("cnt") * F.pow(F.col("value") - F.col("mean"), F.lit(2.0)))
-    quartiles = F.percentile("value", [float(q) for q in QUARTILES], F.col("cnt"))
-    stats = counts.groupBy("series").agg(
-        F.sum("cnt").alias("count"),
-        F.first("mean").alias("mean"),
-        F.sqrt(F.try_divide(squares, F.sum("cnt") - 1)).alias("std"),
-        F.min("value").alias("min"),
-        quartiles.alias("q"),
-        F.max("value").alias("max"),
+    plain = counts.groupBy("series").agg(
+        F.sum("cnt").alias("count"), (F.sum(F.col("value") * F.col("cnt")) / F.sum("cnt")).alias("mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+    )
+    plain = materialize(plain)  # one row per measure
+    away = F.col("cnt") * F.pow(F.col("value") - F.col("mean"), F.lit(2.0))
+    spread = counts.join(F.broadcast(plain.select("series", "mean", "count")), "series").groupBy("series").agg(
+        F.sqrt(F.try_divide(F.sum(away), F.first("count") - 1)).alias("std")
+    )
+    places = [F.struct(F.lit(q).alias("q"), ((F.col("count") - 1) * F.lit(q)).alias("place")) for q in QUARTILES]
+    wanted = plain.select("series", F.inline(F.array(*places)))
+    ranks = wanted.select("series", F.explode(F.array(F.floor("place"), F.ceil("place"))).alias("rank")).distinct()
+    found = materialize(values_at(counts, ranks))
+    low, high = (found.select("series", F.col("rank").alias(f"{s}_rank"), F.col("value").alias(s)) for s in ("low", "high"))
+    quartiles = (
+        wanted.withColumns({"low_rank": F.floor("place"), "high_rank": F.ceil("place")})
+        .join(low, ["series", "low_rank"])
+        .join(high, ["series", "high_rank"])
+        .withColumn("value", F.col("low") + (F.col("place") - F.col("low_rank")) * (F.col("high") - F.col("low")))
+        .groupBy("series")
+        .agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(f"q{i}") for i, q in enumerate(QUARTILES)])
     )
+    stats = plain.join(spread, "series").join(quartiles, "series")
     return stats.select(
         F.col("series").alias("measure"),
         "count",
         F.bround("mean", 1).alias("mean"),
         F.bround("std", 1).alias("std"),
         "min",
-        F.bround(F.col("q")[0], 1).alias("p25"),
-        F.bround(F.col("q")[1], 1).alias("p50"),
-        F.bround(F.col("q")[2], 1).alias("p75"),
+        F.bround("q0", 1).alias("p25"),
+        F.bround("q1", 1).alias("p50"),
+        F.bround("q2", 1).alias("p75"),
         "max",
     )
