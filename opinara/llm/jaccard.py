@@ -10,10 +10,11 @@ with at most e thin parts, because an agreed part is thin on both sides. A set w
 signs those too, so two such sets still meet there. Sets sign in their own band and the next, since
 a partner may lie one band higher.
 
-Equal sets are one node from the start. Pairs that share a signature are never all listed: every node is
-first held against the smallest node it shares a signature with, links contract into components, and
-only nodes that share a signature across components go on, until none is left untested. Every link
-taken is verified on the whole sets. A pair skipped is one whose documents are connected already.
+Equal sets are one node from the start. Pairs that share a signature are not listed at first: every node
+is held against one hub it shares a signature with, links contract into components, and only nodes
+that share a signature across components are left. Their pairs are all
+held against a bound on bits, and those it lets through are tested. Every link taken is verified on
+the whole sets. A pair skipped is one whose documents are connected already.
 
 Defined results: null or empty texts and texts without words have 0 shingles and are alone; repeated
 rows, and different rows under one key, come back one row each; a null key is a document like any
@@ -26,16 +27,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opinara.llm import kernels
 from opinara.llm.components import components
-from opinara.llm.frames import documents_of, map_batches, materialize
+from opinara.llm.frames import documents_of, map_batches, materialize, store
 
 SHINGLE_WORDS, PERCENT, THIN = 4, 85, 2
 SEEN_NODES = 1 << 19  # nodes a task remembers so as not to sign a copy twice
-# Lists of candidates up to this many times the rows they come from are tested whole.
-DENSE = 4
+# A set's parity bits: for each of 64 * PARITY values of its grams' hashes, whether their number is odd.
+PARITY, WIDE = 16, 64
+PARITIES = [f"p{i}" for i in range(PARITY)]
 SETS_SCHEMA = "doc_id long, n_shingles long, node long, other long"
 SIGNED_SCHEMA = "signature long, node long"
 
@@ -181,21 +183,32 @@ def shared_signatures(signed: DataFrame) -> DataFrame:
     return map_batches(dealt, run, "signature long, node long, hub long")
 
 
+def parity(grams: np.ndarray, longs: int) -> np.ndarray:
+    """As many longs as asked for; each gram that two sets do not share turns one bit at most."""
+    odd = np.bincount((grams % np.uint64(64 * longs)).astype(np.int64), minlength=64 * longs) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def gram_sets(docs: DataFrame, size: int, seed: int) -> DataFrame:
-    """``node, grams`` of the documents given."""
+    """``node, grams`` of the documents given, and their parity bits, few and many (``wide``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for slab in kernels.slabs(batch.column(0)):
-                found = [(node_of(g)[0], kernels.signed(g)) for _, g in shingle_sets(slab, size, seed)]
-                columns = [pa.array([n for n, _ in found], pa.int64()), pa.array([g for _, g in found], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "grams"])
+                found = [(node_of(g)[0], kernels.signed(g), parity(g, PARITY), parity(g, WIDE)) for _, g in shingle_sets(slab, size, seed)]
+                bits = np.array([p for _, _, p, _ in found], np.int64).reshape(-1, PARITY)
+                columns = [
+                    pa.array([n for n, *_ in found], pa.int64()), pa.array([g for _, g, _, _ in found], pa.list_(pa.int64())),
+                    *map(pa.array, bits.T), pa.array([w for *_, w in found], pa.list_(pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "grams", *PARITIES, "wide"])
 
-    return map_batches(docs.select("text"), run, "node long, grams array<long>")
+    return map_batches(docs.select("text"), run, "node long, grams array<long>, " + ", ".join(f"{p} long" for p in PARITIES) + ", wide array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose whole sets are similar enough."""
+    sets = sets.select("node", "grams")
     sides = pairs.join(sets.withColumnsRenamed({"node": "a", "grams": "left"}), "a")
     sides = sides.join(sets.withColumnsRenamed({"node": "b", "grams": "right"}), "b")
     common = F.size(F.array_intersect("left", "right"))
@@ -209,43 +222,36 @@ def join_components(
     """``doc_id, n_shingles, component_id`` for every document."""
     rows, seed = documents_of(docs, key, text), 0
     while True:
-        named = materialize(documents_sets(rows, size, seed))
+        named = store(documents_sets(rows, size, seed), "sets")
         nodes = named.filter("n_shingles > 0").groupBy("node").agg(
             F.min("doc_id").alias("first"), F.min("other").alias("low"), F.max("other").alias("high")
         )
-        nodes = materialize(nodes)
+        nodes = store(nodes, "nodes")
         if nodes.filter("low <> high").isEmpty():
             break
         seed += 1  # two different sets met under one 64-bit name
-    shared = materialize(shared_signatures(signed_nodes(rows, size, percent, seed)))
+    shared = store(shared_signatures(signed_nodes(rows, size, percent, seed)), "signatures")
     owners = shared.select("node").distinct().join(nodes, "node").select(F.col("first").alias("owner"))
     texts = rows.join(owners, F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi")
-    sets = materialize(gram_sets(texts, size, seed).dropDuplicates(["node"]))
-
-    pairs = shared.filter("node <> hub").groupBy(F.col("node").alias("b")).agg(F.min("hub").alias("a"))
-    tested = materialize(pairs.select("a", "b"))
+    sets = store(gram_sets(texts, size, seed).dropDuplicates(["node"]), "grams")
+
+    # Everyone against the hub that shares the most signatures with others: the original of a group
+    # of edited copies holds nearly all their signatures, each copy only some.
+    sizes = shared.groupBy("signature").agg(F.count(F.lit(1)).alias("n"))
+    weights = shared.join(materialize(sizes), "signature").groupBy("node").agg(F.sum("n").alias("weight"))
+    placed = shared.select("signature", "node").join(weights, "node")
+    hubs = placed.groupBy("signature").agg(F.max(F.struct("weight", "node")).alias("hub"))
+    offers = placed.join(materialize(hubs), "signature").filter(F.col("node") != F.col("hub.node"))
+    chosen = offers.groupBy("node").agg(F.max("hub").alias("hub"))
+    tested = materialize(_pairs(F.col("node"), F.col("hub.node"), chosen))
     links = materialize(verified(tested, sets, percent))
-    while True:
-        found = materialize(components(links))
-        left = _across(shared, found)
-        rows_left, all_pairs = left.groupBy("signature", "component").count().groupBy("signature").agg(
-            F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("same")
-        ).agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()
-        if not rows_left:
-            break
-        dense = all_pairs > DENSE * rows_left
-        pairs = _hub_pairs(left) if dense else _all_pairs(left)
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        if dense:
-            pairs = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-        pairs = materialize(pairs)
-        if dense and pairs.isEmpty():
-            dense, pairs = False, materialize(_all_pairs(left).join(tested, ["a", "b"], "left_anti"))
-        links = materialize(links.union(verified(pairs, sets, percent)))
-        if not dense:
-            found = materialize(components(links))
-            break
-        tested = materialize(tested.union(pairs))
+
+    # What is left: nodes that share a signature across components.
+    left = _across(shared, materialize(components(links)))
+    pairs = _all_pairs(left, sets, percent)
+    pairs = _close(pairs.join(tested, ["a", "b"], "left_anti"), sets, percent)
+    links = links.union(verified(materialize(pairs), sets, percent))
+    found = materialize(components(links))
 
     smallest = found.join(nodes, "node").groupBy("component").agg(F.min("first").alias("component_id"))
     ids = found.join(smallest, "component").select("node", "component_id")
@@ -267,15 +273,48 @@ def _across(shared: DataFrame, found: DataFrame) -> DataFrame:
     return materialize(placed.join(split, "signature"))
 
 
-def _hub_pairs(left: DataFrame) -> DataFrame:
-    """Nodes against the smallest node of the signature's first component."""
-    hubs = left.filter("component = low").groupBy("signature").agg(F.min("node").alias("hub"))
-    pairs = left.filter("component <> low").join(hubs, "signature")
-    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+def _pairs(one: Column, two: Column, rows: DataFrame) -> DataFrame:
+    return rows.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
 
 
-def _all_pairs(left: DataFrame) -> DataFrame:
-    """Every pair of nodes that shares a signature across components; few when it comes to this."""
-    one = left.select("signature", F.col("node").alias("a"), F.col("component").alias("of_a"))
-    two = left.select("signature", F.col("node").alias("b"), F.col("component").alias("of_b"))
-    return one.join(two, "signature").filter("a < b and of_a <> of_b").select("a", "b").distinct()
+def _all_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Every pair of nodes that shares a signature across components and whose parity bits allow a link.
+
+    Sets differ in at least as many grams as parity bits, so a pair that differs in more bits than
+    its sizes allow is no link; the join's condition drops it before it becomes a row.
+    """
+    rows = left.select("signature", "node", "component").join(sets.select("node", F.size("grams").alias("n"), *PARITIES), "node")
+    rows = materialize(rows)
+    one, two = (rows.select("signature", *(F.col(c).alias(side + c) for c in rows.columns if c != "signature")) for side in "ab")
+    bits = sum((F.bit_count(F.col("a" + p).bitwiseXOR(F.col("b" + p))) for p in PARITIES), F.lit(0))
+    allowed = (F.col("an") + F.col("bn")) * (100 - percent)
+    close = (F.col("anode") < F.col("bnode")) & (F.col("acomponent") != F.col("bcomponent")) & (bits * (100 + percent) <= allowed)
+    one, two = one.withColumnRenamed("signature", "of_a"), two.withColumnRenamed("signature", "of_b")
+    met = one.join(two, (F.col("of_a") == F.col("of_b")) & close)
+    return met.select(F.col("anode").alias("a"), F.col("bnode").alias("b")).distinct()
+
+
+def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the wide parity bits still allow: large sets fill the few bits used before."""
+    for side in "ab":
+        own = sets.select(F.col("node").alias(side), F.size("grams").alias(side + "n"), F.col("wide").alias(side + "wide"))
+        pairs = pairs.join(own, side)
+    bits = F.aggregate(
+        F.zip_with("awide", "bwide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
+    )
+    allowed = (F.col("an") + F.col("bn")) * (100 - percent)
+    return pairs.filter(bits * (100 + percent) <= allowed).select("a", "b")
+
+
+def keep_first(docs: DataFrame, key="doc_id", text="text", size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of the smallest key of each component, all columns as they are.
+
+    A document without words, or with a null key and no partner that has one, stays. Of rows that agree in key and text
+    one stays.
+    """
+    found = join_components(docs, key, text, size, percent)
+    first = found.filter(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
+    first = first.select(F.col("doc_id").alias("__first")).distinct()
+    kept = docs.join(first, F.col(key).eqNullSafe(F.col("__first")), "left_semi")
+    doubled = docs.groupBy(key).count().filter("count > 1")
+    return kept if doubled.isEmpty() else kept.dropDuplicates([key, text])
