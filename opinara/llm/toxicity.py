@@ -36,7 +36,7 @@ from opinara.llm.frames import documents_of, map_batches
 FOLDS, SAMPLE_ROWS, SAMPLE_BYTES = 5, 3000, 32 << 20
 SHORTEST, LONGEST, BUCKETS, WIDTH = 3, 5, 1 << 17, 8
 EPOCHS, BATCH, RATE, TABLE_RATE, SEED = 12, 128, 0.05, 10.0, 42
-LEAST_DOCUMENTS, PADDING, CACHED_WORDS, PIECE_ROWS = 5, 10, 300_000, 500
+LEAST_DOCUMENTS, PADDING, CACHED_WORDS, PIECE_ROWS, PIECE_WORDS = 5, 10, 300_000, 500, 20_000
 WORD = re.compile(r"[^\W_]+")
 SCORED = "doc_id long, score double, predicted int"
 
@@ -105,10 +105,13 @@ def train(bags: Bags, epochs: int = EPOCHS, seed: int = SEED) -> Model:
     dice = np.random.default_rng(seed)
     count = len(bags.labels)
     toxic = bags.labels.mean() if count else 0.0
-    if toxic in (0.0, 1.0):
+    if toxic in (0.0, 1.0) or not bags.words:
         even = np.clip(toxic, 1e-9, 1 - 1e-9)
         return Model(np.zeros(BUCKETS), float(np.log(even / (1 - even))))
-    rows, sizes = subwords(bags.words)
+    # Piece by piece: the hashes on the way there take many times the rows they lead to.
+    pieces = [subwords(bags.words[i : i + PIECE_WORDS]) for i in range(0, len(bags.words), PIECE_WORDS)]
+    rows, sizes = (np.concatenate(part) for part in zip(*pieces))
+    del pieces
     ends = np.cumsum(sizes)
     # N-grams of few documents stay at zero, and so say nothing, like those never seen.
     in_words = np.bincount(bags.word, minlength=len(bags.words))
@@ -200,12 +203,14 @@ def fit(docs: DataFrame, labels: DataFrame, key="doc_id", text="text") -> Model:
     bags = map_batches(chosen, run, "id long, words array<string>, label int").toArrow()
     # In one order, whatever the partitions, so that training repeats itself.
     rows = sorted(zip(*(bags.column(i).to_pylist() for i in range(3))))
-    model = train(Bags.of([(words, label) for _, words, label in rows]))
+    bags = Bags.of([(words, label) for _, words, label in rows])
+    del rows
+    model = train(bags)
     # The sample takes the classes as it finds them; scores answer to their share among all labels.
     toxic, known = learnable(labels).agg(F.sum("label"), F.count(F.lit(1))).first()
-    taken = sum(label for *_, label in rows)
-    if 0 < taken < len(rows):
-        model.bias += float(np.log(toxic / (known - toxic)) - np.log(taken / (len(rows) - taken)))
+    taken, count = int(bags.labels.sum()), len(bags.labels)
+    if 0 < taken < count:
+        model.bias += float(np.log(toxic / (known - toxic)) - np.log(taken / (count - taken)))
     return model
 
 
