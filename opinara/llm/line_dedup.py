@@ -7,9 +7,9 @@ way back is a plain join whose skewed partitions Spark can split. Texts move onc
 numbers of their removed lines.
 
 Nulls count as empty texts. Lines below ``min_words`` words are never cut: short lines repeat by
-chance. A null key ranks before all others. Rows that agree in key and text are one document
-given several times and lose the same lines; rows that agree in the key alone are different
-documents of equal rank, so a line they share stays in each. Other columns pass untouched.
+chance. A null key ranks before all others. Of rows that agree in the key, that of the least digest
+of its text ranks first, and of equal rows any one, so a line stays in exactly one place. Other
+columns pass untouched.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from opinara.llm.frames import map_batches, text_of
+from opinara.llm.frames import documents_of, map_batches, store
 
 MIN_WORDS = 8
 BLANKS = r"[ \t\r\x0B\x0C]+"
@@ -31,28 +31,30 @@ def normalised(line: Column) -> Column:
 
 
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Key, text, and a digest that tells apart different texts under one key."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), text_of(text).alias("text"))
-    return rows.withColumn("version", F.xxhash64("text"))
+    """``doc_id, text, version, row``: row is the key where that names each row, else a number given here."""
+    rows = documents_of(docs, key, text)
+    doubled = rows.groupBy("doc_id").count().filter("doc_id is null or count > 1")
+    if doubled.isEmpty():
+        return rows.withColumns({"version": F.lit(0).cast("long"), "row": F.col("doc_id")})
+    rows = rows.withColumns({"version": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    return store(rows, "numbered")  # written out, so that both sides of the joins read the same numbers
 
 
-def removed_lines(docs: DataFrame, key="doc_id", text="text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id, version, removed``: numbers of the lines to cut, only documents that have some."""
+def removed_lines(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``row, removed``: numbers of the lines to cut, only for rows of ``keyed`` that have some."""
     lines = (
-        keyed(docs, key, text)
-        .select("doc_id", "version", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+        rows.select("doc_id", "version", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .withColumn("line", normalised(F.col("line")))
         .filter(F.size(F.split("line", " ")) >= min_words)
-        .select("doc_id", "version", "line_no", F.md5("line").alias("digest"))
+        .select("doc_id", "version", "row", "line_no", F.md5("line").alias("digest"))
     )
-    place = F.struct("doc_id", "line_no")
-    firsts = lines.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    # Rows of a null key rank first and equal; <=> keeps them apart from "unknown".
-    repeated = firsts.filter(~F.col("first").eqNullSafe(F.col("last"))).drop("last")
+    place = F.struct("doc_id", "line_no", "version", "row")
+    firsts = lines.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    repeated = firsts.filter("n > 1").select("digest", F.col("first.row").alias("first_row"), F.col("first.line_no").alias("first_line"))
     return (
-        lines.join(repeated, "digest")
-        .filter(~place.eqNullSafe(F.col("first")))
-        .groupBy("doc_id", "version")
+        lines.select("row", "line_no", "digest").join(repeated, "digest")
+        .filter((F.col("row") != F.col("first_row")) | (F.col("line_no") != F.col("first_line")))
+        .groupBy("row")
         .agg(F.collect_set("line_no").alias("removed"))
     )
 
@@ -81,10 +83,7 @@ def cut_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cut_repeated_lines(docs: DataFrame, key="doc_id", text="text", min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document: ``doc_id, n_lines, n_removed, spans, kept`` (the text that stays)."""
-    gone = removed_lines(docs, key, text, min_words)
-    gone = gone.withColumnsRenamed({"doc_id": "other_id", "version": "other_version"})
     rows = keyed(docs, key, text)
-    same = F.col("doc_id").eqNullSafe(F.col("other_id")) & (F.col("version") == F.col("other_version"))
-    found = rows.join(gone, same, "left").select("doc_id", "text", "removed")
+    gone = removed_lines(rows, min_words).withColumnRenamed("row", "of")
+    found = rows.join(gone, F.col("row") == F.col("of"), "left").select("doc_id", "text", "removed")
     return map_batches(found, cut_lines, CUT_SCHEMA)
-

@@ -41,3 +41,15 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, line int")
     assert result(line_dedup.cut_repeated_lines(docs)) == brute_force(rows)
     assert line_dedup.cut_repeated_lines(docs.limit(0)).count() == 0
+
+
+def test_one_occurrence_stays_under_shared_keys(spark):
+    line = "one two three four five six seven eight"
+    rows = [(None, f"{line}\na"), (None, f"{line}\nb"), (None, f"{line}\nb"), (1, f"{line} nine\nc"), (1, f"{line} nine\nd"), (2, f"{line} ten"), (2, f"{line} ten")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = result(line_dedup.cut_repeated_lines(docs))
+    kept = [(doc, part) for doc, _, _, _, text in got for part in text.split("\n")]
+    assert len(got) == len(rows) and sum(r[2] for r in got) == 4
+    for doc, repeated in ((None, line), (1, f"{line} nine"), (2, f"{line} ten")):
+        assert kept.count((doc, repeated)) == 1
+    assert result(line_dedup.cut_repeated_lines(docs.repartition(5))) == got
