@@ -10,8 +10,12 @@ all other shards, which only answer with what can still enter the list.
 Shards and query groups have a bounded number of rows, so a task's memory is bounded. Queries are a
 stated set held against all rows, in blocks; only row groups, not pairs, are shuffled.
 
-Defined results: vectors that are null, empty or hold a null or non-finite component take no part, nor
-do components of 2^20 or more, whose products need not fit a long; neither do rows with a null id. Only vectors
+Scores that fit doubles exactly are worked out in these, larger ones as longs, and where a sum need
+not fit a long, as whole numbers of any width: rounded scores with a bound on their error pick the few rows
+that are then scored exactly.
+
+Defined results: vectors that are null, empty or hold a null or non-finite component take no part;
+neither do rows with a null id. A score beyond a long is ranked exactly and shown as null. Only vectors
 of equal length are compared. Rows with the query's own id are no candidates; other ids that
 occur more than once are a candidate each time. Queries that share an id are one query, the row of
 the least vector. Ties go to the smaller id. Other columns play no part.
@@ -27,9 +31,22 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from opinara.llm.frames import materialize, ship
 
-K, SCALE, EVERY, LIMIT = 5, 256, 50, 1 << 20
+K, SCALE, EVERY = 5, 256, 50
 LEAF_ROWS, SHARD_ROWS, GROUP_ROWS = 128, 16_384, 16_384
-HITS = "query_id long, vec_id long, score long"
+HITS = "query_id long, vec_id long, score long, beyond binary"
+WHOLE = 2.0**45  # from here on doubles have no digits below 1/256
+LONG = 1 << 63
+
+
+def encoded(score: int) -> bytes:
+    """Bytes in the order of the whole numbers they stand for."""
+    size = (score.bit_length() + 8) // 8
+    found = size.to_bytes(8, "big") + abs(score).to_bytes(size, "big")
+    return b"\1" + found if score >= 0 else b"\0" + bytes(255 - b for b in found)
+
+
+def decoded(code: bytes) -> int:
+    return int.from_bytes(code[9:], "big") if code[0] else -int.from_bytes(bytes(255 - b for b in code[9:]), "big")
 
 
 class Tree:
@@ -66,9 +83,13 @@ class Tree:
         # Sums past 2^53 are rounded; the slack keeps them upper bounds.
         return most + np.where(np.abs(most) > 2.0**50, 2.0**-40 * (np.abs(q) @ np.maximum(np.abs(self.highs), np.abs(self.lows)).T), 0)
 
-    def search(self, query: np.ndarray, own: int, bound: np.ndarray, k: int, kth: float) -> list[tuple[int, int]]:
-        """Up to k pairs of score and id, none below ``kth``, best first."""
+    def search(self, query: np.ndarray, own: int, bound: np.ndarray, k: int, kth: float, exact=None) -> list[tuple[int, int]]:
+        """Up to k pairs of score and id, none below ``kth``, best first.
+
+        Scores are ``points @ query``; with ``exact`` they only say which rows may enter, and it scores these.
+        """
         best: list[tuple[int, int]] = []  # a heap of (score, -id)
+        bound = bound.tolist()  # plain numbers compare exactly, however large
         heap = [(-bound[0], 0)] if len(self.spans) else []
         while heap:
             most, node = heapq.heappop(heap)
@@ -80,52 +101,101 @@ class Tree:
                         heapq.heappush(heap, (-bound[child], child))
                 continue
             start, stop = self.spans[node]
-            scores = self.points[start:stop] @ query
-            for at in np.flatnonzero(scores >= kth):
-                entry = (int(scores[at]), -int(self.ids[start + at]))
-                if -entry[1] == own:
+            scores = self.points[start:stop] @ query if exact is None else exact.most(start, stop, query)
+            for at in np.flatnonzero(scores >= kth) if exact is None else np.argsort(-scores, kind="stable"):
+                if exact is not None and float(scores[at]) < kth:
+                    break
+                score = int(scores[at]) if exact is None else exact.score(start + at, query)
+                entry = (score, -int(self.ids[start + at]))
+                if -entry[1] == own or score < kth:
                     continue
                 if len(best) < k:
                     heapq.heappush(best, entry)
                 elif entry > best[0]:
                     heapq.heapreplace(best, entry)
+                if exact is not None and len(best) == k:
+                    kth = max(kth, best[0][0])
             if len(best) == k:
                 kth = max(kth, best[0][0])
         return [(score, -minus) for score, minus in sorted(best, reverse=True)]
 
 
+class Exact:
+    """Scores of any width, and doubles they cannot pass. Points and queries are in units of 1/256."""
+
+    def __init__(self, points: np.ndarray, safe: bool):
+        self.points, self.sizes, self.safe = points, np.abs(points), safe
+
+    def most(self, start: int, stop: int, query: np.ndarray) -> np.ndarray:
+        if not self.safe:
+            return np.full(stop - start, np.inf)
+        # Far more than the rounding of a sum of so many products.
+        slack = (len(query) + 4) * 2.0**-51 * (self.sizes[start:stop] @ np.abs(query))
+        return SCALE * SCALE * (self.points[start:stop] @ query + slack) + 1
+
+    def score(self, at: int, query: np.ndarray) -> int:
+        return sum(_in_256ths(a) * _in_256ths(b) for a, b in zip(self.points[at].tolist(), query.tolist()))
+
+
+def _in_256ths(value: float) -> int:
+    return int(value) * SCALE if abs(value) >= WHOLE else int(value * SCALE)
+
+
 def _stacked(table: pa.Table, column: str) -> np.ndarray:
     values = table.column(column).combine_chunks()
-    flat = values.flatten().to_numpy(zero_copy_only=False)
-    points = flat.reshape(len(values), -1)
-    # Doubles hold whole numbers exactly below 2^53 and multiply faster.
-    return points.astype(np.float64) if len(flat) == 0 or np.abs(flat).max() ** 2 * points.shape[1] < 2**52 else points
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
 
 
 def search_shard(rows: pa.Table, queries: pa.Table, k: int) -> pa.Table:
-    hits: list[list[int]] = [[], [], []]
+    hits: list[list] = [[], [], [], []]
     if rows.num_rows and queries.num_rows:
         points, wanted = _stacked(rows, "vector"), _stacked(queries, "vector")
-        if points.dtype != wanted.dtype:
-            points, wanted = points.astype(np.int64), wanted.astype(np.int64)
-        tree = Tree(rows.column("vec_id").to_numpy(), points)
-        bounds = tree.bounds(wanted)
-        floors = queries.column("floor").to_pylist()
-        for at, own in enumerate(queries.column("vec_id").to_pylist()):
-            floor = -np.inf if floors[at] is None else floors[at]
-            for score, vec_id in tree.search(wanted[at], own, bounds[at], k, floor):
-                for column, value in zip(hits, (own, vec_id, score)):
+        ids, owns = rows.column("vec_id").to_numpy(), queries.column("own").to_pylist()
+        # As whole numbers, so no product is rounded.
+        sizes = [_in_256ths(float(np.abs(v).max())) for v in (points, wanted)]
+        largest = max(sizes[0], 1) * max(sizes[1], 1) * points.shape[1]
+        exact = None
+        if largest < 2**52 or largest < LONG and max(sizes) < 2**53:
+            # Doubles hold whole numbers exactly below 2^53 and multiply faster.
+            kind = np.float64 if largest < 2**52 else np.int64
+            points, wanted = ((v * SCALE).astype(kind) for v in (points, wanted))
+            tree = Tree(ids, points)
+            bounds = tree.bounds(wanted)
+        else:
+            safe = largest < 2**900 and max(sizes) < 2**900
+            tree = Tree(ids, points)
+            exact = Exact(tree.points, safe)
+            bounds = np.full((len(wanted), len(tree.spans)), np.inf)
+            if safe:
+                reach = np.maximum(np.abs(tree.highs), np.abs(tree.lows))
+                slack = (points.shape[1] + 4) * 2.0**-51 * (np.abs(wanted) @ reach.T)
+                bounds = SCALE * SCALE * (np.maximum(wanted, 0) @ tree.highs.T + np.minimum(wanted, 0) @ tree.lows.T + slack) + 1
+        floors = zip(queries.column("floor").to_pylist(), queries.column("floor_beyond").to_pylist())
+        for at, (own, (floor, beyond)) in enumerate(zip(owns, floors)):
+            kth = decoded(beyond) if beyond is not None else -np.inf if floor is None else floor
+            for score, vec_id in tree.search(wanted[at], own, bounds[at], k, kth, exact):
+                fits = -LONG <= score < LONG
+                for column, value in zip(hits, (own, vec_id, score if fits else None, None if fits else encoded(score))):
                     column.append(value)
-    return pa.table({name: pa.array(c, pa.int64()) for name, c in zip(("query_id", "vec_id", "score"), hits)})
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    return pa.table({name: pa.array(c, kind) for name, c, kind in zip(("query_id", "vec_id", "score", "beyond"), hits, kinds)})
 
 
 def whole_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``vec_id, vector, size`` with components in 256ths, only rows that take part."""
-    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) >= LIMIT)
+    """``vec_id, vector, size`` with components cut down to whole 256ths, only rows that take part."""
+    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf"))
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
     rows = rows.filter(F.col("vec_id").isNotNull() & (F.size("vector") > 0) & ~F.exists("vector", bad))
-    scaled = F.transform("vector", lambda x: F.floor(x.cast("double") * SCALE).cast("long"))
-    return rows.select("vec_id", scaled.alias("vector"), F.size("vector").alias("size"))
+
+    def whole(x):
+        x = x.cast("double")
+        return F.when(F.abs(x) >= WHOLE, x).otherwise(F.floor(x * SCALE).cast("double") / SCALE)
+
+    return rows.select("vec_id", F.transform("vector", whole).alias("vector"), F.size("vector").alias("size"))
+
+
+# From the largest score to the least: above all longs, longs, below all longs.
+TIER = "case when beyond is null then 1 when beyond >= X'01' then 2 else 0 end"
 
 
 def top_k(
@@ -145,14 +215,15 @@ def top_k(
     queries = materialize(queries.withColumn("home", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards))))
 
     copies = rows.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-    first = queries.withColumn("shard", F.col("home")).withColumn("floor", F.lit(None).cast("long"))
+    first = queries.withColumns({"shard": F.col("home"), "floor": F.lit(None).cast("long"), "floor_beyond": F.lit(None).cast("binary")})
     found = materialize(_searched(copies, first, k))
-    floors = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
-    floors = floors.select("query_id", F.when(F.col("n") == k, F.col("least")).alias("floor"))
+    floors = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.expr(TIER).alias("tier"), "score", "beyond")).alias("least"))
+    full = [F.when(F.col("n") == k, F.col(f"least.{c}")).alias(name) for c, name in (("score", "floor"), ("beyond", "floor_beyond"))]
+    floors = floors.select("query_id", *full)
     rest = queries.join(floors, F.col("vec_id") == F.col("query_id"), "left").drop("query_id")
     rest = rest.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     found = found.union(_searched(copies, rest.filter("shard <> home"), k))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id").orderBy(F.expr(TIER).desc(), F.desc("score"), F.desc("beyond"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
@@ -160,5 +231,5 @@ def top_k(
 def _searched(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     parts = ("size", "shard", "group")
     left = rows.select(*parts, "vec_id", "vector").groupBy(*parts)
-    right = queries.select(*parts, "vec_id", "vector", "floor").groupBy(*parts)
+    right = queries.select(*parts, F.col("vec_id").alias("own"), "vector", "floor", "floor_beyond").groupBy(*parts)
     return left.cogroup(right).applyInArrow(lambda a, b: search_shard(a, b, k), HITS)

@@ -55,3 +55,37 @@ def test_tree_prunes_and_is_exact():
     scores = sorted(((float(p @ query), -i) for i, p in enumerate(points)), reverse=True)[:5]
     assert [i for _, i in found] == [-i for _, i in scores]
     assert (bound[leaves] >= found[-1][0]).sum() < len(leaves) / 2
+
+
+def test_large_components_take_part(spark):
+    dice = np.random.default_rng(3)
+    rows = [(i, [float(np.float32(x)) for x in dice.normal(0, 5, 3)]) for i in range(300)]
+    rows += [(400, [2.0**20, 0.5, -1.0]), (401, [3e6, -2.0, 7.0]), (402, [-(2.0**21), 1.0, 1.0]), (450, [2.0**22, 2.5, 1.0])]
+    expected = brute_force(rows)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert {q for q, *_ in expected} >= {400, 450} and all(abs(s) < 2**63 for *_, s in expected)
+    for shard_rows in (topk.SHARD_ROWS, 60):
+        assert result(topk.top_k(table, shard_rows=shard_rows)) == expected
+
+
+@pytest.mark.parametrize("kind, power", [("float", 30), ("float", 100), ("double", 900), ("double", 1020)])
+def test_scores_beyond_a_long_rank_exactly(spark, kind, power):
+    dice = np.random.default_rng(power)
+    rows = [(i, [float(x) * 2.0 ** (power * (i % 3 == 0) + 2) for x in dice.integers(-3, 4, 4)]) for i in range(200)]
+    expected = [(q, r, i, s if abs(s) < 2**63 else None) for q, r, i, s in wide_brute_force(rows)]
+    table = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    assert any(s is None for *_, s in expected)
+    for shard_rows in (topk.SHARD_ROWS, 40):
+        assert sorted(map(tuple, topk.top_k(table, shard_rows=shard_rows).collect()), key=lambda r: r[:2]) == expected
+
+
+def wide_brute_force(rows, k=5, every=50):
+    whole = [(i, [int(x) * 256 for x in v]) for i, v in rows]
+    scored = lambda i, v: sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in whole if j != i)
+    return [(i, rank, j, -s) for i, v in whole if i % every == 0 for rank, (s, j) in enumerate(scored(i, v)[:k], 1)]
+
+
+def test_codes_are_ordered():
+    numbers = sorted([*(s * (1 << p) + d for p in (0, 7, 8, 63, 64, 500, 4000) for s in (-1, 1) for d in (-1, 0, 1))])
+    codes = [topk.encoded(n) for n in numbers]
+    assert codes == sorted(codes) and [topk.decoded(c) for c in codes] == numbers
