@@ -42,9 +42,10 @@ DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DOTTED = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 GROUPED = re.compile(r"[0-9](?:[ -]?[0-9])+")
 DIALLED = re.compile(r"\+[0-9][ ().0-9-]+")
-USERINFO = re.compile(r"//[^\s/@:]{1,256}:[^\s/@]{1,256}@[A-Za-z0-9.-]{1,253}(?::[0-9]{1,5})?(?:/[^\s\"'<>]{0,2048})?")
+# Possessive: a run that ends wrong is not tried again shorter.
+USERINFO = re.compile(r"//[^\s/@:]++:[^\s/@]++@[A-Za-z0-9.-]++(?::[0-9]++)?(?:/[^\s\"'<>]*+)?")
 ACCOUNT = re.compile(r"[\s:=#]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})")
-QUOTED = re.compile(r"[\"']?\s{0,2}[:=]\s{0,2}[\"']([A-Za-z0-9_+/=.-]{16,512})[\"']")
+QUOTED = re.compile(r"[\"']?\s{0,2}[:=]\s{0,2}[\"']([A-Za-z0-9_+/=.-]{16,}+)[\"']")
 PII_SCHEMA = (
     "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 )
@@ -146,12 +147,16 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def with_user(text: str, anchors: list[int]) -> list[tuple[int, int]]:
-    spans = []
+    spans, free, tried = [], 0, -1  # free: end of the last match; tried: slashes that were looked at
     for start in anchors:
-        slashes = text.find("//", start, start + 24)
-        match = USERINFO.match(text, slashes) if slashes >= 0 else None
-        if match and (not spans or start >= spans[-1][1]):
+        slashes = text.find("//", start, start + 24) if start >= free else -1
+        if slashes < 0 or slashes == tried:
+            continue
+        tried = slashes
+        match = USERINFO.match(text, slashes)
+        if match:
             spans.append((start, match.end()))
+            free = match.end()
     return spans
 
 

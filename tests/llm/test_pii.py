@@ -56,6 +56,21 @@ def test_added_kinds():
     assert kinds("the token was lost, https://host.org is clean") == []
 
 
+def test_long_urls_and_secrets_are_found_whole():
+    kinds = lambda text: [(k, text[s:e]) for k, s, e in pii.find_spans(text) if k in ("url", "secret")]
+    for size in (257, 513, 900, 2049, 300_000):
+        value = "a1" * size
+        assert kinds(f'token = "{value}" y') == [("secret", value)]
+        for url in (f"https://{value}:w@h.org/x", f"https://u:{value}@h.org/x", f"https://u:w@{value}.org/x", f"https://u:w@h.org/{value}"):
+            assert kinds(f"see {url} now") == [("url", url)]
+            assert pii.masked(f"see {url} now") == "see [URL] now"
+
+
+def test_added_kinds_are_linear_on_long_runs():
+    for text in ("http://a:b@c/" * 50_000, "http://" * 50_000, "http://a:" * 50_000, "http://" + "a:" * 200_000, 'token="' * 50_000, 'token="' + "a1" * 200_000, "token=" * 50_000, "jdbc:" * 50_000 + "//a:b@c/"):
+        pii.find_spans(text)
+
+
 def test_long_runs_are_linear():
     for text in ("a" * 300_000, "1" * 300_000, "@" * 300_000, "1." * 150_000, "+1" * 150_000, "1 " * 150_000):
         base_spans(text)
