@@ -7,7 +7,9 @@ and over nor a text of three words is judged by one vector. A linear softmax ove
 trained together by gradient steps. A misspelling never seen shares most of its n-grams with the word meant.
 
 Training takes a bounded sample of labelled documents, the first by a hash of the key: at most
-``SAMPLE_ROWS`` per class and ``SAMPLE_BYTES`` in all. Tasks cut the sample into sets of words,
+``SAMPLE_ROWS`` per class and ``SAMPLE_BYTES`` in all. Texts of more than ``LONG_SHARE`` times an even share of
+these bytes come after all others, the shorter first, so that no single text takes the place of many. A class
+has half of the bytes, and what the other leaves of its half. Tasks cut the sample into sets of words,
 the driver trains on these. The model's size is fixed by ``BUCKETS`` and ``WIDTH``. Scoring covers every
 whole text: the logit is linear in the mean, so each word has one number, worked out once per task
 as long as the bounded cache holds it.
@@ -34,6 +36,7 @@ from opinara.llm import kernels
 from opinara.llm.frames import documents_of, map_batches
 
 FOLDS, SAMPLE_ROWS, SAMPLE_BYTES = 5, 3000, 32 << 20
+LONG_SHARE = 32
 SHORTEST, LONGEST, BUCKETS, WIDTH = 3, 5, 1 << 17, 8
 EPOCHS, BATCH, RATE, TABLE_RATE, SEED = 12, 128, 0.05, 10.0, 42
 LEAST_DOCUMENTS, PADDING, CACHED_WORDS, PIECE_ROWS, PIECE_WORDS = 5, 10, 300_000, 500, 20_000
@@ -183,10 +186,14 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size: in
     wanted = learnable(labels)
     sizes = docs.filter("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max(F.octet_length("text")).alias("size"))
     known = wanted.join(sizes, "id").withColumn("place", F.xxhash64("id"))
-    classes = [known.filter(F.col("label") == c).orderBy("place", "id").limit(rows) for c in (0, 1)]
-    # From here on at most 2 * rows rows of four numbers.
-    before = Window.partitionBy().orderBy("place", "id").rowsBetween(Window.unboundedPreceding, 0)
-    taken = classes[0].union(classes[1]).withColumn("upto", F.sum("size").over(before)).filter(F.col("upto") <= size)
+    known = known.withColumn("over", F.when(F.col("size") > size // (2 * rows) * LONG_SHARE, F.col("size")).otherwise(0))
+    order = ("over", "place", "id")
+    classes = [known.filter(F.col("label") == c).orderBy(*order).limit(rows) for c in (0, 1)]
+    # From here on at most 2 * rows rows of five numbers.
+    before = Window.partitionBy("label").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = classes[0].union(classes[1]).withColumn("upto", F.sum("size").over(before))
+    other = F.coalesce(F.sum("size").over(Window.partitionBy()) - F.sum("size").over(Window.partitionBy("label")), F.lit(0))
+    taken = found.withColumn("other", other).filter(F.col("upto") <= size - F.least(F.col("other"), F.lit(size // 2)))
     chosen = docs.join(F.broadcast(taken.select("id", "label")), F.col("doc_id") == F.col("id"))
     return chosen.select("id", "text", "label")
 

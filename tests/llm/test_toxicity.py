@@ -62,3 +62,22 @@ def test_odd_rows(spark):
         rows = toxicity.scored(docs, toxicity.fit(docs, given)).collect()
         assert len(rows) == 5 and all(0 <= r.score <= 1 for r in rows)
     assert toxicity.scored(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
+
+
+def test_one_long_text_does_not_take_the_sample(spark):
+    docs, labels = corpus(spark, 300)
+    long = spark.createDataFrame([(10_000 + i, "word " * 40_000, i % 2) for i in range(40)], "doc_id long, text string, toxic int")
+    more, known = docs.union(long.select("doc_id", "text")), labels.union(long.select("doc_id", "toxic"))
+    small = {r.id for r in toxicity.sample(docs, labels).collect()}
+    taken = {r.id for r in toxicity.sample(more, known, rows=400, size=600_000).collect()}
+    assert small <= taken and not (taken - small) & set(range(300))
+
+
+def test_a_class_has_half_of_the_bytes_and_what_the_other_leaves(spark):
+    rows = [(i, "x" * 100, int(i % 20 == 0)) for i in range(2000)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    docs, labels = table.select("doc_id", "text"), table.select("doc_id", "toxic")
+    count = lambda size: [sum(r.label == c for r in toxicity.sample(docs, labels, rows=1000, size=size).collect()) for c in (0, 1)]
+    toxic = toxicity.learnable(labels).filter("label = 1").count()
+    assert count(8_000) == [40, 40]
+    assert count(20_000) == [200 - toxic, toxic] and toxic < 100
