@@ -389,9 +389,8 @@ def features_ngram_tfidf(spark, sf_dir):
 
 def _fit(spark, sf_dir, model, feature_type="count_vectorizer", **overrides):
     train, _ = train_and_test(spark, sf_dir)
-    settings = studies.TREE_FEATURES if model in ("random_forest", "gbt") else FeatureSettings()
     train = prep.keep(train.select("label", "combined_text"))
-    fitted = full_pipeline(feature_type, model, settings, **overrides).fit(train)
+    fitted = full_pipeline(feature_type, model, FeatureSettings(), **overrides).fit(train)
     prep.release(train)
     return fitted
 
@@ -481,7 +480,8 @@ def score_with_weights(spark, sf_dir):
 @query
 def run_grid(spark, sf_dir):
     train, test = train_and_test(spark, sf_dir)
-    return studies.run_grid(spark, train, test, studies.default_grid(), KEY).runs
+    grid = studies.default_grid(trees=FeatureSettings())
+    return studies.run_grid(spark, train, test, grid, KEY).runs
 
 
 @query

@@ -180,3 +180,13 @@ def test_scaling_study(spark, small_reviews):
     assert summary.accuracy_at_100_pct == rows[1.0].accuracy
     assert summary.accuracy_at_1_pct == rows[0.01].accuracy
     assert summary.peak_throughput == max(r.throughput or 0 for r in rows.values())
+
+
+def test_queries_give_trees_the_common_vocabulary(monkeypatch):
+    from opinara.catalog import queries
+
+    seen = []
+    monkeypatch.setattr(queries, "train_and_test", lambda *a: (None, None))
+    monkeypatch.setattr(queries.studies, "run_grid", lambda *a: seen.extend(s.settings for s in a[3]) or type("Runs", (), {"runs": None}))
+    queries.run_grid(None, None)
+    assert {s.vocab_size for s in seen} == {65_536}
