@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from opinara.llm import line_dedup, mixing, sharding, topk
+from opinara.llm import line_dedup, merkle, mixing, sharding, topk
 
 ORACLES: dict[str, str] = {}
 
+
+def crc32(text: str) -> str:
+    """SQL for the unsigned CRC-32 of a text's UTF-8 bytes; SQL has bitwise operators but no such function."""
+    # What each bit of a byte adds, by the reflected polynomial 0xEDB88320.
+    bits = [0x77073096, 0xEE0E612C, 0x076DC419, 0x0EDB8832, 0x1DB71064, 0x3B6E20C8, 0x76DC4190, 0xEDB88320]
+    added = "(c >> 8)"
+    for place, value in enumerate(bits):
+        added = f"xor({added}, ((xor(c, b) >> {place}) & 1) * {value})"
+    bytes_ = f"list_transform(range(0, strlen({text})), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bytes_}), lambda c, b: {added}), 4294967295)"
+
+
 ORACLES["op2_mix_sources"] = f"""
 WITH RECURSIVE counts AS (
     SELECT source, count(*) AS n_rows, sqrt(count(*)) AS weight FROM documents GROUP BY source
@@ -94,3 +106,50 @@ WITH whole AS (
 )
 SELECT * FROM ranked WHERE rank <= {topk.K}
 """
+
+FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+LEAF = "sha256(concat({}))"
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE rows_ AS (
+    SELECT doc_id, lang, {LEAF.format(", ".join(FIELD.format(f) for f in FIELDS))} AS leaf,
+        CASE WHEN n_chars IS NOT NULL AND {crc32("CAST(doc_id AS VARCHAR)")} % {merkle.TAMPERED} = 0
+            THEN {LEAF.format(", ".join(FIELD.format("(n_chars + 1)" if f == "n_chars" else f) for f in FIELDS))} END AS tampered
+    FROM documents
+), langs AS (
+    SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM (SELECT DISTINCT lang FROM documents)
+), leaves AS (
+    SELECT doc_id, t, leaf, tampered, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+    FROM rows_ JOIN langs ON rows_.lang IS NOT DISTINCT FROM langs.lang
+), tree AS (
+    SELECT t, 0 AS level, i, leaf AS node, count(*) OVER (PARTITION BY t) AS n FROM leaves
+    UNION ALL
+    SELECT t, level + 1, i // 2, sha256(string_agg(node, '' ORDER BY i)), (n + 1) // 2 FROM tree WHERE n > 1 GROUP BY t, level, i // 2, n
+), over_ AS (
+    SELECT 0 AS level, t AS i, node, (SELECT count(*) FROM langs) AS n FROM tree WHERE n = 1
+    UNION ALL
+    SELECT level + 1, i // 2, sha256(string_agg(node, '' ORDER BY i)), (n + 1) // 2 FROM over_ WHERE n > 1 GROUP BY level, i // 2, n
+), climb AS (
+    SELECT t, i AS leaf_no, 0 AS level, i, coalesce(tampered, leaf) AS node, '' AS proof FROM leaves
+    UNION ALL
+    SELECT c.t, leaf_no, c.level + 1, c.i // 2, sha256(CASE WHEN s.i < c.i THEN s.node || c.node ELSE c.node || coalesce(s.node, '') END),
+        proof || coalesce(s.node, '')
+    FROM climb c JOIN tree own ON own.t = c.t AND own.level = c.level AND own.i = c.i AND own.n > 1
+    LEFT JOIN tree s ON s.t = c.t AND s.level = c.level AND s.i = xor(c.i, 1)
+), arrived AS (
+    SELECT c.t, leaf_no, c.node, proof, own.node AS subroot
+    FROM climb c JOIN tree own ON own.t = c.t AND own.level = c.level AND own.n = 1
+), climb_over AS (
+    SELECT t, leaf_no, 0 AS level, t AS i, node, proof FROM arrived
+    UNION ALL
+    SELECT c.t, leaf_no, c.level + 1, c.i // 2, sha256(CASE WHEN s.i < c.i THEN s.node || c.node ELSE c.node || coalesce(s.node, '') END),
+        proof || coalesce(s.node, '')
+    FROM climb_over c JOIN over_ own ON own.level = c.level AND own.i = c.i AND own.n > 1
+    LEFT JOIN over_ s ON s.level = c.level AND s.i = xor(c.i, 1)
+)
+SELECT l.doc_id, l.leaf, a.subroot, top.node AS root, sha256(c.proof) AS proof_sha256, c.node AS folded_root, c.node = top.node AS verified
+FROM leaves l JOIN arrived a ON a.t = l.t AND a.leaf_no = l.i
+JOIN climb_over c ON c.t = l.t AND c.leaf_no = l.i
+JOIN over_ top ON top.n = 1 AND top.level = c.level
+"""

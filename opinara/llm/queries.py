@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.llm import bpe, jaccard, line_dedup, mixing, pii, quality, sharding, suffix_dedup, topk, toxicity
+from opinara.llm import bpe, jaccard, line_dedup, merkle, mixing, pii, quality, sharding, suffix_dedup, topk, toxicity
 from opinara.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,8 @@ def op1_toxicity(spark, sf_dir):
 @query
 def op3_top_k_search(spark, sf_dir):
     return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents")).drop("lang", "path")
