@@ -36,7 +36,7 @@ def compare(spark_df, connection, sql: str) -> list[str]:
     if sorted(spark_df.columns) != sorted(relation.columns):
         return [f"columns {sorted(spark_df.columns)} vs {sorted(relation.columns)}"]
     spark_types = dict(spark_df.dtypes)
-    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    names = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
     for column, kind in zip(relation.columns, relation.types, strict=True):
         expected = names.get(spark_types[column], spark_types[column])
         if str(kind) != expected:
