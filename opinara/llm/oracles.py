@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from opinara.llm import line_dedup, merkle, mixing, sharding, topk
+from opinara.llm import line_dedup, merkle, mixing, sharding, topk, variants
 
 ORACLES: dict[str, str] = {}
 
@@ -153,3 +153,38 @@ FROM leaves l JOIN arrived a ON a.t = l.t AND a.leaf_no = l.i
 JOIN climb_over c ON c.t = l.t AND c.leaf_no = l.i
 JOIN over_ top ON top.n = 1 AND top.level = c.level
 """
+
+ORACLES["op12_spelling_variants"] = f"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL
+), hashed AS (
+    SELECT run, n, {crc32("(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || run)")} AS h FROM runs
+    WHERE length(run) >= {variants.LEAST_LETTERS}
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+        SELECT CASE WHEN h % {variants.DELETED} = 0
+            THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n
+        FROM hashed
+    ) WHERE length(word) >= {variants.LEAST_LETTERS} GROUP BY word HAVING sum(n) >= {variants.LEAST_COUNT}
+), shorter AS (
+    SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), links AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, max(near_n) AS near_n FROM links GROUP BY word
+), forms AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= {variants.TIMES} * n THEN near_n END AS form_n,
+        CASE WHEN near_n >= {variants.TIMES} * n
+            THEN (SELECT min(near) FROM links l WHERE l.word = w.word AND l.near_n = best.near_n) END AS form
+    FROM words w LEFT JOIN best ON best.word = w.word
+), chain AS (
+    SELECT word, word AS reached, form FROM forms
+    UNION ALL
+    SELECT chain.word, chain.form, forms.form FROM chain JOIN forms ON forms.word = chain.form WHERE chain.form IS NOT NULL
+)
+SELECT forms.word, form, reached AS root, n, n_near, form_n FROM forms JOIN (SELECT word, reached FROM chain WHERE form IS NULL) USING (word)
+"""

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.llm import bpe, jaccard, line_dedup, merkle, mixing, pii, quality, sharding, suffix_dedup, topk, toxicity
+from opinara.llm import (
+    bpe, jaccard, line_dedup, lm_scoring, merkle, mixing, pii, quality, sharding, suffix_dedup, topk, toxicity, variants,
+)
 from opinara.llm.frames import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +79,13 @@ def op3_top_k_search(spark, sf_dir):
 @query
 def op11_merkle_manifest(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents")).drop("lang", "path")
+
+
+@query
+def op13_lm_scoring(spark, sf_dir):
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return variants.variant_groups(table(spark, sf_dir, "documents"))
