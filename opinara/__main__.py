@@ -5,8 +5,9 @@ from __future__ import annotations
 import argparse
 
 from opinara import jobs
+from opinara.plans.studies import PARALLEL, default_grid
 from opinara.session import session
-from opinara.settings import SourceSettings
+from opinara.settings import FeatureSettings, SourceSettings
 
 
 def parser() -> argparse.ArgumentParser:
@@ -23,6 +24,13 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("--out", required=True)
         if name == "errors":
             command.add_argument("--model", required=True)
+        if name in ("train", "scaling"):
+            command.add_argument("--vocab-size", type=int, default=FeatureSettings.vocab_size, help="terms, or hash slots")
+            command.add_argument("--min-df", type=float, default=FeatureSettings.min_df, help="documents, below 1 their share")
+            command.add_argument("--ngram", type=int, default=FeatureSettings.ngram, help="words of an n-gram")
+        if name == "train":
+            command.add_argument("--tree-vocab-size", type=int, help="terms for the tree models, if not as many")
+            command.add_argument("--parallel", type=int, default=PARALLEL, help="runs that share the cluster")
     export = commands.add_parser("export")
     export.add_argument("--model", required=True)
     export.add_argument("--out", required=True)
@@ -47,8 +55,13 @@ def main(arguments: list[str] | None = None) -> object:
     )
     if given.job == "errors":
         return jobs.error_job(spark, sources, given.model, given.out)
-    work = {"profile": jobs.profile_job, "train": jobs.train_job, "scaling": jobs.scaling_job}
-    return work[given.job](spark, sources, given.out)
+    if given.job == "profile":
+        return jobs.profile_job(spark, sources, given.out)
+    settings = FeatureSettings(given.vocab_size, given.min_df, given.ngram)
+    if given.job == "scaling":
+        return jobs.scaling_job(spark, sources, given.out, settings=settings)
+    trees = FeatureSettings(given.tree_vocab_size, given.min_df, given.ngram) if given.tree_vocab_size else None
+    return jobs.train_job(spark, sources, given.out, default_grid(settings, trees), parallel=given.parallel)
 
 
 if __name__ == "__main__":

@@ -12,6 +12,7 @@ from opinara.catalog.queries import (
 )
 from opinara.functions.ranks import RANK_SPAN
 from opinara.functions.stopwords import ENGLISH
+from opinara.plans.studies import FRACTIONS
 
 _BLANK = r"[ \t\n\x0B\f\r]"
 _RUN = r"[^ \t\n\x0B\f\r]+"
@@ -107,12 +108,13 @@ _FRAGMENTS: dict[str, tuple[tuple[str, ...], str]] = {
                  GROUP BY term HAVING count(DISTINCT doc_id) >= 5
                  ORDER BY cnt DESC, term LIMIT 65536)""",
     ),
-    "review_terms": (
+    "review_terms": (("review_kept",), "SELECT doc_id, label, split, unnest(kept) AS term FROM review_kept"),
+    "review_kept": (
         ("reviews",),
-        f"""SELECT doc_id, label, split, unnest(list_filter(
+        f"""SELECT doc_id, label, split, list_filter(
                    CASE WHEN body = '' THEN []::VARCHAR[]
                    ELSE string_split_regex(body, '{_BLANK}') END,
-                   lambda t: NOT list_contains({_STOP}, t))) AS term
+                   lambda t: NOT list_contains({_STOP}, t)) AS kept
             FROM (SELECT *, regexp_replace(combined_text, '{_BLANK}+\\z', '') AS body FROM reviews)""",
     ),
     "nb_vocabulary": (
@@ -265,6 +267,72 @@ _FRAGMENTS["rule_runs"] = (
 )
 
 
+def _nb_study(name: str, docs: tuple[tuple[str, ...], str], terms: tuple[tuple[str, ...], str]) -> None:
+    """Fragments of several naive Bayes runs side by side, up to ``<name>_rows`` of the tested documents.
+
+    ``docs`` gives ``seq, doc_id, label, part`` and ``terms`` gives ``seq, doc_id, term``. A run without vocabulary has no rows.
+    """
+    _FRAGMENTS[f"{name}_docs"], _FRAGMENTS[f"{name}_terms"] = docs, terms
+    _FRAGMENTS[f"{name}_vocabulary"] = (
+        (f"{name}_docs", f"{name}_terms"),
+        f"""SELECT seq, term FROM {name}_terms JOIN {name}_docs USING (seq, doc_id) WHERE part = 'train'
+            GROUP BY seq, term HAVING count(DISTINCT doc_id) >= 5
+            QUALIFY row_number() OVER (PARTITION BY seq ORDER BY count(*) DESC, term) <= 65536""",
+    )
+    _FRAGMENTS[f"{name}_margin"] = (
+        (f"{name}_vocabulary",),
+        f"""SELECT seq, term, sum(CASE WHEN label = 1 THEN theta ELSE -theta END) AS weight
+            FROM (SELECT seq, label, term, ln(tf + 1.0::DOUBLE) - ln((sum(tf) OVER both_ + count(*) OVER both_)::DOUBLE) AS theta
+                  FROM (SELECT v.seq, c.label, v.term, coalesce(s.tf, 0) AS tf
+                        FROM {name}_vocabulary v CROSS JOIN (SELECT unnest([0.0::DOUBLE, 1.0::DOUBLE]) AS label) c
+                        LEFT JOIN (SELECT seq, label, term, count(*) AS tf
+                                   FROM {name}_terms JOIN {name}_docs USING (seq, doc_id)
+                                   WHERE part = 'train' GROUP BY seq, label, term) s
+                          ON s.seq = v.seq AND s.label = c.label AND s.term = v.term)
+                  WINDOW both_ AS (PARTITION BY seq, label))
+            GROUP BY seq, term""",
+    )
+    _FRAGMENTS[f"{name}_rows"] = (
+        (f"{name}_margin",),
+        f"""SELECT seq, label, 1.0 / (1.0 + exp(least(-margin, 700.0))) AS prob, CASE WHEN margin > 0 THEN 1 ELSE 0 END AS prediction
+            FROM (SELECT d.seq, d.label, coalesce(e.evidence, 0.0) + i.intercept AS margin
+                  FROM {name}_docs d
+                  JOIN (SELECT seq, ln(sum(label) + 1.0) - ln(sum(1 - label) + 1.0) AS intercept
+                        FROM {name}_docs WHERE part = 'train' AND seq IN (SELECT seq FROM {name}_vocabulary)
+                        GROUP BY seq) i ON i.seq = d.seq
+                  LEFT JOIN (SELECT t.seq, doc_id, sum(weight) AS evidence
+                             FROM {name}_terms t JOIN {name}_margin m ON m.seq = t.seq AND m.term = t.term
+                             GROUP BY t.seq, doc_id) e ON e.seq = d.seq AND e.doc_id = d.doc_id
+                  WHERE d.part = 'test')""",
+    )
+
+
+_nb_study(
+    "grid",
+    (("reviews",), "SELECT unnest([0, 1]) AS seq, doc_id, label, split AS part FROM reviews"),
+    (
+        ("review_kept",),
+        """SELECT 0 AS seq, doc_id, unnest(kept) AS term FROM review_kept
+           UNION ALL SELECT 1, doc_id, unnest(list_transform(range(1, len(kept)), lambda i: kept[i] || ' ' || kept[i + 1]))
+           FROM review_kept""",
+    ),
+)
+for _name in ("rule_cells", "rule_metrics", "rule_auc", "rule_runs"):
+    _needed, _body = _FRAGMENTS[_name]
+    _own = _body.replace("rule_", "grid_").replace("seq, model, feature_type", "seq")
+    _FRAGMENTS[_name.replace("rule", "grid")] = (tuple(n.replace("rule", "grid") for n in _needed), _own)
+_nb_study(
+    "scaling",
+    (
+        ("reviews",),
+        f"""SELECT seq, doc_id, label, split AS part
+            FROM reviews CROSS JOIN (SELECT unnest(range({len(FRACTIONS)})) AS seq)
+            WHERE split = 'test' OR {_rank("42")} < ({[int(f * RANK_SPAN) for f in FRACTIONS]}::HUGEINT[])[seq + 1]""",
+    ),
+    (("review_terms",), f"SELECT unnest(range({len(FRACTIONS)})) AS seq, doc_id, term FROM review_terms"),
+)
+
+
 def _sql(body: str, *fragments: str) -> str:
     """Prefix ``body`` with the named fragments and all they read, in order."""
     ordered: list[str] = []
@@ -558,6 +626,19 @@ ORACLES: dict[str, str] = {
             SELECT {_ROUNDED} FROM ({_weighted("cells")}) CROSS JOIN area""",
         "nb_scored",
     ).replace("\n, test AS", ",\ntest AS", 1),
+    "grid_nb": _sql(
+        f"""SELECT seq::INTEGER AS seq, 'naive_bayes' AS model, ['count_vectorizer', 'ngram_cv'][seq + 1] AS feature_type, {_ROUNDED},
+                   row_number() OVER (ORDER BY accuracy DESC, seq) = 1 AS is_best FROM grid_runs""",
+        "grid_runs",
+    ),
+    "scaling_nb": _sql(
+        f"""SELECT ({[float(f) for f in FRACTIONS]}::DOUBLE[])[seq + 1] AS fraction,
+                   count(*) FILTER (part = 'train') AS n_rows, round(any_value(accuracy), 6) AS accuracy
+            FROM scaling_docs LEFT JOIN (SELECT seq, avg(CASE WHEN prediction = label THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS accuracy
+                                         FROM scaling_rows GROUP BY seq) USING (seq)
+            GROUP BY seq""",
+        "scaling_docs", "scaling_rows",
+    ),
     "score_batch": _sql(_NB_SCORED, "nb_scored"),
     "model_roundtrip": _sql(_NB_SCORED, "nb_scored"),
     "nb_predict": _sql(_NB_SCORED, "nb_scored"),

@@ -480,8 +480,25 @@ def score_with_weights(spark, sf_dir):
 @query
 def run_grid(spark, sf_dir):
     train, test = train_and_test(spark, sf_dir)
-    grid = studies.default_grid(trees=FeatureSettings())
-    return studies.run_grid(spark, train, test, grid, KEY).runs
+    return studies.run_grid(spark, train, test, studies.default_grid(), KEY).runs
+
+
+@query
+def grid_nb(spark, sf_dir):
+    """The two runs of a grid that have a closed form, logged as they end; the study then goes on from its log."""
+    train, test = train_and_test(spark, sf_dir)
+    specs = [studies.RunSpec("naive_bayes", features) for features in ("count_vectorizer", "ngram_cv")]
+    path = fresh_path(spark, "grid-log")
+
+    def on_run(spec, row, model):
+        entry = run_tables.valid_runs(spark.createDataFrame([row], run_tables.RUNS_SCHEMA))
+        run_tables.put_log(run_tables.log_entries(entry, spec.params()), path)
+
+    studies.run_grid(spark, train, test, specs, KEY, on_run=on_run)
+    logged = run_tables.logged_runs(spark, path, [spec.run_id() for spec in specs])
+    result = studies.run_grid(spark, train, test, specs, KEY, logged=logged)
+    best = F.lit(result.best.feature_type) == F.col("feature_type")
+    return rounded(result.runs.select("seq", "model", "feature_type", *run_tables.METRICS, best.alias("is_best")), *run_tables.METRICS)
 
 
 @query
@@ -490,6 +507,14 @@ def scaling_study(spark, sf_dir):
     return studies.scaling_study(spark, train, test, KEY)
 
 
+@query
+def scaling_nb(spark, sf_dir):
+    """Sizes and accuracies of the scaling study with the model that has a closed form."""
+    train, test = train_and_test(spark, sf_dir)
+    study = studies.scaling_study(spark, train, test, KEY, model="naive_bayes")
+    return rounded(study.select("fraction", "n_rows", "accuracy"), "accuracy")
+
+
 @query
 def scaling_summary(spark, sf_dir):
     train, test = train_and_test(spark, sf_dir)
@@ -530,7 +555,10 @@ def runs_json(spark, sf_dir):
 def run_log(spark, sf_dir):
     path = fresh_path(spark, "runs-log")
     entries = run_tables.log_entries(rule_runs(spark, sf_dir), {"max_chars": 3000})
-    run_tables.append_log(entries, path)
+    # Run by run, and all of them again: each stays one entry.
+    for seq in range(len(RULE_RUNS)):
+        run_tables.put_log(run_tables.log_entries(rule_runs(spark, sf_dir).filter(F.col("seq") == seq), {"max_chars": 3000}), path)
+    run_tables.put_log(entries, path)
     logged = run_tables.read_log(spark, path)
     return logged.select(
         "run_name",

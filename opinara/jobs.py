@@ -7,24 +7,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opinara.functions.text import preview
 from opinara.operators import curves, errors, metrics, profile, words
 from opinara.operators.prep import with_lengths
-from opinara.operators.runs import append_log, comparison, log_entries, valid_runs, write_runs_json
+from opinara.operators.runs import (
+    RUNS_SCHEMA, comparison, log_entries, logged_runs, put_log, valid_runs, write_runs_json, write_scaling_json,
+)
 from opinara.plans.loading import KEY, load_splits
 from opinara.plans.models import load_model, save_model, score, weights_table
-from opinara.plans.studies import FRACTIONS, RunSpec, default_grid, run_grid, scaling_study, scaling_summary
+from opinara.plans.studies import FRACTIONS, PARALLEL, RunSpec, default_grid, run_grid, scaling_study, scaling_summary
 from opinara.session import materialize
-from opinara.settings import SourceSettings
+from opinara.settings import FeatureSettings, SourceSettings
 from opinara.sources.reviews import conform, expect_count, read_parquet, write_reviews
 
 
-def _write(tables: dict[str, DataFrame], out: str) -> dict[str, str]:
+def _write(tables: dict[str, DataFrame], out: str, mode: str = "errorifexists") -> dict[str, str]:
     paths = {name: f"{out}/{name}" for name in tables}
     for name, table in tables.items():
-        table.write.mode("errorifexists").parquet(paths[name])
+        table.write.mode(mode).parquet(paths[name])
     return paths
 
 
@@ -59,7 +62,7 @@ def profile_job(spark: SparkSession, sources: SourceSettings, out: str) -> dict[
     )
 
 
-def evaluation_job(predictions: DataFrame, key: str, out: str) -> dict[str, str]:
+def evaluation_job(predictions: DataFrame, key: str, out: str, mode: str = "errorifexists") -> dict[str, str]:
     """Metrics, curves and error tables of one model's predictions."""
     # Read many times, so scored once; of the text only its length and its beginning are kept.
     text = F.col("combined_text")
@@ -84,28 +87,48 @@ def evaluation_job(predictions: DataFrame, key: str, out: str) -> dict[str, str]
             "false_negatives": errors.top_errors(kept, "fn", key, text="preview"),
         },
         out,
+        mode,
     )
 
 
 def train_job(
     spark: SparkSession, sources: SourceSettings, out: str,
-    specs: Sequence[RunSpec] | None = None, overrides: dict[str, dict] | None = None,
+    specs: Sequence[RunSpec] | None = None, overrides: dict[str, dict] | None = None, parallel: int = PARALLEL,
 ) -> dict[str, str]:
-    """Run the grid, log and compare the runs, save the best model and its evaluation."""
+    """Run the grid, save and log every run as it ends, compare the runs, evaluate the best model.
+
+    Started again with the same ``out``, a study goes on with the runs its log does not hold. Each run's
+    model stays below ``out/models``; a run is logged after its model has been written.
+    """
+    specs, overrides = specs or default_grid(), overrides or {}
     train, test = load_splits(spark, sources)
-    result = run_grid(spark, train, test, specs or default_grid(), KEY, overrides)
-    paths = {"runs": write_runs_json(result.runs, f"{out}/runs")}
+    log_path = f"{out}/log"
+
+    def name(spec: RunSpec) -> str:
+        return spec.run_id(overrides.get(spec.model))
+
+    def saved(spec: RunSpec) -> str:
+        return f"{out}/models/{name(spec)}"
+
+    def logged(spec: RunSpec, row: dict, artifacts: Sequence[str]) -> None:
+        runs = valid_runs(spark.createDataFrame([row], RUNS_SCHEMA))
+        put_log(log_entries(runs, spec.params(overrides.get(spec.model)), artifacts), log_path)
+
+    def on_run(spec: RunSpec, row: dict, model: PipelineModel | None) -> None:
+        if model is not None:
+            logged(spec, row, [save_model(model, saved(spec))])
+
+    known = logged_runs(spark, log_path, [name(spec) for spec in specs])
+    result = run_grid(spark, train, test, specs, KEY, overrides, on_run, known, parallel)
+    paths = {"runs": write_runs_json(result.runs, f"{out}/runs", mode="overwrite"), "log": log_path}
     failed = result.runs.filter(F.col("error").isNotNull()).select("seq", "model", "feature_type", "error")
-    paths |= _write({"comparison": comparison(valid_runs(result.runs)), "failed": failed}, out)
-    if result.best_model is not None:
-        paths["model"] = save_model(result.best_model, f"{out}/model")
-        paths |= evaluation_job(score(result.best_model, test), KEY, f"{out}/evaluation")
-    specs = specs or default_grid()
-    for seq, spec in enumerate(specs):
-        params = {"vocab_size": spec.settings.vocab_size, "min_df": spec.settings.min_df}
-        artifacts = [paths[name] for name in ("model", "metrics", "roc") if name in paths] if spec == result.best else []
-        entries = log_entries(valid_runs(result.runs.filter(F.col("seq") == seq)), params, artifacts)
-        paths["log"] = append_log(entries, f"{out}/log")
+    paths |= _write({"comparison": comparison(valid_runs(result.runs)), "failed": failed}, out, "overwrite")
+    if result.best is not None:
+        paths["model"] = saved(result.best)
+        best = result.best_model or load_model(paths["model"])
+        paths |= evaluation_job(score(best, test), KEY, f"{out}/evaluation", "overwrite")
+        row = next(r for r in valid_runs(result.runs).collect() if specs[r.seq] == result.best).asDict()
+        logged(result.best, row, [paths[part] for part in ("model", "metrics", "roc")])
     return paths
 
 
@@ -116,11 +139,14 @@ def error_job(spark: SparkSession, sources: SourceSettings, model: str, out: str
 
 
 def scaling_job(
-    spark: SparkSession, sources: SourceSettings, out: str, fractions: Sequence[float] = FRACTIONS
+    spark: SparkSession, sources: SourceSettings, out: str, fractions: Sequence[float] = FRACTIONS,
+    settings: FeatureSettings = FeatureSettings(),
 ) -> dict[str, str]:
+    """The scaling study as a table and as JSON, and its summary."""
     train, test = load_splits(spark, sources)
-    study = scaling_study(spark, train, test, KEY, fractions)
-    return _write({"scaling": study, "scaling_summary": scaling_summary(study)}, out)
+    study = scaling_study(spark, train, test, KEY, fractions, settings=settings)
+    paths = _write({"scaling": study, "scaling_summary": scaling_summary(study)}, out)
+    return paths | {"scaling_json": write_scaling_json(study, f"{out}/scaling_json")}
 
 
 def export_job(spark: SparkSession, model: str, out: str) -> dict[str, str]:

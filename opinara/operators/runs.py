@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+import threading
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (
     ArrayType, DoubleType, IntegerType, MapType, StringType, StructField, StructType,
@@ -28,8 +32,11 @@ LOG_SCHEMA = StructType(
         StructField("params", MapType(StringType(), StringType())),
         StructField("metrics", MapType(StringType(), DoubleType())),
         StructField("artifacts", ArrayType(StringType())),
+        StructField("run_id", StringType()),
     ]
 )
+# Runs end in several threads, but one log is written by one at a time.
+_writing = threading.Lock()
 EVALUATION_PREFIX = "^eval_"
 
 
@@ -88,6 +95,17 @@ def clean_metrics(metrics: Column) -> Column:
     return F.map_filter(named, lambda _, value: value.isNotNull())
 
 
+def params_digest(params: Mapping[str, object] | None) -> str:
+    """Twelve digits that tell sets of parameters apart, whatever their order."""
+    text = json.dumps({k: str(v) for k, v in (params or {}).items()}, sort_keys=True)
+    return hashlib.sha256(text.encode()).hexdigest()[:12]
+
+
+def run_id(model: str, feature_type: str, params: Mapping[str, object] | None = None) -> str:
+    """What a run is known by in the log: the same for the same work."""
+    return "-".join((model, feature_type, params_digest(params)))
+
+
 def log_entries(
     runs: DataFrame, params: Mapping[str, object] | None = None, artifacts: Sequence[str] = ()
 ) -> DataFrame:
@@ -105,11 +123,18 @@ def log_entries(
             F.create_map(*metrics, F.lit("training_time_seconds"), F.col("training_time"))
         ).alias("metrics"),
         F.array(*map(F.lit, artifacts)).cast("array<string>").alias("artifacts"),
+        F.concat_ws("-", "model", "feature_type", F.lit(params_digest(params))).alias("run_id"),
     )
 
 
-def append_log(entries: DataFrame, path: str) -> str:
-    entries.write.mode("append").parquet(path)
+def put_log(entries: DataFrame, path: str) -> str:
+    """Write log rows, each in the place of an earlier one of its ``run_id``; all others stay.
+
+    A log is a table partitioned by run, of which only the partitions written to are replaced.
+    """
+    with _writing:
+        writer = entries.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("run_id").parquet(path)
     return path
 
 
@@ -118,24 +143,42 @@ def log_run(
     params: Mapping[str, object], metrics: Mapping[str, object], training_time: float,
     artifacts: Sequence[str] = (),
 ) -> str:
-    """Append one run to the log at ``path``."""
+    """Log one run at ``path``; logged again, it takes the place of its first entry."""
     numbers = {k: float(v) if isinstance(v, (int, float)) else None for k, v in metrics.items()}
     settings = {"model_name": model, "feature_type": feature_type}
     settings |= {k: str(v) for k, v in params.items()}
-    row = [(name, settings, numbers | {"training_time_seconds": float(training_time)}, list(artifacts))]
+    numbers |= {"training_time_seconds": float(training_time)}
+    row = [(name, settings, numbers, list(artifacts), run_id(model, feature_type, params | {"run_name": name}))]
     entry = spark.createDataFrame(row, LOG_SCHEMA)
-    return append_log(entry.withColumn("metrics", clean_metrics(F.col("metrics"))), path)
+    return put_log(entry.withColumn("metrics", clean_metrics(F.col("metrics"))), path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(path)
 
 
-def write_runs_json(runs: DataFrame, path: str) -> str:
+def logged_runs(spark: SparkSession, path: str, ids: Sequence[str]) -> dict[str, dict]:
+    """Entries of the named runs by id; none where there is no log yet."""
+    try:
+        found = read_log(spark, path).filter(F.col("run_id").isin(*ids)).collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {row.run_id: row.asDict() for row in found}
+
+
+def write_runs_json(runs: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """Valid runs as JSON lines."""
-    valid_runs(runs).write.mode("errorifexists").json(path)
+    valid_runs(runs).write.mode(mode).json(path)
     return path
 
 
 def read_runs_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUNS_SCHEMA).json(path)
+
+
+def write_scaling_json(study: DataFrame, path: str) -> str:
+    """Rows of a scaling study as JSON lines, failed ones with their error."""
+    study.write.mode("errorifexists").json(path)
+    return path

@@ -18,6 +18,8 @@ def session(settings: SessionSettings = SessionSettings()) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # Runs of a study share the cluster, each in a pool of its own.
+        .config("spark.scheduler.mode", "FAIR")
     )
     for key, value in (
         ("spark.driver.memory", settings.driver_memory),

@@ -36,6 +36,3 @@ class FeatureSettings:
     min_df: float = 5
     ngram: int = 2
 
-
-# Trees visit every feature at every split, so their runs use a smaller vocabulary.
-TREE_FEATURES = FeatureSettings(vocab_size=16_384)

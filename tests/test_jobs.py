@@ -4,6 +4,9 @@ from pyspark.sql import functions as F
 from opinara import jobs
 from opinara.__main__ import main, parser
 from opinara.catalog.tables import upstream_reviews
+from opinara.operators.runs import read_log
+from opinara.plans import studies
+from opinara.plans.models import load_model
 from opinara.plans.studies import RunSpec
 from opinara.settings import FeatureSettings, SourceSettings
 
@@ -27,17 +30,24 @@ def test_conform_checks_the_count(spark, paths):
         jobs.conform_job(spark, str(paths / "train-raw"), str(paths / "never"), expected=5)
 
 
-def test_jobs_from_end_to_end(spark, paths, tmp_path):
+def test_jobs_from_end_to_end(spark, paths, tmp_path, monkeypatch):
     sources = SourceSettings(str(paths / "train.parquet"), str(paths / "test.parquet"))
     specs = [
         RunSpec("naive_bayes", "tfidf", FeatureSettings(vocab_size=4, min_df=3)),
         RunSpec("logistic_regression", "count_vectorizer", SETTINGS),
     ]
-    written = jobs.train_job(
-        spark, sources, str(tmp_path / "train"), specs, {"logistic_regression": {"maxIter": 15}}
-    )
+    overrides = {"logistic_regression": {"maxIter": 15}}
+    written = jobs.train_job(spark, sources, str(tmp_path / "train"), specs, overrides)
     assert spark.read.json(written["runs"]).count() == 2
-    assert spark.read.parquet(written["log"]).count() == 2
+    log = {row.run_id: row for row in read_log(spark, written["log"]).collect()}
+    names = [spec.run_id(overrides.get(spec.model)) for spec in specs]
+    assert sorted(log) == sorted(names)
+    assert all(load_model(row.artifacts[0]) for row in log.values())
+    assert [len(row.artifacts) for row in log.values() if row.artifacts[0] == written["model"]] == [3]
+    # Started again, it finds all it has done.
+    monkeypatch.setattr(studies, "classifier", None)
+    again = jobs.train_job(spark, sources, str(tmp_path / "train"), specs, overrides)
+    assert again == written and spark.read.json(again["runs"]).count() == 2
     best = spark.read.parquet(written["metrics"]).first()
     shown = spark.read.parquet(written["comparison"]).orderBy(F.desc("accuracy")).first()
     assert shown.accuracy == f"{best.accuracy:.4f}"
@@ -67,9 +77,12 @@ def test_scaling_job(spark, paths, tmp_path):
     sources = SourceSettings(str(paths / "train.parquet"), str(paths / "test.parquet"))
     out = jobs.scaling_job(spark, sources, str(tmp_path / "scaling"), fractions=(1.0,))
     assert spark.read.parquet(out["scaling"]).first().n_rows == 87
+    assert spark.read.json(out["scaling_json"]).first().n_rows == 87
 
 
 def test_arguments():
-    assert parser().parse_args(["train", "--out", "x"]).fraction == 1.0
+    given = parser().parse_args(["train", "--out", "x", "--vocab-size", "99", "--tree-vocab-size", "7"])
+    assert (given.fraction, given.vocab_size, given.min_df, given.ngram, given.tree_vocab_size) == (1.0, 99, 5, 2, 7)
+    assert parser().parse_args(["scaling", "--out", "x"]).vocab_size == 65_536
     with pytest.raises(SystemExit):
         parser().parse_args(["errors", "--out", "x"])

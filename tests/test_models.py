@@ -1,3 +1,5 @@
+import threading
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
@@ -5,6 +7,8 @@ from pyspark.sql import functions as F
 
 from opinara.catalog.tables import KEY, with_tokens
 from opinara.operators import metrics
+from opinara.operators.runs import METRICS, RUNS_SCHEMA, log_entries, logged_runs, put_log, read_log, valid_runs
+from opinara.operators.sampling import hash_sample
 from opinara.operators.weights import naive_bayes_margin, naive_bayes_weights, score_with_weights, weights_of
 from opinara.plans import studies
 from opinara.plans.features import PIPELINES, feature_stages, text_stages, weighting_stages
@@ -144,7 +148,9 @@ def test_saved_model_predicts_the_same(spark, small_reviews, logistic):
 def test_default_grid_has_eight_runs():
     grid = studies.default_grid()
     assert len(grid) == len(set(grid)) == 8
-    assert {s.settings.vocab_size for s in grid if s.model in ("random_forest", "gbt")} == {16_384}
+    assert {s.settings.vocab_size for s in grid} == {65_536}
+    few = studies.default_grid(trees=FeatureSettings(vocab_size=9))
+    assert {s.model for s in few if s.settings.vocab_size == 9} == {"random_forest", "gbt"}
 
 
 def test_grid_goes_on_after_a_failure(spark, small_reviews):
@@ -156,12 +162,14 @@ def test_grid_goes_on_after_a_failure(spark, small_reviews):
     train, test = (small_reviews.filter(F.col("split") == s) for s in ("train", "test"))
     seen = []
     result = studies.run_grid(
-        spark, train, test, specs, KEY, {"random_forest": {"numTrees": 3, "maxDepth": 2}}, seen.append
+        spark, train, test, specs, KEY, {"random_forest": {"numTrees": 3, "maxDepth": 2}},
+        lambda spec, row, model: seen.append((spec, row["seq"], model is None)),
     )
     runs = {r.seq: r for r in result.runs.collect()}
     assert runs[0].accuracy is None and "No term" in runs[0].error
     assert runs[1].error is None and runs[1].training_time > 0 and runs[2].accuracy > 0
-    assert len(seen) == 3
+    assert sorted(seq for _, seq, _ in seen) == [0, 1, 2]
+    assert all(specs[seq] == spec and failed == (seq == 0) for spec, seq, failed in seen)
     best = max((1, 2), key=lambda seq: runs[seq].accuracy)
     assert result.best == specs[best]
     predictions = score(result.best_model, test, KEY, "label")
@@ -182,11 +190,81 @@ def test_scaling_study(spark, small_reviews):
     assert summary.peak_throughput == max(r.throughput or 0 for r in rows.values())
 
 
-def test_queries_give_trees_the_common_vocabulary(monkeypatch):
-    from opinara.catalog import queries
+NAIVE = [
+    studies.RunSpec("naive_bayes", features, FeatureSettings(size, 3))
+    for features, size in (("count_vectorizer", 500), ("count_vectorizer", 40), ("ngram_cv", 500), ("tfidf", 300))
+]
 
-    seen = []
-    monkeypatch.setattr(queries, "train_and_test", lambda *a: (None, None))
-    monkeypatch.setattr(queries.studies, "run_grid", lambda *a: seen.extend(s.settings for s in a[3]) or type("Runs", (), {"runs": None}))
-    queries.run_grid(None, None)
-    assert {s.vocab_size for s in seen} == {65_536}
+
+@pytest.fixture(scope="module")
+def halves(small_reviews):
+    return [small_reviews.filter(F.col("split") == s) for s in ("train", "test")]
+
+
+def rows_of(result):
+    return [tuple(r[c] for c in ("seq", "model", "feature_type", *METRICS, "error")) for r in result.runs.orderBy("seq").collect()]
+
+
+def test_runs_share_the_cluster(spark, halves, monkeypatch):
+    """Two fits meet at a barrier, which neither could pass alone; each has jobs and a pool of its own."""
+    barrier, pools = threading.Barrier(2, timeout=120), []
+    real = studies.classifier
+
+    def meeting(model, **overrides):
+        barrier.wait()
+        pools.append(spark.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        return real(model, **overrides)
+
+    monkeypatch.setattr(studies, "classifier", meeting)
+    together = studies.run_grid(spark, *halves, NAIVE, KEY, parallel=2)
+    ids = [spec.run_id() for spec in NAIVE]
+    assert sorted(pools) == sorted(ids)
+    assert all(spark.sparkContext.statusTracker().getJobIdsForGroup(name) for name in ids)
+    monkeypatch.setattr(studies, "classifier", real)
+    assert rows_of(together) == rows_of(studies.run_grid(spark, *halves, NAIVE, KEY, parallel=1))
+
+
+def test_equal_features_are_fitted_once(spark, halves, monkeypatch):
+    fits = []
+    real = studies.weighting_stages
+    monkeypatch.setattr(studies, "weighting_stages", lambda *named: fits.append(named) or real(*named))
+    specs = [studies.RunSpec("naive_bayes", "count_vectorizer", SETTINGS)] * 3
+    studies.run_grid(spark, *halves, specs, KEY, {"naive_bayes": {"smoothing": 2.0}}, parallel=3)
+    assert len(fits) == 1
+
+
+def test_a_killed_study_goes_on(spark, halves, tmp_path):
+    """A study that dies in its third run leaves two in the log; started again, it runs the others only."""
+    path, calls = str(tmp_path / "log"), []
+
+    def on_run(spec, row, model, dies_at=None):
+        calls.append(row["seq"])
+        if dies_at is not None and len(calls) > dies_at:
+            raise KeyboardInterrupt
+        put_log(log_entries(valid_runs(spark.createDataFrame([row], RUNS_SCHEMA)), spec.params()), path)
+
+    with pytest.raises(KeyboardInterrupt):
+        studies.run_grid(spark, *halves, NAIVE, KEY, on_run=lambda *a: on_run(*a, dies_at=2), parallel=1)
+    assert calls == [0, 1, 2] and read_log(spark, path).count() == 2
+    known = logged_runs(spark, path, [spec.run_id() for spec in NAIVE])
+    calls.clear()
+    result = studies.run_grid(spark, *halves, NAIVE, KEY, on_run=on_run, logged=known, parallel=1)
+    assert calls == [2, 3] and read_log(spark, path).count() == 4
+    whole = studies.run_grid(spark, *halves, NAIVE, KEY)
+    assert rows_of(result) == rows_of(whole) and result.best == whole.best
+    again = studies.run_grid(spark, *halves, NAIVE, KEY, logged=logged_runs(spark, path, [s.run_id() for s in NAIVE]))
+    assert rows_of(again) == rows_of(whole) and (again.best, again.best_model) == (whole.best, None)
+
+
+@pytest.mark.parametrize("fractions", [(0.1, 0.5, 1.0), (0.3, 0.6)])
+def test_slices_are_the_nested_samples(spark, halves, fractions):
+    path = studies.write_slices(halves[0], KEY, fractions)
+    for number, fraction in enumerate(fractions):
+        read = studies.read_slices(spark, path, number)
+        wanted = hash_sample(halves[0], KEY, fraction).select("label", "combined_text")
+        assert sorted(map(tuple, read.collect())) == sorted(map(tuple, wanted.collect()))
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        filters = plan[plan.index("PartitionFilters") :]
+        assert "slice#" in filters and f"<= {number}" in filters[: filters.index("]", filters.index("slice"))]
+        files = {row[0] for row in read.select("_metadata.file_path").distinct().collect()}
+        assert {name.split("slice=")[1][0] for name in files} <= set(map(str, range(number + 1)))

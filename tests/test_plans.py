@@ -4,7 +4,7 @@
 import pytest
 
 from opinara.catalog.queries import QUERIES
-from opinara.operators.runs import log_entries, read_log, append_log
+from opinara.operators.runs import log_entries, put_log, read_log
 from opinara.operators.weights import naive_bayes_margin
 
 
@@ -29,7 +29,7 @@ def test_log_names_parameters_and_artifacts(spark, tmp_path):
         "seq int, model string, feature_type string, accuracy double, precision double, recall double, f1 double, "
         "auc double, training_time double, error string",
     )
-    append_log(log_entries(runs, {"vocab_size": 9, "min_df": 5}, ["a/model"]), str(tmp_path / "log"))
+    put_log(log_entries(runs, {"vocab_size": 9, "min_df": 5}, ["a/model"]), str(tmp_path / "log"))
     row = read_log(spark, str(tmp_path / "log")).first()
     assert row.params["vocab_size"] == "9" and row.params["min_df"] == "5" and row.artifacts == ["a/model"]
     assert "auc" not in row.metrics
