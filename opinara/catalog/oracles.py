@@ -448,6 +448,13 @@ ORACLES: dict[str, str] = {
             (PARTITION BY label ORDER BY {_rank('42')}, doc_id) <= {SAMPLE_PER_CLASS}""",
         "reviews",
     ),
+    # Whole conversations go in by rank; only the last one of a role may be cut, wherever its rows stand.
+    "sample_per_class_turns": f"""
+        SELECT role, least(any_value(total), {SAMPLE_PER_CLASS}) AS cnt, count(*) FILTER (before < {SAMPLE_PER_CLASS}) AS conversations
+        FROM (SELECT role, sum(n) OVER (PARTITION BY role)::BIGINT AS total, sum(n) OVER (PARTITION BY role ORDER BY rank) - n AS before
+              FROM (SELECT role, ('0x' || substr(md5('42:' || conv_id::VARCHAR), 1, 15))::BIGINT AS rank, count(*) AS n
+                    FROM conversations GROUP BY role, conv_id))
+        GROUP BY role""",
     "stratified_split": _sql(
         f"""SELECT doc_id, label, CASE WHEN row_number() OVER
                    (PARTITION BY label ORDER BY {_rank('42')}, doc_id)

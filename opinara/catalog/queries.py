@@ -141,17 +141,25 @@ def sample_fraction(spark, sf_dir):
 
 @query
 def sample_exact(spark, sf_dir):
-    return sampling.sample_n(articles(spark, sf_dir), KEY, SAMPLE_ROWS).select(KEY, "title")
+    return sampling.sample_n(articles(spark, sf_dir).select(KEY, "title"), KEY, SAMPLE_ROWS)
 
 
 @query
 def sample_per_class(spark, sf_dir):
-    return sampling.sample_per_class(reviews(spark, sf_dir), KEY, SAMPLE_PER_CLASS).select(KEY, "label")
+    return sampling.sample_per_class(reviews(spark, sf_dir).select(KEY, "label"), KEY, SAMPLE_PER_CLASS)
 
 
 @query
 def stratified_split(spark, sf_dir):
-    return sampling.stratified_split(reviews(spark, sf_dir), KEY).select(KEY, "label", "part")
+    return sampling.stratified_split(reviews(spark, sf_dir).select(KEY, "label"), KEY)
+
+
+@query
+def sample_per_class_turns(spark, sf_dir):
+    """Classes and keys as they come: a conversation has many turns, so its key repeats, and all roles are classes."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    picked = sampling.sample_per_class(turns, "conv_id", SAMPLE_PER_CLASS, label="role")
+    return picked.groupBy("role").agg(F.count(F.lit(1)).alias("cnt"), F.count_distinct("conv_id").alias("conversations"))
 
 
 # Data profile

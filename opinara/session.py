@@ -60,3 +60,10 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """Like :func:`materialize`, but in columns, so that readers take only what they need."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -60,10 +60,63 @@ def test_stratified_split_keeps_shares_and_rows(skewed):
     assert parts.select("id").distinct().count() == 5000
 
 
-def test_stratified_split_keeps_unlisted_classes_in_train(spark):
-    df = spark.createDataFrame([(1, 0.0), (2, 7.0), (3, None)], "id int, label double")
-    parts = {r.id: r.part for r in sampling.stratified_split(df, "id", 1.0).collect()}
-    assert parts == {1: "validation", 2: "train", 3: "train"}
+def test_every_class_is_sampled_and_split(spark):
+    """Classes nobody listed, and rows without one, are classes like the others."""
+    rows = [(i, float(i % 4)) for i in range(40)] + [(i, None) for i in range(40, 60)]
+    df = spark.createDataFrame(rows, "id int, label double").repartition(3)
+    split = sampling.stratified_split(df, "id", 0.3).groupBy("label", "part").count().collect()
+    counts = {(r.label, r.part): r["count"] for r in split}
+    assert counts == {
+        **{(float(c), part): n for c in range(4) for part, n in (("validation", 3), ("train", 7))},
+        (None, "validation"): 6, (None, "train"): 14,
+    }
+    picked = sampling.sample_per_class(df, "id", 7).groupBy("label").count().collect()
+    assert {r.label: r["count"] for r in picked} == {None: 7, **{float(c): 7 for c in range(4)}}
+    assert sampling.stratified_split(df, "id", 1.0).filter("part = 'train'").count() == 0
+    assert sampling.stratified_split(df, "id", 0.0).filter("part = 'train'").count() == 60
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 100, 101, 349, 350, 500])
+def test_exact_sizes_under_shared_and_null_keys(spark, n):
+    """One key on most rows, a null on others: still exactly n rows, whole rows of df, none twice."""
+    rows = [(7, f"hot{i}") for i in range(200)] + [(None, f"null{i}") for i in range(100)] + [(i, f"own{i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "id int, text string").repartition(6)
+    picked = sampling.sample_n(df, "id", n).collect()
+    assert len(picked) == len({r.text for r in picked}) == min(n, 350)
+    assert {tuple(r) for r in picked} <= set(rows)
+    # Ranks below that of the last row are in whole.
+    by_key = {}
+    for key, text in rows:
+        by_key.setdefault(key, set()).add(text)
+    taken = 0
+    for key in sorted(by_key, key=lambda k: rank("" if k is None else k)):
+        mine = {r.text for r in picked if r.id == key}
+        assert len(mine) == max(0, min(len(by_key[key]), n - taken))
+        taken += len(by_key[key])
+
+
+def test_rows_are_evaluated_once(spark):
+    """All counting and the result come from one table written in one pass."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(900).withColumn("label", (F.col("id") % 3).cast("double")).mapInArrow(count, "id long, label double")
+    assert sampling.sample_n(df, "id", 50).count() == 50 and seen.value == 900
+    assert sampling.sample_per_class(df, "id", 50).count() == 150 and seen.value == 1800
+    assert sampling.stratified_split(df, "id", 0.1).count() == 900 and seen.value == 2700
+
+
+def test_a_shared_key_is_not_gathered(spark):
+    """The last step ranks rows of one piece of the table only."""
+    df = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("id"), F.col("id").alias("n"))
+    ranked = sampling._ranked(df, "id", 42, F.lit(0))
+    assert ranked.groupBy(F.shiftright(sampling.ORDINAL, sampling.PIECE_BITS)).count().agg(F.max("count")).first()[0] == 500
+    picked = {r.n for r in sampling.sample_n(df, "id", 1234).collect()}
+    assert len(picked) == 1234
 
 
 def test_ties_within_one_slice(spark, monkeypatch):
