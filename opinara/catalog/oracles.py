@@ -220,6 +220,20 @@ _FRAGMENTS["partly"] = (
        FROM rules r LEFT JOIN (SELECT conv_id AS doc_id, max(turn) / 10.0::DOUBLE AS score
                                FROM conversations GROUP BY conv_id) s USING (doc_id)""",
 )
+_FRAGMENTS["gaps"] = (
+    ("rules",),
+    """SELECT r.doc_id, r.label, r.combined_text, CASE WHEN right(r.title, 1) IN ('0', '2', '4', '6', '8') THEN r.prediction END AS given,
+              CASE WHEN right(r.title, 1) IN ('0', '2', '4', '6', '8') THEN r.prediction ELSE 1 - r.label END AS prediction,
+              CASE WHEN s.turns % 3 = 0 THEN 'nan'::DOUBLE ELSE s.turns / 10.0::DOUBLE END AS prob
+       FROM rules r LEFT JOIN (SELECT conv_id AS doc_id, max(turn) AS turns FROM conversations GROUP BY conv_id) s USING (doc_id)""",
+)
+_FRAGMENTS["gap_cells"] = (
+    ("gaps",),
+    """SELECT sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END)::DOUBLE AS tp,
+              sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END)::DOUBLE AS fp,
+              sum(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END)::DOUBLE AS tn,
+              sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END)::DOUBLE AS fn FROM gaps""",
+)
 _FRAGMENTS["partly_scored"] = (
     ("partly",),
     """SELECT score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END)::DOUBLE AS pos,
@@ -570,6 +584,38 @@ ORACLES: dict[str, str] = {
     ),
     "top_false_positives": _errors(0, 1, "DESC"),
     "top_false_negatives": _errors(1, 0, "ASC"),
+    "confusion_gaps": _sql(
+        """SELECT l.label, p.prediction, count(r.doc_id) AS cnt
+           FROM (SELECT unnest([0.0::DOUBLE, 1.0::DOUBLE]) AS label) l
+           CROSS JOIN (SELECT unnest([0.0::DOUBLE, 1.0::DOUBLE]) AS prediction) p
+           LEFT JOIN gaps r ON r.label = l.label AND r.prediction = p.prediction
+           GROUP BY l.label, p.prediction""",
+        "gaps",
+    ),
+    "metrics_gaps": _sql(
+        f"""SELECT {", ".join(f"round({m}, 6) AS {m}" for m in _METRIC_NAMES[:-1])}, total, correct, total - correct AS incorrect,
+                   round(100.0::DOUBLE * correct / total, 6) AS correct_pct,
+                   round(100.0::DOUBLE * (total - correct) / total, 6) AS incorrect_pct
+            FROM ({_weighted("gap_cells")})
+            CROSS JOIN (SELECT count(*) AS total, count(*) FILTER (label = given) AS correct FROM gaps)""",
+        "gap_cells",
+    ),
+    "confidence_hist_gaps": _binned(
+        "(SELECT CASE WHEN label = prediction THEN 1 ELSE 0 END AS is_correct, prob FROM gaps WHERE isfinite(prob))",
+        "is_correct", "prob", 50, "gaps",
+    ) + """
+UNION ALL SELECT CASE WHEN label = prediction THEN 1 ELSE 0 END, -1, NULL, count(*) FROM gaps
+WHERE prob IS NULL OR NOT isfinite(prob) GROUP BY 1""",
+    "top_errors_gaps": _sql(
+        " UNION ALL ".join(
+            f"""(SELECT doc_id, CASE WHEN isfinite(prob) THEN round(prob, 6) ELSE prob END AS confidence,
+                        substr(combined_text, 1, 300) AS preview, '{kind}' AS kind
+                 FROM gaps WHERE label = {label} AND given = {1 - label}
+                 ORDER BY CASE WHEN isfinite(prob) THEN prob END {order} NULLS LAST, doc_id LIMIT 20)"""
+            for kind, label, order in (("fp", 0, "DESC"), ("fn", 1, "ASC"))
+        ),
+        "gaps",
+    ),
     # Features
     "tokens": _sql(
         """SELECT doc_id, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, '|') AS tokens
@@ -700,6 +746,10 @@ ORACLES: dict[str, str] = {
         "rule_runs",
     ),
     # Streaming
+    "stream_counts": f"""
+        SELECT count(*) AS n_read, count(*) FILTER (ok) AS n_scored, count(*) FILTER (NOT ok) AS n_rejected,
+               count(*) FILTER (ok) AS rows_verdicts, count(*) FILTER (NOT ok) AS rows_rejected
+        FROM (SELECT doc_id % 7 > 1 AND coalesce(len(regexp_extract_all(text, '{_RUN}')) > 0, false) AS ok FROM documents)""",
     "score_stream": _sql(
         """SELECT doc_id, CASE WHEN margin > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
                   round(prob, 6) AS prob,

@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opinara.catalog.tables import (
-    KEY, RULE_RUNS, articles, partial_predictions, raw_reviews, reviews, rule_predictions, rule_runs, table,
+    KEY, RULE_RUNS, articles, gapped_predictions, partial_predictions, raw_reviews, reviews, rule_predictions, rule_runs, table,
     train_and_test, upstream_reviews, with_tokens,
 )
 from opinara.functions.predictions import confidence, verdict
@@ -26,7 +26,7 @@ from opinara.plans.models import full_pipeline, load_model, save_model, score, w
 from opinara.session import fresh_path
 from opinara.settings import FeatureSettings
 from opinara.sources import reviews as sources
-from opinara.streaming.scoring import review_stream, score_stream
+from opinara.streaming.scoring import BATCH, COUNTS, REJECTED, VERDICTS, read_sink, review_stream, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -286,6 +286,34 @@ def top_false_negatives(spark, sf_dir):
     return rounded(errors.top_errors(rule_predictions(spark, sf_dir), "fn", KEY), "confidence")
 
 
+@query
+def confusion_gaps(spark, sf_dir):
+    return evaluation.confusion(gapped_predictions(spark, sf_dir))
+
+
+@query
+def metrics_gaps(spark, sf_dir):
+    """Metrics and overview of one table whose predictions and scores are partly missing: both count the same rows."""
+    rows = gapped_predictions(spark, sf_dir)
+    measured = evaluation.classification_metrics(rows).drop("auc")
+    one = F.lit(1).alias("one")
+    both = measured.select("*", one).join(evaluation.error_overview(rows).select("*", one), "one").drop("one")
+    return rounded(both, "accuracy", "precision", "recall", "f1", "correct_pct", "incorrect_pct")
+
+
+@query
+def confidence_hist_gaps(spark, sf_dir):
+    return evaluation.confidence_histogram(gapped_predictions(spark, sf_dir))
+
+
+@query
+def top_errors_gaps(spark, sf_dir):
+    """Both kinds, each with its rows that have no score at the end."""
+    rows = gapped_predictions(spark, sf_dir).withColumn("prob", F.col("prob").cast("double"))
+    kinds = [errors.top_errors(rows, kind, KEY).withColumn("kind", F.lit(kind)) for kind in ("fp", "fn")]
+    return rounded(kinds[0].unionByName(kinds[1]), "confidence")
+
+
 # Features
 
 
@@ -587,4 +615,19 @@ def score_stream_(spark, sf_dir):
     stream = review_stream(spark, f"{sf_dir}/documents*.parquet", schema)
     sink = fresh_path(spark, "verdicts")
     score_stream(stream, model, KEY, sink, fresh_path(spark, "progress")).awaitTermination()
-    return rounded(spark.read.parquet(sink), "prob", "confidence")
+    return rounded(read_sink(spark, sink).drop(BATCH), "prob", "confidence")
+
+
+@query
+def stream_counts(spark, sf_dir):
+    """What the stream read, scored and rejected; every seventh document loses its text on the way in."""
+    model = _fit(spark, sf_dir, "naive_bayes")
+    stream = review_stream(spark, f"{sf_dir}/documents*.parquet", table(spark, sf_dir, "documents").schema)
+    text = F.when(F.col(KEY) % 7 > 1, F.col("text")).when(F.col(KEY) % 7 == 1, " \n")
+    sink = fresh_path(spark, "verdicts")
+    score_stream(stream.withColumn("text", text), model, KEY, sink, fresh_path(spark, "progress")).awaitTermination()
+    sums = [F.sum(c).alias(c) for c in ("n_read", "n_scored", "n_rejected")]
+    written = [read_sink(spark, sink, name).select(F.lit(name).alias("name")) for name in (VERDICTS, REJECTED)]
+    rows = written[0].unionByName(written[1]).agg(*[F.count_if(F.col("name") == n).alias(f"rows_{n}") for n in (VERDICTS, REJECTED)])
+    one = F.lit(1).alias("one")
+    return read_sink(spark, sink, COUNTS).agg(*sums, one).join(rows.select("*", one), "one").drop("one")

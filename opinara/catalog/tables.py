@@ -81,6 +81,15 @@ def partial_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_predictions(spark, sf_dir).drop("prob").join(scores, KEY, "left")
 
 
+def gapped_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule's predictions, kept for documents of an even source; scores from conversations, some NaN, some missing."""
+    turns = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias(KEY)).agg(F.max("turn").alias("turns"))
+    rows = rule_predictions(spark, sf_dir).drop("prob").join(turns, KEY, "left")
+    score = F.when(F.col("turns") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("turns") / F.lit(10.0))
+    kept = F.when(F.right("title", F.lit(1)).isin(*"02468"), F.col("prediction"))
+    return rows.withColumn("prob", score).withColumn("prediction", kept).drop("turns")
+
+
 def rule_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A runs table of three rules, evaluated side by side in one pass over the reviews."""
     chars = F.least(F.length("text"), F.lit(RULE_CHARS)) / F.lit(float(RULE_CHARS))

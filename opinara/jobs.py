@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from opinara.functions.text import preview
+from opinara.functions.text import clip, preview
 from opinara.operators import curves, errors, metrics, profile, words
 from opinara.operators.prep import with_lengths
 from opinara.operators.runs import (
@@ -21,7 +21,7 @@ from opinara.plans.models import load_model, save_model, score, weights_table
 from opinara.plans.studies import FRACTIONS, PARALLEL, RunSpec, default_grid, run_grid, scaling_study, scaling_summary
 from opinara.session import materialize
 from opinara.settings import FeatureSettings, SourceSettings
-from opinara.sources.reviews import conform, expect_count, read_parquet, write_reviews
+from opinara.sources.reviews import check_count, conform, counted, read_parquet, write_reviews
 
 
 def _write(tables: dict[str, DataFrame], out: str, mode: str = "errorifexists") -> dict[str, str]:
@@ -34,29 +34,42 @@ def _write(tables: dict[str, DataFrame], out: str, mode: str = "errorifexists")
 def conform_job(
     spark: SparkSession, source: str, out: str, fmt: str = "parquet", expected: int | None = None
 ) -> str:
-    """Upstream layout to review layout, checked for its number of rows."""
-    upstream = read_parquet(spark, source)
+    """Upstream layout to review layout, its rows counted as they are written.
+
+    With another number than ``expected`` it raises; what has been written is then not to be used.
+    """
+    rows, seen = counted(conform(read_parquet(spark.newSession(), source)))
+    path = write_reviews(rows, out, fmt)
     if expected is not None:
-        expect_count(upstream, expected)
-    return write_reviews(conform(upstream), out, fmt)
+        check_count(seen.get["rows"], expected)
+    return path
 
 
 def profile_job(spark: SparkSession, sources: SourceSettings, out: str) -> dict[str, str]:
-    """Every table of the data profile."""
+    """Every table of the data profile, from one pass over the texts of both splits."""
     train, test = load_splits(spark, sources)
     both = train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
-    measured = with_lengths(train)
     columns = ("char_length", "word_count", "title_len", "text_len")
-    title_and_text = {"title": ("title_len", 200), "text": ("text_len", 3000)}
+    of_train = F.when(F.col("split") == "train", words.counted_words()).otherwise(F.array().cast("array<string>"))
+    counts = profile.value_counts(with_lengths(both), {c: F.col(c) for c in columns}, ("split", "label"), of_train)
+    lengths = counts.filter((F.col("split") == "train") & (F.col("series") != profile.TERMS))
+    every = lengths.groupBy("series", "value").agg(F.sum("cnt").alias("cnt"))
+    by_class = lengths.filter((F.col("series") == "word_count") & F.col("value").isNotNull())
+    by_class = by_class.groupBy("label", clip(F.col("value"), 500).alias("value")).agg(F.sum("cnt").alias("cnt"))
+    terms = counts.filter(F.col("series") == profile.TERMS).select("label", F.col("term").alias("word"), "cnt")
+
+    def histogram(bins: int, **measures: tuple[str, int]) -> DataFrame:
+        return profile.histogram_of_counts(profile.clipped(every, measures), bins)
+
     return _write(
         {
-            "class_distribution": profile.class_distribution(both),
-            "char_length": profile.length_histogram(measured, {"chars": ("char_length", 3000)}, 100),
-            "word_count": profile.length_histogram(measured, {"words": ("word_count", 500)}, 100),
-            "title_text": profile.length_histogram(measured, title_and_text, 50),
-            "density": profile.density(measured, "word_count", 500, "label"),
-            "summary": profile.summary(measured, {name: name for name in columns}),
-            "word_weights": words.word_weights(train),
+            "class_distribution": profile.class_distribution_of_counts(counts, "char_length"),
+            "char_length": histogram(100, chars=("char_length", 3000)),
+            "word_count": histogram(100, words=("word_count", 500)),
+            "title_text": histogram(50, title=("title_len", 200), text=("text_len", 3000)),
+            "density": profile.density_of_counts(by_class, "label"),
+            "summary": profile.summary_of_counts(every),
+            "word_weights": words.weights_of_top(words.top_of_counts(terms, words.CLOUD_WORDS)),
         },
         out,
     )

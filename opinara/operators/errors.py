@@ -27,16 +27,17 @@ def top_errors(
 ) -> DataFrame:
     """The ``k`` most confident false positives (``fp``) or false negatives (``fn``).
 
-    Ties go to the smaller key. Every task keeps its own ``k`` rows, so nothing is sorted whole.
+    Rows without a score (null or NaN) come after all others. Ties go to the smaller key. Every task keeps its own ``k`` rows, so nothing is sorted whole.
     """
     if kind == "fp":
-        wrong, order = false_positives(df), F.desc(score)
+        wrong, order = false_positives(df), F.desc_nulls_last
     elif kind == "fn":
-        wrong, order = false_negatives(df), F.asc(score)
+        wrong, order = false_negatives(df), F.asc_nulls_last
     else:
         raise ValueError(f"Unknown kind of error: {kind}. Choose fp or fn")
+    number = F.when(~F.isnan(F.col(score).cast("double")), F.col(score))
     return (
-        wrong.orderBy(order, key)
+        wrong.orderBy(order(number), key)
         .limit(k)
         .select(key, F.col(score).alias("confidence"), preview(F.col(text)).alias("preview"))
     )

@@ -1,4 +1,9 @@
-"""Confusion matrix and classification metrics for two classes."""
+"""Confusion matrix and classification metrics for two classes.
+
+One rule holds for all of them: a row without a label (null or NaN) cannot be judged and is left out; a row
+with a label but without a prediction counts as predicted to be of the other class. A missing score
+changes neither; the curves rank it last.
+"""
 
 from __future__ import annotations
 
@@ -12,8 +17,17 @@ from opinara.operators.profile import histogram
 CONFIDENCE_BINS = 50
 
 
+def judged(df: DataFrame) -> DataFrame:
+    """The rows that count, each with a prediction."""
+    label, prediction = F.col("label"), F.col("prediction")
+    missing = prediction.isNull() | F.isnan(prediction.cast("double"))
+    known = df.filter(label.isNotNull() & ~F.isnan(label.cast("double")))
+    return known.withColumn("prediction", F.when(missing, F.when(label == 1, 0).otherwise(1)).otherwise(prediction).cast("double"))
+
+
 def confusion(df: DataFrame) -> DataFrame:
     """All four cells, in one pass, absent ones as zero."""
+    df = judged(df)
     label, prediction = F.col("label"), F.col("prediction")
     cells = [(actual, predicted) for actual in (0.0, 1.0) for predicted in (0.0, 1.0)]
     counted = df.agg(
@@ -61,6 +75,7 @@ def classification_metrics(
     Every row counts, whether it has a score or not. ``ranked`` hands over ranked counts already made. One pass over the predictions; ``by`` evaluates several runs side by side.
     """
     totals = [F.sum(c).alias(c) for c in ("tp", "fp", "tn", "fn")]
+    df = judged(df)
     if score is None:
         counted = score_counts(df.withColumn("_no_score", F.lit(0.0)), "_no_score", by)
         counted = counted.groupBy(*by).agg(*totals)
@@ -79,7 +94,7 @@ def correct_flags(df: DataFrame) -> DataFrame:
 
 def error_overview(df: DataFrame) -> DataFrame:
     """Rows, right and wrong predictions, and both shares in percent."""
-    counted = correct_flags(df).agg(
+    counted = correct_flags(judged(df)).agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("is_correct") == 1).alias("correct")
     )
     incorrect = F.col("total") - F.col("correct")
@@ -98,7 +113,7 @@ def accuracy_by_length(
     """Accuracy per length bucket, shortest first; ``length`` names a column already counted."""
     length = F.col(length) if length else F.length(text)
     return (
-        correct_flags(df)
+        correct_flags(judged(df))
         .groupBy(length_bucket_no(length).alias("bucket_no"), length_bucket(length).alias("length_bucket"))
         .agg(F.avg(F.col("is_correct").cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("cnt"))
         .orderBy("bucket_no")
@@ -106,5 +121,8 @@ def accuracy_by_length(
 
 
 def confidence_histogram(df: DataFrame, score: str = "prob", bins: int = CONFIDENCE_BINS) -> DataFrame:
-    """Positive probability of right and of wrong predictions, each over its own range."""
-    return histogram(correct_flags(df), score, bins, "is_correct", (0, 1))
+    """Positive probability of right and of wrong predictions, each over its own range of numbers.
+
+    Rows without a score are counted in bin -1.
+    """
+    return histogram(correct_flags(judged(df)), score, bins, "is_correct", (0, 1))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from opinara.session import materialize
 from opinara.settings import FeatureSettings
 
 DEFAULTS = FeatureSettings()
@@ -12,12 +13,13 @@ BROADCAST_TERMS = 1 << 18
 
 
 def term_stats(
-    df: DataFrame, pieces: Column | str, by: str | None = None, levels: tuple = ()
+    df: DataFrame, pieces: Column | str, by: str | None = None, levels: tuple = (), documents: bool = False
 ) -> DataFrame:
     """Occurrences ``cnt`` and documents ``df`` per term, and ``cnt_<i>`` per level of ``by``.
 
     All come from one scan: every occurrence and every first occurrence is emitted, and the
-    sums are combined per task, so frequent terms do not burden a single reducer.
+    sums are combined per task, so frequent terms do not burden a single reducer. With ``documents`` each
+    document also counts once for the null term, whose ``df`` is then the number of documents.
     """
     pieces = F.col(pieces) if isinstance(pieces, str) else pieces
     kept = [F.col(by).alias("level")] if by else []
@@ -32,7 +34,12 @@ def term_stats(
             ),
         )
 
+    # A null is no term; a document without an array is one without terms.
+    known = F.coalesce(F.filter("pieces", lambda term: term.isNotNull()), F.array().cast("array<string>"))
+    rows = rows.withColumn("pieces", known)
     both = F.concat(emit(F.col("pieces"), 1, 0), emit(F.array_distinct("pieces"), 0, 1))
+    if documents:
+        both = F.concat(both, emit(F.array(F.lit(None).cast("string")), 0, 1))
     per_level = [
         F.sum(F.when(F.col("level") == level, F.col("cnt")).otherwise(0)).alias(f"cnt_{i}")
         for i, level in enumerate(levels)
@@ -76,9 +83,17 @@ def vocabulary(
     size: int = DEFAULTS.vocab_size, min_df: float = DEFAULTS.min_df,
 ) -> DataFrame:
     """Terms in at least ``min_df`` documents (a share of them if below 1), most frequent first."""
-    if min_df < 1:
-        min_df = min_df * df.count()
-    return most_frequent(term_stats(df, pieces).filter(F.col("df") >= F.lit(min_df)), size)
+    return _vocabulary(term_stats(df, pieces, documents=True), size, min_df)
+
+
+def _documents(stats: DataFrame) -> Column:
+    """Number of documents, from the row of the null term; 0 of an empty table."""
+    return F.coalesce(stats.filter(F.col("term").isNull()).agg(F.max("df")).scalar(), F.lit(0))
+
+
+def _vocabulary(stats: DataFrame, size: int, min_df: float) -> DataFrame:
+    least = F.lit(min_df) if min_df >= 1 else F.lit(min_df) * _documents(stats)
+    return most_frequent(stats.filter(F.col("term").isNotNull() & (F.col("df") >= least)), size)
 
 
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_TERMS) -> DataFrame:
@@ -113,13 +128,17 @@ def tfidf(
     df: DataFrame, key: str, pieces: str = "filtered_tokens",
     size: int = DEFAULTS.vocab_size, min_df: float = DEFAULTS.min_df,
 ) -> DataFrame:
-    """Term frequency times ``ln((documents + 1) / (documents with the term + 1))``."""
-    known = vocabulary(df, pieces, size, min_df).select("term", "idx", "df")
-    documents = df.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+    """Term frequency times ``ln((documents + 1) / (documents with the term + 1))``.
+
+    The texts are read twice: once for the terms' and the documents' numbers, which are written out, and
+    once for the occurrences.
+    """
+    stats = materialize(term_stats(df, pieces, documents=True))
+    known = _vocabulary(stats, size, min_df).select("term", "idx", "df")
     counted = (
         _known_occurrences(df, key, pieces, known, size)
         .groupBy(key, "idx", "term", "df")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
-    inverse = F.log((documents + 1) / (F.col("df") + 1))
+    inverse = F.log((_documents(stats).cast("double") + 1) / (F.col("df") + 1))
     return counted.select(key, "idx", "term", "tf", "df", (F.col("tf") * inverse).alias("tfidf"))

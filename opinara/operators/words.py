@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opinara.functions.stopwords import ENGLISH
 from opinara.functions.text import words
@@ -21,6 +21,11 @@ def word_counts(df: DataFrame, text: str = "combined_text", by: str = "label") -
     )
 
 
+def counted_words(text: str = "combined_text") -> Column:
+    """The words that :func:`word_counts` counts, as an array."""
+    return F.filter(words(F.col(text)), lambda word: ~word.isin(*ENGLISH))
+
+
 def top_words(
     df: DataFrame, k: int = TOP_WORDS, text: str = "combined_text", by: str = "label"
 ) -> DataFrame:
@@ -28,10 +33,13 @@ def top_words(
 
     Spark keeps only the first ``k`` per class in every task before it shuffles to the class.
     """
+    return top_of_counts(word_counts(df, text, by), k, by)
+
+
+def top_of_counts(counts: DataFrame, k: int = TOP_WORDS, by: str = "label") -> DataFrame:
     ranked = Window.partitionBy(by).orderBy(F.desc("cnt"), "word")
     return (
-        word_counts(df, text, by)
-        .withColumn("rank", F.row_number().over(ranked))
+        counts.withColumn("rank", F.row_number().over(ranked))
         .filter(F.col("rank") <= k)
     )
 
@@ -40,6 +48,8 @@ def word_weights(
     df: DataFrame, k: int = CLOUD_WORDS, text: str = "combined_text", by: str = "label"
 ) -> DataFrame:
     """Top words with their frequency relative to the class's most frequent word."""
-    whole = Window.partitionBy(by)
-    weight = F.col("cnt") / F.max("cnt").over(whole)
-    return top_words(df, k, text, by).withColumn("weight", weight)
+    return weights_of_top(top_words(df, k, text, by), by)
+
+
+def weights_of_top(top: DataFrame, by: str = "label") -> DataFrame:
+    return top.withColumn("weight", F.col("cnt") / F.max("cnt").over(Window.partitionBy(by)))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from opinara.operators.prep import complete
 from opinara.settings import REVIEW_SCHEMA
 
-# One quoted newline makes a file unsplittable, so large tables are written as many files.
+# Plain CSV with one quoted line break makes a file unsplittable, so large tables are written as many files.
 ROWS_PER_FILE = 1_000_000
 # What a null is written as in CSV; an empty text is written as "".
 CSV_NULL = r"\N"
+# Escaped CSV: each pair is undone in reverse order. After the first step a backslash is always followed by
+# a b, so neither the marks of line breaks nor the one of null can come from a text.
+ESCAPES = (("\\", r"\b"), ("\n", r"\n"), ("\r", r"\r"))
+ESCAPED = "esc"  # how the names of such files end
 FORMATS = ("parquet", "csv")
 
 
@@ -40,31 +44,53 @@ def with_file_key(scan: DataFrame, key: str, root: str = "") -> DataFrame:
     return scan.withColumn(key, F.concat_ws(":", path, F.col("_metadata.row_index")))
 
 
+def _each_text(df: DataFrame, change) -> DataFrame:
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+    return df.withColumns({name: change(F.col(name)) for name in texts}) if texts else df
+
+
+def escaped(text: Column) -> Column:
+    """On one line, whatever the text holds, and never like the mark of null."""
+    for plain, mark in ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(mark))
+    return text
+
+
+def unescaped(text: Column) -> Column:
+    for plain, mark in reversed(ESCAPES):
+        text = F.replace(text, F.lit(mark), F.lit(plain))
+    return text
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: str = REVIEW_SCHEMA,
     header: bool = False,
     multiline: bool = True,
+    escapes: bool = False,
 ) -> DataFrame:
     """Reviews from CSV: fixed schema, ``"`` as quote and as escape.
 
-    Texts with line breaks need ``multiline``, which reads each file in one task: many
+    Files written with ``escapes`` hold one row a line, so each is read by as many tasks as it is large. In plain
+    CSV, texts with line breaks need ``multiline``, which reads each file in one task: many
     moderate files are read in parallel. Turn it off only for data known to have none.
     An empty text is a quoted empty field, a null is ``\\N``, as ``write_reviews`` writes them; in files from
     elsewhere a field with nothing at all between two commas is read as null, too.
     """
-    return spark.read.csv(
+    found = spark.read.csv(
         path,
         schema=schema,
         header=header,
         quote='"',
         escape='"',
         nullValue=CSV_NULL,
-        multiLine=multiline,
+        multiLine=multiline and not escapes,
+        lineSep="\n" if escapes else None,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
+    return _each_text(found, unescaped) if escapes else found
 
 
 def format_of(path: str, fmt: str | None = None) -> str:
@@ -80,14 +106,19 @@ def read_reviews(
 ) -> DataFrame:
     """Pick the reader by ``fmt`` or the path's ending, separately for each path.
 
-    Raises where a path to be read as CSV holds Parquet files.
+    Whether CSV is escaped is told by the names of its files. Raises where a path to be read as CSV holds
+    Parquet files, or files of both kinds.
     """
     if format_of(path, fmt) == "parquet":
         return read_parquet(spark, path)
     found = read_csv(spark, path, schema=schema, header=header, multiline=multiline)
-    if any(name.endswith(".parquet") for name in found.inputFiles()):
+    names = found.inputFiles()
+    if any(name.endswith(".parquet") for name in names):
         raise ValueError(f"{path} holds Parquet files; give the format")
-    return found
+    kinds = {name.endswith(f".{ESCAPED}") for name in names}
+    if len(kinds) > 1:
+        raise ValueError(f"{path} holds both plain and escaped files; read them one by one")
+    return read_csv(spark, path, schema, header, escapes=True) if kinds == {True} else found
 
 
 def conform(df: DataFrame) -> DataFrame:
@@ -101,21 +132,53 @@ def conform(df: DataFrame) -> DataFrame:
 
 def expect_count(df: DataFrame, expected: int, what: str = "rows") -> DataFrame:
     """Return ``df`` if it has the expected number of rows, else raise."""
-    found = df.count()
+    check_count(df.count(), expected, what)
+    return df
+
+
+def check_count(found: int, expected: int, what: str = "rows") -> None:
     if found != expected:
         raise ValueError(f"Expected {expected:,} {what}, got {found:,}")
-    return df
+
+
+def counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df``, whose next write or other action also counts its ``rows`` and what ``counts`` names.
+
+    ``Observation.get`` then has the numbers, without a scan of their own. ``df`` should come from a session
+    of its own (``spark.newSession()``): one that has observed can no longer send out a linear model just
+    fitted in it, whose training summary holds on to the session.
+    """
+    seen = Observation()
+    whole = {"rows": F.count(F.lit(1)), **counts}
+    return df.observe(seen, *[count.alias(name) for name, count in whole.items()]), seen
+
+
+def counted_null_drop(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``drop_nulls`` that counts: the action on the result also gives ``rows`` before and ``rows_after``."""
+    whole = F.lit(True)
+    for condition in complete(df):
+        whole = whole & condition
+    observed, seen = counted(df, rows_after=F.count(F.when(whole, 1)))
+    return observed.filter(whole), seen
 
 
 def write_reviews(
     df: DataFrame, path: str, fmt: str = "parquet", header: bool = False,
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int = ROWS_PER_FILE, escapes: bool = True,
 ) -> str:
-    """Write as Parquet or CSV in files small enough to be read back in parallel."""
+    """Write as Parquet or CSV, to be read back in parallel.
+
+    CSV keeps every text as it is, line breaks and the mark of null included, by escapes that
+    ``read_reviews`` undoes. Without ``escapes`` it is plain CSV for other programs, where a text that is
+    just that mark reads as a null.
+    """
     writer = df.write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file)
     if fmt == "parquet":
         writer.parquet(path)
     elif fmt == "csv":
+        if escapes:
+            writer = _each_text(df, escaped).write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file)
+            writer = writer.option("extension", ESCAPED).option("lineSep", "\n")
         writer.csv(
             path,
             header=header,

@@ -142,3 +142,35 @@ def test_a_group_named_by_a_null_counts(spark):
     df = spark.createDataFrame(rows, "run string, label double, prediction double, prob double")
     found = {r.run: r.accuracy for r in metrics.classification_metrics(df, by=("run",)).collect()}
     assert found == {None: 1.0, "a": 0.0}
+
+
+GAPS = [
+    (1, 1.0, 1.0, 0.9), (2, 0.0, 1.0, None), (3, 0.0, 1.0, float("nan")), (4, 0.0, 1.0, 0.7), (5, 0.0, 1.0, 0.95),
+    (6, 1.0, None, 0.5), (7, 0.0, None, None), (8, None, 1.0, 0.4), (9, 1.0, 0.0, None), (10, 1.0, 0.0, 0.2),
+    (11, float("nan"), 0.0, 0.3), (12, 1.0, float("nan"), 0.6),
+]
+
+
+@pytest.fixture(scope="module")
+def gaps(spark):
+    return spark.createDataFrame([(*row, "x" * row[0]) for row in GAPS], "id int, label double, prediction double, prob double, combined_text string")
+
+
+def test_all_metrics_count_the_same_rows(gaps):
+    """Ten rows have a label; three of them have no prediction and are wrong."""
+    cells = {(r.label, r.prediction): r.cnt for r in metrics.confusion(gaps).collect()}
+    assert cells == {(0.0, 0.0): 0, (0.0, 1.0): 5, (1.0, 0.0): 4, (1.0, 1.0): 1}
+    overview = metrics.error_overview(gaps).first()
+    assert (overview.total, overview.correct) == (10, 1)
+    assert metrics.classification_metrics(gaps).first().accuracy == pytest.approx(0.1)
+    assert metrics.classification_metrics(gaps, score=None).first().accuracy == pytest.approx(0.1)
+    by_length = metrics.accuracy_by_length(gaps).first()
+    assert (by_length.cnt, by_length.accuracy) == (10, pytest.approx(0.1))
+    bins = {r.bin: r.cnt for r in metrics.confidence_histogram(gaps, bins=2).filter("is_correct = 0").collect()}
+    assert bins[-1] == 4 and sum(bins.values()) == 9
+
+
+def test_rows_without_score_are_no_confident_errors(gaps):
+    listed = [r.id for r in errors.top_errors(gaps, "fp", "id").collect()]
+    assert listed == [5, 4, 2, 3] and [r.id for r in errors.top_errors(gaps, "fp", "id", k=2).collect()] == [5, 4]
+    assert [r.id for r in errors.top_errors(gaps, "fn", "id").collect()] == [10, 9]

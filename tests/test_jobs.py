@@ -38,6 +38,7 @@ def test_jobs_from_end_to_end(spark, paths, tmp_path, monkeypatch):
     ]
     overrides = {"logistic_regression": {"maxIter": 15}}
     written = jobs.train_job(spark, sources, str(tmp_path / "train"), specs, overrides)
+    assert not spark.read.parquet(written["failed"]).collect()
     assert spark.read.json(written["runs"]).count() == 2
     log = {row.run_id: row for row in read_log(spark, written["log"]).collect()}
     names = [spec.run_id(overrides.get(spec.model)) for spec in specs]
@@ -73,6 +74,28 @@ def test_profile_job(spark, paths, tmp_path):
     assert spark.read.parquet(out["char_length"]).agg(F.sum("cnt")).first()[0] == 87
 
 
+def test_profile_job_reads_the_texts_once(spark, paths, tmp_path, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(df):
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        return df.mapInArrow(count, df.schema)
+
+    sources = SourceSettings(str(paths / "train.parquet"), str(paths / "test.parquet"))
+    plain = jobs.profile_job(spark, sources, str(tmp_path / "plain"))
+    real = jobs.load_splits
+    monkeypatch.setattr(jobs, "load_splits", lambda *given: tuple(map(counting, real(*given))))
+    counted = jobs.profile_job(spark, sources, str(tmp_path / "counted"))
+    assert seen.value == 174
+    for name in plain:
+        one, two = (sorted(map(str, spark.read.parquet(paths_[name]).collect())) for paths_ in (plain, counted))
+        assert one == two and one
+
+
 def test_scaling_job(spark, paths, tmp_path):
     sources = SourceSettings(str(paths / "train.parquet"), str(paths / "test.parquet"))
     out = jobs.scaling_job(spark, sources, str(tmp_path / "scaling"), fractions=(1.0,))

@@ -55,13 +55,73 @@ def test_summary_equals_pandas(lengths):
     assert list(got)[1:] == list(expected)
 
 
-def test_one_row_has_no_spread(spark):
+def test_a_class_without_spread_is_shown_without_density(spark):
+    df = spark.createDataFrame([(1.0, 5), (0.0, 7), (0.0, 7), (2.0, 1), (2.0, 3), (None, None)], "label double, n int")
+    got = profile.density(df, "n", 500, "label", points=9)
+    flat = got.filter("label < 2").orderBy("label").collect()
+    assert [(r.label, r.point, r.x, r.density) for r in flat] == [(0.0, 0, 7.0, None), (1.0, 0, 5.0, None)]
+    assert got.filter("label = 2 and density > 0").count() == 9 and got.count() == 11
+
+
+def test_one_row_has_no_deviation(spark):
     df = spark.createDataFrame([(1.0, 5)], "label double, n int")
-    assert profile.density(df, "n", 500, "label").count() == 0
     got = profile.summary(df, {"n": "n"}).first()
     assert got.std is None and got.p50 == got.mean == 5.0
 
 
+def test_values_that_are_no_numbers_have_a_bin_of_their_own(spark):
+    """Null, NaN and infinite scores leave the range and the other bins as they would be without them."""
+    numbers = [0.1, 0.2, 0.2, 0.9]
+    odd = [None, float("nan"), float("inf"), float("-inf"), float("nan")]
+    rows = [(1, v) for v in numbers + odd] + [(0, v) for v in odd[:2]]
+    df = spark.createDataFrame(rows, "s int, v double")
+    got = profile.histogram(df, "v", 5, "s", (0, 1)).collect()
+    clean = profile.histogram(df.filter("s = 1 and v between 0 and 1"), "v", 5, "s", (0, 1)).collect()
+    assert sorted(r for r in got if r.bin >= 0) == sorted(clean)
+    assert {(r.s, r.bin_start, r.cnt) for r in got if r.bin == profile.NO_NUMBER} == {(1, None, 5), (0, None, 2)}
+
+
+def test_lengths_that_are_missing(spark):
+    df = spark.createDataFrame([(3,), (9,), (None,), (None,)], "n int")
+    got = {r.bin: r.cnt for r in profile.length_histogram(df, {"n": ("n", 5)}, 2).collect()}
+    assert got == {0: 1, 1: 1, profile.NO_NUMBER: 2}
+    row = profile.summary(df, {"n": "n"}).first()
+    assert (row["count"], row["mean"], row["min"], row["max"]) == (2, 6.0, 3.0, 9.0)
+
+
+def test_one_table_of_counts_serves_every_profile(spark):
+    """Each result from shared counts equals the one from its own scan."""
+    rng = np.random.default_rng(9)
+    rows = [(i, float(i % 2), int(rng.integers(0, 700)), int(rng.integers(0, 9)), ["a", "b"][: i % 3]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, label double, n int, m int, words array<string>")
+    counts = profile.value_counts(df, {"n": F.col("n"), "m": F.col("m")}, ("label",), F.col("words"))
+    lengths = counts.filter(F.col("series") != profile.TERMS).groupBy("series", "value").agg(F.sum("cnt").alias("cnt"))
+
+    def same(one, two):
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+
+    measures = {"x": ("n", 500), "y": ("m", 5)}
+    same(profile.histogram_of_counts(profile.clipped(lengths, measures), 20), profile.length_histogram(df, measures, 20))
+    same(profile.summary_of_counts(lengths), profile.summary(df, {"n": "n", "m": "m"}))
+    by_class = counts.filter("series = 'm'").groupBy("label", "value").agg(F.sum("cnt").alias("cnt"))
+    same(profile.density_of_counts(by_class, "label", 30), profile.density(df, "m", 99, "label", 30))
+    terms = {(r.label, r.term): r.cnt for r in counts.filter(F.col("series") == profile.TERMS).collect()}
+    assert sum(terms.values()) == sum(len(r[4]) for r in rows) and len(terms) == 4
+
+
+@pytest.mark.parametrize("min_df", [2, 0.5])
+def test_documents_are_counted_with_the_terms(spark, min_df):
+    rows = [(1, ["a", "b", "a"]), (2, ["a"]), (3, []), (4, None), (5, ["b", None])]
+    df = spark.createDataFrame(rows, "id int, t array<string>")
+    stats = {r.term: (r.cnt, r.df) for r in term_stats(df, "t", documents=True).collect()}
+    assert stats == {None: (0, 5), "a": (3, 2), "b": (2, 2)}
+    found = {(r.id, r.term): r.tfidf for r in tfidf(df, "id", "t", min_df=min_df).collect()}
+    expected = {} if min_df < 1 else {(1, "a"): 2, (1, "b"): 1, (2, "a"): 1, (5, "b"): 1}
+    assert found == pytest.approx({k: tf * np.log(6 / 3) for k, tf in expected.items()})
+
+
+
+
 def test_top_words_break_ties_by_word(spark):
     df = spark.createDataFrame([(0.0, "bb aa the AA cc bb"), (1.0, "zz x the")], "label double, combined_text string")
     got = words.top_words(df, k=2).orderBy("label", "rank").collect()

@@ -145,3 +145,57 @@ def test_null_conditions_reach_the_scan(spark, small_dir):
     assert "PushedFilters: [IsNotNull(doc_id), IsNotNull(text)]" in plan
     df = spark.createDataFrame([(1.0,), (None,), (float("nan"),)], "x double")
     assert drop_nulls(df).count() == df.na.drop("any").count() == 1
+
+
+ODD_TEXTS = [
+    r"\N", "\\", r"\n", r"\b", r"\\N", "a\nb", "a\r\nb\r", '"', '"\n"', "", " ", "a,b", r"\"N", "\n", r"\bn", "ü\u2028x\u0085", "#", None,
+]
+
+
+@pytest.mark.parametrize("header", [False, True])
+def test_csv_keeps_every_text(spark, tmp_path, header):
+    """The mark of null, line breaks, backslashes and quotes survive as texts; a null stays one."""
+    rows = [(i, text, other) for i, (text, other) in enumerate((t, o) for t in ODD_TEXTS for o in ODD_TEXTS)]
+    df = spark.createDataFrame(rows, "polarity int, title string, text string")
+    path = sources.write_reviews(df, str(tmp_path / "out"), "csv", header=header)
+    read = sources.read_reviews(spark, path, header=header)
+    assert {tuple(r) for r in read.collect()} == set(rows)
+    assert read.count() == len(rows)
+
+
+def test_escaped_csv_is_read_by_several_tasks(spark, tmp_path):
+    df = spark.range(4000).select(F.lit(1).alias("polarity"), F.lit("t\nu").alias("title"), F.repeat(F.lit("long text\n"), 50).alias("text"))
+    paths = [sources.write_reviews(df.coalesce(1), str(tmp_path / str(e)), "csv", escapes=e) for e in (True, False)]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 300_000)
+    try:
+        tasks = [sources.read_reviews(spark, path, fmt="csv").select(F.spark_partition_id()).distinct().count() for path in paths]
+        assert sources.read_reviews(spark, paths[0], fmt="csv").distinct().collect() == df.distinct().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tasks[0] > 3 and tasks[1] == 1
+
+
+def test_plain_and_escaped_files_do_not_mix(spark, tmp_path):
+    df = spark.createDataFrame([(1, "t", "x")], "polarity int, title string, text string")
+    for escapes in (True, False):
+        sources.write_reviews(df, str(tmp_path / f"part={escapes}"), "csv", escapes=escapes)
+    with pytest.raises(ValueError, match="both plain and escaped"):
+        sources.read_reviews(spark, f"{tmp_path}/*", fmt="csv")
+
+
+def test_counts_come_with_the_write(spark, tmp_path):
+    """Rows are read once: by the write, which counts them on the way."""
+    scans = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            scans.add(batch.num_rows)
+            yield batch
+
+    rows = [(1, "t", "x"), (2, None, "y"), (None, "u", "z")]
+    df = spark.newSession().createDataFrame(rows, "polarity int, title string, text string")
+    kept, seen = sources.counted_null_drop(df.mapInArrow(count, df.schema))
+    path = sources.write_reviews(kept, str(tmp_path / "out"))
+    assert seen.get == {"rows": 3, "rows_after": 1} and scans.value == 3
+    assert sources.read_reviews(spark, path, fmt="parquet").collect() == [(1, "t", "x")]
