@@ -25,7 +25,7 @@ MASKS = np.array([(1 << (8 * n)) - 1 for n in range(WIDE + 1)], np.uint64)
 
 @dataclass(frozen=True)
 class Piece:
-    """Bytes of rows ``first`` on, A to Z in lower case, ``WIDE`` zeros behind them.
+    """Bytes of rows ``first`` on, A to Z in lower case unless they are to stay, ``WIDE`` zeros behind them.
 
     ``starts`` holds where each row's text begins, or goes on if ``inside`` for the first; ``ended`` of
     the rows end here, which are all of them, or all but the last.
@@ -53,7 +53,7 @@ def _cut(data: np.ndarray, begin: int, at: int, stop: int) -> int:
     return stop
 
 
-def pieces(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[Piece]:
+def pieces(column: pa.Array, limit: int = PIECE_BYTES, lower: bool = True) -> Iterator[Piece]:
     column = column.cast(pa.large_string())
     count = len(column)
     if not count:
@@ -70,7 +70,7 @@ def pieces(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[Piece]:
             stop = _cut(data, at, at + limit, int(offsets[row + 1]))
             rows, ended = 1, int(stop == offsets[row + 1])
         padded = np.zeros(stop - at + WIDE, np.uint8)
-        padded[: stop - at] = LOWER[data[at:stop]]
+        padded[: stop - at] = LOWER[data[at:stop]] if lower else data[at:stop]
         yield Piece(row, inside, padded, np.maximum(offsets[row : row + rows] - at, 0), ended)
         row, at, inside = row + ended, stop, not ended
 
