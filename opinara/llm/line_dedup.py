@@ -1,19 +1,25 @@
-"""Substring dedup by line hashing: a line that was seen before, anywhere, is cut out.
+"""Substring dedup by hashing units: a sentence that was seen before, anywhere, is cut out.
 
-Lines are normalised (lower case, runs of blanks as one, trimmed) and digested. A digest's
-earliest line by (doc_id, line number) stays; every later one goes. Digests are combined per
-task before the shuffle, so a line that fills a third of the corpus costs one row per task; the
+A unit ends with its line, or after a full stop, exclamation or question mark before a blank; so a
+passage is found wherever in a line it stands, by the sentences it holds whole. Units are normalised (lower case,
+runs of blanks as one, trimmed) and digested; all but empty ones take part, however short. A digest's
+earliest unit by (doc_id, number) stays; every later one goes. Digests are combined per
+task before the shuffle, so a unit that fills a third of the corpus costs one row per task; the
 way back is a plain join whose skewed partitions Spark can split. Texts move once, to meet the
-numbers of their removed lines.
+numbers of their removed units.
 
-Nulls count as empty texts. Lines below ``min_words`` words are never cut: short lines repeat by
-chance. A null key ranks before all others. Of rows that agree in the key, that of the least digest
-of its text ranks first, and of equal rows any one, so a line stays in exactly one place. Other
-columns pass untouched.
+What goes are the unit's own characters, given by their offsets in the original text; line breaks stay.
+``passage_words`` tells repeated passages from a common sentence here or there: it counts the words
+in runs of neighbouring removed units that have at least ``PASSAGE_WORDS`` together.
+
+Nulls count as empty texts. A null key ranks before all others. Of rows that agree in the key, that of the least digest
+of its text ranks first, and of equal rows any one, so a unit stays in exactly one place. An empty table gives an
+empty result; a text of any length is read whole. Other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,13 +27,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from opinara.llm.frames import documents_of, map_batches, store
 
-MIN_WORDS = 8
-BLANKS = r"[ \t\r\x0B\x0C]+"
-CUT_SCHEMA = "doc_id long, n_lines long, n_removed long, spans string, kept string"
+PASSAGE_WORDS = 25
+BLANKS = r"[ \t\r\x0B\x0C\n]+"
+# Where one unit ends and the next begins; no character is between them.
+BOUNDARY = r"(?<=\n)|(?<=[.!?])(?=[ \t])"
+CUT_SCHEMA = "doc_id long, n_units long, n_removed long, removed_words long, passage_words long, spans string, kept string"
 
 
-def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), BLANKS, " "))
+def normalised(unit: Column) -> Column:
+    return F.trim(F.regexp_replace(F.lower(unit), BLANKS, " "))
 
 
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -40,50 +48,56 @@ def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return store(rows, "numbered")  # written out, so that both sides of the joins read the same numbers
 
 
-def removed_lines(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``row, removed``: numbers of the lines to cut, only for rows of ``keyed`` that have some."""
-    lines = (
-        rows.select("doc_id", "version", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-        .withColumn("line", normalised(F.col("line")))
-        .filter(F.size(F.split("line", " ")) >= min_words)
-        .select("doc_id", "version", "row", "line_no", F.md5("line").alias("digest"))
+def removed_units(rows: DataFrame) -> DataFrame:
+    """``row, removed``: numbers of the units to cut, only for rows of ``keyed`` that have some."""
+    units = (
+        rows.select("doc_id", "version", "row", F.posexplode(F.split("text", BOUNDARY)).alias("unit_no", "unit"))
+        .withColumn("unit", normalised(F.col("unit")))
+        .filter("unit <> ''")
+        .select("doc_id", "version", "row", "unit_no", F.unhex(F.md5("unit")).alias("digest"))
     )
-    place = F.struct("doc_id", "line_no", "version", "row")
-    firsts = lines.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    repeated = firsts.filter("n > 1").select("digest", F.col("first.row").alias("first_row"), F.col("first.line_no").alias("first_line"))
+    place = F.struct("doc_id", "unit_no", "version", "row")
+    firsts = units.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
+    repeated = firsts.filter("n > 1").select("digest", F.col("first.row").alias("first_row"), F.col("first.unit_no").alias("first_unit"))
     return (
-        lines.select("row", "line_no", "digest").join(repeated, "digest")
-        .filter((F.col("row") != F.col("first_row")) | (F.col("line_no") != F.col("first_line")))
+        units.select("row", "unit_no", "digest").join(repeated, "digest")
+        .filter((F.col("row") != F.col("first_row")) | (F.col("unit_no") != F.col("first_unit")))
         .groupBy("row")
-        .agg(F.collect_set("line_no").alias("removed"))
+        .agg(F.collect_set("unit_no").alias("removed"))
     )
 
 
-def cut_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of the removed lines in code points of the original text, and the text without them."""
+def cut_text(text: str, numbers: set[int], least: int = PASSAGE_WORDS) -> tuple[int, int, int, int, str, str]:
+    """Units, removed ones, their words, those in passages, spans in code points, and the text without them."""
+    units = re.split(BOUNDARY, text)
+    at, spans, rest, words, passages, run = 0, [], [], 0, 0, 0
+    for number, unit in enumerate(units):
+        body = unit.removesuffix("\n")
+        if number in numbers:
+            spans.append(f"{at}:{at + len(body)}")
+            rest.append(unit[len(body) :])
+            run += len(body.split())
+        else:
+            rest.append(unit)
+            if unit.strip():  # an empty line does not part a passage
+                words, passages, run = words + run, passages + run * (run >= least), 0
+        at += len(unit)
+    return len(units), len(spans), words + run, passages + run * (run >= least), ",".join(spans), "".join(rest)
+
+
+def cut_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [column.split()[0] for column in CUT_SCHEMA.split(", ")]
     for batch in batches:
-        keys, texts, gone = (batch.column(i).to_pylist() for i in range(3))
-        counts, cuts, spans, kept = [], [], [], []
-        for text, numbers in zip(texts, gone, strict=True):
-            split, numbers = text.split("\n"), set(numbers or ())
-            at, places, rest = 0, [], []
-            for number, line in enumerate(split):
-                if number in numbers:
-                    places.append(f"{at}:{at + len(line)}")
-                else:
-                    rest.append(line)
-                at += len(line) + 1
-            counts.append(len(split))
-            cuts.append(len(places))
-            spans.append(",".join(places))
-            kept.append("\n".join(rest))
-        columns = [pa.array(keys, pa.int64()), pa.array(counts, pa.int64()), pa.array(cuts, pa.int64()), pa.array(spans, pa.string()), pa.array(kept, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_lines", "n_removed", "spans", "kept"])
-
-
-def cut_repeated_lines(docs: DataFrame, key="doc_id", text="text", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per document: ``doc_id, n_lines, n_removed, spans, kept`` (the text that stays)."""
+        texts, gone = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        cut = [cut_text(text, set(numbers or ())) for text, numbers in zip(texts, gone, strict=True)]
+        kinds = [*[pa.int64()] * 4, pa.string(), pa.string()]
+        columns = [pa.array([row[i] for row in cut], kind) for i, kind in enumerate(kinds)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+
+
+def cut_repeated_units(docs: DataFrame, key="doc_id", text="text") -> DataFrame:
+    """One row per document: ``doc_id, n_units, n_removed, removed_words, passage_words, spans, kept`` (the text that stays)."""
     rows = keyed(docs, key, text)
-    gone = removed_lines(rows, min_words).withColumnRenamed("row", "of")
+    gone = removed_units(rows).withColumnRenamed("row", "of")
     found = rows.join(gone, F.col("row") == F.col("of"), "left").select("doc_id", "text", "removed")
-    return map_batches(found, cut_lines, CUT_SCHEMA)
+    return map_batches(found, cut_units, CUT_SCHEMA)

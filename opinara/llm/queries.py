@@ -44,7 +44,7 @@ def op6_bpe_round_trip(spark, sf_dir):
 
 @query
 def op9_cut_repeated_lines(spark, sf_dir):
-    cut = line_dedup.cut_repeated_lines(table(spark, sf_dir, "documents"))
+    cut = line_dedup.cut_repeated_units(table(spark, sf_dir, "documents"))
     return cut.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
