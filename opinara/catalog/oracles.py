@@ -593,11 +593,12 @@ ORACLES: dict[str, str] = {
         "gaps",
     ),
     "metrics_gaps": _sql(
-        f"""SELECT {", ".join(f"round({m}, 6) AS {m}" for m in _METRIC_NAMES[:-1])}, total, correct, total - correct AS incorrect,
-                   round(100.0::DOUBLE * correct / total, 6) AS correct_pct,
-                   round(100.0::DOUBLE * (total - correct) / total, 6) AS incorrect_pct
-            FROM ({_weighted("gap_cells")})
-            CROSS JOIN (SELECT count(*) AS total, count(*) FILTER (label = given) AS correct FROM gaps)""",
+        f"""SELECT measure, round(value, 6) AS value
+            FROM (SELECT {", ".join(_METRIC_NAMES[:-1])}, total::DOUBLE AS total, correct::DOUBLE AS correct, (total - correct)::DOUBLE AS incorrect,
+                         100.0::DOUBLE * correct / total AS correct_pct, 100.0::DOUBLE * (total - correct) / total AS incorrect_pct
+                  FROM ({_weighted("gap_cells")})
+                  CROSS JOIN (SELECT count(*) AS total, count(*) FILTER (label = given) AS correct FROM gaps))
+            UNPIVOT (value FOR measure IN (accuracy, precision, recall, f1, total, correct, incorrect, correct_pct, incorrect_pct))""",
         "gap_cells",
     ),
     "confidence_hist_gaps": _binned(
@@ -747,9 +748,11 @@ WHERE prob IS NULL OR NOT isfinite(prob) GROUP BY 1""",
     ),
     # Streaming
     "stream_counts": f"""
-        SELECT count(*) AS n_read, count(*) FILTER (ok) AS n_scored, count(*) FILTER (NOT ok) AS n_rejected,
-               count(*) FILTER (ok) AS rows_verdicts, count(*) FILTER (NOT ok) AS rows_rejected
-        FROM (SELECT doc_id % 7 > 1 AND coalesce(len(regexp_extract_all(text, '{_RUN}')) > 0, false) AS ok FROM documents)""",
+        SELECT measure, value FROM (
+            SELECT count(*) AS n_read, count(*) FILTER (ok) AS n_scored, count(*) FILTER (NOT ok) AS n_rejected,
+                   count(*) FILTER (ok) AS rows_verdicts, count(*) FILTER (NOT ok) AS rows_rejected
+            FROM (SELECT doc_id % 7 > 1 AND coalesce(len(regexp_extract_all(text, '{_RUN}')) > 0, false) AS ok FROM documents))
+        UNPIVOT (value FOR measure IN (n_read, n_scored, n_rejected, rows_verdicts, rows_rejected))""",
     "score_stream": _sql(
         """SELECT doc_id, CASE WHEN margin > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction,
                   round(prob, 6) AS prob,

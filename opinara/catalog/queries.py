@@ -48,6 +48,11 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def _listed(row: DataFrame, kind: str) -> DataFrame:
+    """The columns of one row as ``measure, value``."""
+    return row.select(*[F.col(c).cast(kind) for c in row.columns]).unpivot([], row.columns, "measure", "value")
+
+
 # Sources and sinks
 
 
@@ -296,9 +301,7 @@ def metrics_gaps(spark, sf_dir):
     """Metrics and overview of one table whose predictions and scores are partly missing: both count the same rows."""
     rows = gapped_predictions(spark, sf_dir)
     measured = evaluation.classification_metrics(rows).drop("auc")
-    one = F.lit(1).alias("one")
-    both = measured.select("*", one).join(evaluation.error_overview(rows).select("*", one), "one").drop("one")
-    return rounded(both, "accuracy", "precision", "recall", "f1", "correct_pct", "incorrect_pct")
+    return rounded(_listed(measured, "double").unionByName(_listed(evaluation.error_overview(rows), "double")), "value")
 
 
 @query
@@ -629,5 +632,4 @@ def stream_counts(spark, sf_dir):
     sums = [F.sum(c).alias(c) for c in ("n_read", "n_scored", "n_rejected")]
     written = [read_sink(spark, sink, name).select(F.lit(name).alias("name")) for name in (VERDICTS, REJECTED)]
     rows = written[0].unionByName(written[1]).agg(*[F.count_if(F.col("name") == n).alias(f"rows_{n}") for n in (VERDICTS, REJECTED)])
-    one = F.lit(1).alias("one")
-    return read_sink(spark, sink, COUNTS).agg(*sums, one).join(rows.select("*", one), "one").drop("one")
+    return _listed(read_sink(spark, sink, COUNTS).agg(*sums), "long").unionByName(_listed(rows, "long"))
