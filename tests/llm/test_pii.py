@@ -71,6 +71,55 @@ def test_added_kinds_are_linear_on_long_runs():
         pii.find_spans(text)
 
 
+def added(text):
+    return [(kind, text[start:end]) for kind, start, end in pii.find_spans(text) if kind not in BASE]
+
+
+def test_accounts_end_where_their_country_says():
+    account = "DE89 3704 0044 0532 0130 00"
+    for text in (f"IBAN {account} BIC COBADEFF", f"IBAN: {account}", f"pay to {account} 500 EUR", f"iban {account} EUR 500", f"({account})"):
+        assert added(text) == [("iban", account)], text
+    plain = account.replace(" ", "")
+    assert added(f"IBAN: {plain} The next") == [("iban", plain)]
+    assert added(f"iBaN={plain.lower()}, and") == [("iban", plain.lower())]
+    assert added("to GB82-WEST-1234-5698-7654-32 now") == [("iban", "GB82-WEST-1234-5698-7654-32")]
+    for text in (f"{plain}The", f"X{plain}", f"see {plain.lower()}", "IBAN DE89 3704 0044 0532 0130", f"IBAN {plain[:-1]}1", "IBAN", "iban "):
+        assert added(text) == [], text
+
+
+def test_secrets_in_any_spelling():
+    value = "a1b2c3d4e5f6a7b8c9d0"
+    for text in (f"Token: '{value}'", f"TOKEN={value}", f"token={value}.", f'"Api-Key": "{value}"', f"Authorization: Bearer {value}", f"Access_Key => {value};"):
+        assert added(text) == [("secret", value)], text
+    assert added("PassWord: hunter2000 x") == [("secret", "hunter2000")]
+    assert added("İİ token=" + value) == [("secret", value)]
+    for text in ("token=short1", f"the token {value}", "password: required", "secret = aaaaaaaaaaaaaaaaaaaaaaaa", "bearer of news"):
+        assert added(text) == [], text
+
+
+def test_urls_of_any_scheme():
+    for url in ("amqp://u:w@host/x", "jdbc:postgresql:some.very.long.driver.name://u:w@host:5432/db", "mongodb+srv://u:w@h.org"):
+        assert added(f"see {url} now") == [("url", url)]
+    assert added("note:https://u:w@h.org") == [("url", "https://u:w@h.org")]
+    assert added("https://host.org:80/a and ://u:w@h") == []
+
+
+def test_numbers_after_cues_and_addresses():
+    assert added("Account number: 1234 5678 90.") == [("account", "1234 5678 90")]
+    assert added("acct no. 00123456") == [("account", "00123456")]
+    assert added("SSN: 123-45-6789, x") == [("ssn", "123-45-6789")]
+    assert added("at 2001:db8:85a3::8a2e:370:7334, and") == [("ipv6", "2001:db8:85a3::8a2e:370:7334")]
+    assert added("card 00:1A:2b:3C:4d:5E.") == [("mac", "00:1A:2b:3C:4d:5E")]
+    assert added("jo.doe (at) host [dot] org!") == [("hidden_email", "jo.doe (at) host [dot] org")]
+    for text in ("at 12:30:45", "std::abs a::b 1:2:3:4", "SSN: 000-45-6789", "account no 123", "look (at) this", "account of 12345678 people", ":::::"):
+        assert added(text) == [], text
+
+
+def test_cues_are_linear_on_long_runs():
+    for text in ("iban " * 60_000, "DE89" * 80_000, "DE89 " * 60_000, "a:" * 150_000, "1:" * 150_000, "::" * 150_000, "x(at)" * 60_000, "(at)" * 80_000, "password=" * 40_000, "password=a1" * 40_000, "account no " * 40_000, "account no 1 " * 40_000, "acct" + "1" * 300_000, "a" * 300_000 + "://" * 1000 + "u:w@h"):
+        pii.find_spans(text)
+
+
 def test_long_runs_are_linear():
     for text in ("a" * 300_000, "1" * 300_000, "@" * 300_000, "1." * 150_000, "+1" * 150_000, "1 " * 150_000):
         base_spans(text)
