@@ -182,7 +182,7 @@ def learnable(labels: DataFrame) -> DataFrame:
 
 
 def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> DataFrame:
-    """``text, label`` of the labelled documents to learn from."""
+    """``id, text, label`` of the labelled documents to learn from, the least text of a key."""
     wanted = learnable(labels)
     sizes = docs.filter("doc_id is not null").groupBy(F.col("doc_id").alias("id")).agg(F.max(F.octet_length("text")).alias("size"))
     known = wanted.join(sizes, "id").withColumn("place", F.xxhash64("id"))
@@ -195,7 +195,8 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, size: in
     other = F.coalesce(F.sum("size").over(Window.partitionBy()) - F.sum("size").over(Window.partitionBy("label")), F.lit(0))
     taken = found.withColumn("other", other).filter(F.col("upto") <= size - F.least(F.col("other"), F.lit(size // 2)))
     chosen = docs.join(F.broadcast(taken.select("id", "label")), F.col("doc_id") == F.col("id"))
-    return chosen.select("id", "text", "label")
+    # One row a key, combined per task: a key may be that of very many rows.
+    return chosen.groupBy("id", "label").agg(F.min("text").alias("text")).select("id", "text", "label")
 
 
 def fit(docs: DataFrame, labels: DataFrame, key="doc_id", text="text") -> Model:

@@ -81,3 +81,11 @@ def test_a_class_has_half_of_the_bytes_and_what_the_other_leaves(spark):
     toxic = toxicity.learnable(labels).filter("label = 1").count()
     assert count(8_000) == [40, 40]
     assert count(20_000) == [200 - toxic, toxic] and toxic < 100
+
+
+def test_one_row_of_a_shared_key_is_learned_from(spark):
+    docs, labels = corpus(spark, 300)
+    key = toxicity.learnable(labels).agg({"id": "max"}).first()[0]
+    many = spark.range(20_000).selectExpr(f"cast({key} as long) doc_id", "concat('word ', id) text")
+    taken = toxicity.sample(docs.union(many), labels)
+    assert taken.count() == taken.select("id").distinct().count() == toxicity.learnable(labels).count()
