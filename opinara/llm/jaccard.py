@@ -24,6 +24,7 @@ other, its component is the smallest key that is not null, if any. Other columns
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ from opinara.llm.components import components
 from opinara.llm.frames import documents_of, map_batches, materialize, store
 
 SHINGLE_WORDS, PERCENT, THIN = 4, 85, 2
+LONG_WORD = 64  # bytes
 SEEN_NODES = 1 << 19  # nodes a task remembers so as not to sign a copy twice
 # A set's parity bits: for each of 64 * PARITY values of its grams' hashes, whether their number is odd.
 PARITY, WIDE = 16, 64
@@ -46,11 +48,22 @@ def fold_case(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
 
 
+def word_hashes(slab: kernels.Slab, found: kernels.Words, seed: int) -> np.ndarray:
+    """Hashes of 64 bits. Long words are digested: there are long strings on which a polynomial
+    modulo 2^64 agrees whatever its letters' values."""
+    hashes = kernels.span_hash(kernels.prefix_hash(slab.data, kernels.letters(seed)), found.starts, found.ends)
+    salt = seed.to_bytes(8, "little")
+    for i in np.flatnonzero(found.ends - found.starts > LONG_WORD):
+        digest = blake2b(slab.data[found.starts[i] : found.ends[i]].tobytes(), digest_size=8, salt=salt)
+        hashes[i] = int.from_bytes(digest.digest(), "little")
+    return hashes
+
+
 def shingle_sets(slab: kernels.Slab, size: int, seed: int) -> Iterator[tuple[int, np.ndarray]]:
     """Row and sorted distinct shingle hashes of each text of a slab that has words."""
     folded = kernels.Slab(slab.first, fold_case(slab.data), slab.offsets)
     found = kernels.words(folded)
-    hashes = kernels.span_hash(kernels.prefix_hash(folded.data, kernels.letters(seed)), found.starts, found.ends)
+    hashes = word_hashes(folded, found, seed)
     all_grams = kernels.grams(hashes, size)
     edges = np.searchsorted(found.doc, np.arange(len(slab) + 1))
     for row in range(len(slab)):

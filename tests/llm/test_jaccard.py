@@ -104,3 +104,12 @@ def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(500, j) for j in range(501, 560)] + [(7, 7)]
     found = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert found == {i: 100 for i in range(100, 161)} | {i: 500 for i in range(500, 560)}
+
+
+def test_long_words_that_a_polynomial_cannot_tell_apart(spark):
+    # The Thue-Morse word and its complement hash alike modulo 2^64 for every base and letters.
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, f"one two {word} three"), (4, f"one two {other} three"), (5, word)]
+    found = jaccard.join_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
