@@ -78,3 +78,16 @@ def test_odd_rows(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     got = sorted(((r.doc_id, r.n_tokens > 0) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()), key=str)
     assert got == sorted([(1, False), (2, False), (None, True), (3, True), (4, True)], key=str)
+
+
+def test_empty_documents_and_further_columns(spark, tmp_path):
+    texts = [(i, f"text {i} of a few words, mail a@b.co", "en", "ab"[i % 2], 30, i, "n", i) for i in range(20)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long, position int, component_id string, score int")
+    for name, table in (("full", docs), ("empty", docs.limit(0))):
+        folder = f"{tmp_path}/{name}"
+        table.write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, table, folder).columns == docs.columns
+        assert corpus_pipeline.run(spark, folder).count() == table.count()
+    assert sorted(r.position for r in corpus_pipeline.hide_pii(spark, docs, "").collect()) == list(range(20))
