@@ -2,7 +2,12 @@
 
 Toxic documents go, one document of each group of near-duplicates stays, personal data are masked, the
 sources are brought into mixed order, and every text is encoded. All stages but the last return
-the columns of ``documents``.
+the columns of ``documents``. Each stage's result is a table of the shared folder.
+
+Defined results: a null text stays null and encodes to no tokens; empty texts, null keys and null
+sources stay; rows that agree in key and text are near copies, of which one stays; an empty table gives
+an empty result. A further column travels with its row as far as the last stage, also one that is
+called like a column the operators make.
 """
 
 from __future__ import annotations
@@ -11,6 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from opinara.llm import bpe, jaccard, mixing, pii, toxicity
+from opinara.llm.frames import store
 
 VOCABULARY = "word_bpe_49k.json"
 # No SQL can express the stages that learn or tokenize; tests hold run() against brute force.
@@ -54,6 +60,6 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), name)  # each stage reads its input several times
+    return STAGES[-1][1](spark, docs, sf_dir)
