@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import opinara
 from opinara.session import fresh_path, materialize
 
-__all__ = ["documents_of", "map_batches", "materialize", "store", "table", "text_of"]
+__all__ = ["documents_of", "map_batches", "materialize", "small_batches", "store", "table", "text_of"]
 
+BATCH_KEY, SPARK_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "4m"
 _shipped: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -47,6 +48,15 @@ def map_batches(df: DataFrame, function, schema) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of at most ``BATCH_BYTES`` go to Python, unless the session sets another size than Spark's own.
+
+    Spark's 64 MB are held several times over: in the JVM's buffers, in the worker, and as what is made of them.
+    """
+    if spark.conf.get(BATCH_KEY) == SPARK_BATCH:
+        spark.conf.set(BATCH_KEY, BATCH_BYTES)
+
+
 def ship(spark: SparkSession) -> None:
     """Hand the package's source to Spark, which brings it to each executor; once per application."""
     context = spark.sparkContext

@@ -32,10 +32,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opinara.llm import kernels
 from opinara.llm.components import components
-from opinara.llm.frames import documents_of, map_batches, materialize, store
+from opinara.llm.frames import documents_of, map_batches, materialize, small_batches, store
 
 SHINGLE_WORDS, PERCENT, THIN = 4, 85, 2
 LONG_WORD = 64  # bytes
+GRAM_STEP = 1 << 18  # shingles of a text hashed at a time
 SEEN_NODES = 1 << 19  # nodes a task remembers so as not to sign a copy twice
 # A set's parity bits: for each of 64 * PARITY values of its grams' hashes, whether their number is odd.
 PARITY, WIDE = 16, 64
@@ -61,21 +62,30 @@ def word_hashes(slab: kernels.Slab, found: kernels.Words, seed: int) -> np.ndarr
 
 def shingle_sets(slab: kernels.Slab, size: int, seed: int) -> Iterator[tuple[int, np.ndarray]]:
     """Row and sorted distinct shingle hashes of each text of a slab that has words."""
-    folded = kernels.Slab(slab.first, fold_case(slab.data), slab.offsets)
-    found = kernels.words(folded)
-    hashes = word_hashes(folded, found, seed)
-    all_grams = kernels.grams(hashes, size)
-    edges = np.searchsorted(found.doc, np.arange(len(slab) + 1))
+    parts = list(_word_rows(slab, seed))
+    doc, hashes = (np.concatenate(column) for column in zip(*parts))
+    edges = np.searchsorted(doc, np.arange(len(slab) + 1))
     for row in range(len(slab)):
         start, stop = edges[row], edges[row + 1]
         if stop - start >= size:
-            yield row, np.unique(all_grams[start : stop - size + 1])
+            # A long text's windows one after another: only the distinct ones are kept.
+            steps = range(start, stop - size + 1, GRAM_STEP)
+            sets = [np.unique(kernels.grams(hashes[at : min(at + GRAM_STEP + size - 1, stop)], size)) for at in steps]
+            yield row, sets[0] if len(sets) == 1 else np.unique(np.concatenate(sets))
         elif stop > start:
             # Marked by its length, so as never to equal the gram of a longer text.
             whole = kernels.grams(hashes[start:stop], int(stop - start))
             yield row, kernels.mix(whole + np.uint64(stop - start))
 
 
+def _word_rows(slab: kernels.Slab, seed: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row and hash of each word; a long text is worked through in parts."""
+    for part in kernels.blank_cuts(slab):
+        folded = kernels.Slab(part.first, fold_case(part.data), part.offsets)
+        found = kernels.words(folded)
+        yield found.doc, word_hashes(folded, found, seed)
+
+
 def node_of(grams: np.ndarray) -> tuple[int, int]:
     """Two independent 64-bit names of a set."""
     count = np.uint64(len(grams))
@@ -233,6 +243,7 @@ def join_components(
     docs: DataFrame, key="doc_id", text="text", size: int = SHINGLE_WORDS, percent: int = PERCENT
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every document."""
+    small_batches(docs.sparkSession)
     rows, seed = documents_of(docs, key, text), 0
     while True:
         named = store(documents_sets(rows, size, seed), "sets")

@@ -1,8 +1,8 @@
 """Vectorised passes over the UTF-8 bytes of many texts at once.
 
 Arrow hands a batch's texts over as one run of bytes with offsets; they are worked through in slabs
-of about a megabyte, so that the arrays of one slab bound the memory of a task. A text larger than a
-slab is a slab of its own.
+of a quarter of a megabyte, so that the arrays of one slab bound the memory of a task. A text larger
+than a slab is a slab of its own, which ``windows`` and ``blank_cuts`` take apart again.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLAB_BYTES = 1 << 20
+SLAB_BYTES = 1 << 18
 # An odd multiplier, its inverse modulo 2^64, and finalizer constants.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -33,12 +33,18 @@ class Slab:
         return len(self.offsets) - 1
 
 
-def slabs(column: pa.Array, limit: int = SLAB_BYTES) -> Iterator[Slab]:
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of a column of texts without nulls; text i is data[offsets[i]:offsets[i+1]]."""
     column = column.cast(pa.large_string())
     count = len(column)
     _, places, values = column.buffers()
     offsets = np.frombuffer(places, np.int64)[column.offset : column.offset + count + 1] if count else np.zeros(1, np.int64)
-    data = np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8)
+    return offsets, np.frombuffer(values, np.uint8) if values is not None else np.zeros(0, np.uint8)
+
+
+def slabs(column: pa.Array, limit: int = SLAB_BYTES) -> Iterator[Slab]:
+    count = len(column)
+    offsets, data = bytes_of(column)
     first = 0
     while first < count:
         last = max(int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1, first + 1)
@@ -47,6 +53,36 @@ def slabs(column: pa.Array, limit: int = SLAB_BYTES) -> Iterator[Slab]:
         first = last
 
 
+def windows(slab: Slab, margin: int, limit: int = SLAB_BYTES) -> Iterator[tuple[Slab, int, int, int]]:
+    """The slab, or windows of its one long text: window, where it begins, and the bounds of its own part.
+
+    The own parts cover the text once; ``margin`` bytes to each side are there to look at.
+    """
+    size = len(slab.data)
+    if len(slab) > 1 or size <= limit + margin:
+        yield slab, 0, 0, size
+        return
+    for start in range(0, size, limit):
+        low, high = max(start - margin, 0), min(start + limit + margin, size)
+        yield Slab(slab.first, slab.data[low:high], np.array([0, high - low])), low, start - low, min(start + limit, size) - low
+
+
+def blank_cuts(slab: Slab, limit: int = SLAB_BYTES) -> Iterator[Slab]:
+    """The slab, or parts of its one long text, cut at blanks: no word is in two of them."""
+    size, start = len(slab.data), 0
+    while len(slab) == 1 and size - start > limit:
+        stop = start + limit
+        while stop < size and not len(blanks := np.flatnonzero(BLANK[slab.data[stop : stop + limit]])):
+            stop += limit
+        stop = min(stop + int(blanks[0]) + 1, size) if stop < size else size
+        yield Slab(slab.first, slab.data[start:stop], np.array([0, stop - start]))
+        start = stop
+    if start == 0:
+        yield slab
+    elif start < size:
+        yield Slab(slab.first, slab.data[start:], np.array([0, size - start]))
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A one-to-one scrambling of 64-bit values."""
     values = values ^ (values >> np.uint64(33))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from opinara.llm import kernels, suffixes
-from opinara.llm.frames import documents_of, map_batches, materialize, store
+from opinara.llm.frames import documents_of, map_batches, materialize, small_batches, store
 
 LENGTH, GRAM, WIDE = 200, 96, 4096
 POOL_BYTES, PIECE_ROWS = 1 << 18, 256
@@ -101,12 +101,15 @@ def anchor_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy()
-            for slab in kernels.slabs(batch.column(1)):
+            # An anchor's strings lie within a length of it, and their anchors within another.
+            parts = (part for slab in kernels.slabs(batch.column(1)) for part in kernels.windows(slab, 2 * length))
+            for slab, begin, first, last in parts:
                 found = anchors_of(slab, length, gram)
                 if found is None:
                     continue
-                row, places, anchor, context, low, high = found
-                pos = (places - slab.offsets[row]).astype(np.int32)
+                own = (found[1] >= first) & (found[1] < last)
+                row, places, anchor, context, low, high = (column[own] for column in found)
+                pos = (places - slab.offsets[row] + begin).astype(np.int32)
                 columns = [kernels.signed(anchor), kernels.signed(context), keys[slab.first + row], pos, low.astype(np.int32), high.astype(np.int32)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["anchor", "context", "doc", "pos", "low", "high"])
 
@@ -118,17 +121,23 @@ def context_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            out = [[] for _ in range(6)]
-            for doc, text, places in zip(*(batch.column(i) for i in range(3))):
-                raw, doc = text.as_py().encode(), doc.as_py()
-                for place in places.as_py():
-                    pos, low = place["pos"], place["low"]
-                    values = (place["anchor"], place["context"], doc, pos, low, raw[pos + low : pos + place["high"]])
-                    for column, value in zip(out, values):
-                        column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
-            names = ["anchor", "context", "doc", "pos", "low", "bytes"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+            docs_, texts, listed = (batch.column(i) for i in range(3))
+            offsets, data = kernels.bytes_of(texts)
+            bounds = listed.offsets.to_numpy()
+            within = listed.values.slice(bounds[0], bounds[-1] - bounds[0])
+            anchor, context, pos, low, high = (c.to_numpy() for c in within.flatten())
+            row = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
+            doc, start = docs_.to_numpy()[row], offsets[row] + pos + low
+            ends = np.concatenate([[0], np.cumsum(high - low, dtype=np.int64)])
+            done = 0
+            while done < len(row):
+                stop = max(int(np.searchsorted(ends, ends[done] + kernels.SLAB_BYTES, "right")) - 1, done + 1)
+                sizes = (ends[done : stop + 1] - ends[done]).astype(np.int32)
+                at = np.repeat(start[done:stop] - sizes[:-1], np.diff(sizes)) + np.arange(sizes[-1])
+                raw = pa.Array.from_buffers(pa.binary(), stop - done, [None, pa.py_buffer(sizes), pa.py_buffer(data[at])])
+                columns = [*(pa.array(c[done:stop]) for c in (anchor, context, doc, pos, low)), raw]
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "context", "doc", "pos", "low", "bytes"])
+                done = stop
 
     listed = F.collect_list(F.struct("anchor", "context", "pos", "low", "high"))
     places = wanted.groupBy(F.col("doc").alias("of")).agg(listed.alias("places"))
@@ -252,6 +261,7 @@ def _unique_keys(rows: DataFrame) -> DataFrame:
 
 def cut_repeated_bytes(docs: DataFrame, key="doc_id", text="text", length: int = LENGTH, gram: int = GRAM, wide: int = WIDE) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept, spans`` (starts and ends of the cuts, alternating)."""
+    small_batches(docs.sparkSession)
     rows = _unique_keys(documents_of(docs, key, text))
     texts = rows.select("doc", "text")
     anchors = anchor_table(texts, length, gram)
@@ -279,22 +289,30 @@ def cut_repeated_bytes(docs: DataFrame, key="doc_id", text="text", length: int =
     return map_batches(joined, _cut, CUT_SCHEMA)
 
 
+def merged(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Edges of the union of spans, starts and ends alternating; spans that touch are one."""
+    turn = np.argsort(low, kind="stable")
+    low, high = low[turn], np.maximum.accumulate(high[turn]) if len(turn) else high
+    new = np.ones(len(low), bool)
+    new[1:] = low[1:] > high[:-1]
+    return np.column_stack([low[new], high[np.append(new[1:], True)] if len(low) else high]).ravel()
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in pieces(batches):
-        sizes, removed, counts, kept, spans = [], [], [], [], []
-        for text, found in zip(batch.column(1), batch.column(2)):
-            raw = text.as_py().encode()
-            cuts: list[list[int]] = []
-            for low, high in sorted((max(0, s["low"]), min(len(raw), s["high"])) for s in found.as_py() or ()):
-                if cuts and low <= cuts[-1][1]:
-                    cuts[-1][1] = max(cuts[-1][1], high)
-                else:
-                    cuts.append([low, high])
-            edges = [0, *(edge for cut in cuts for edge in cut), len(raw)]
-            sizes.append(len(raw))
-            removed.append(sum(high - low for low, high in cuts))
-            counts.append(len(cuts))
-            kept.append(b"".join(raw[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2)))
-            spans.append(edges[1:-1])
+        removed, counts, kept, spans = [], [], [], []
+        offsets, data = kernels.bytes_of(batch.column(1))
+        sizes = np.diff(offsets)
+        for row, found in enumerate(batch.column(2)):
+            raw = data[offsets[row] : offsets[row + 1]]
+            cuts = np.zeros(0, np.int64)
+            if found.is_valid:
+                low, high = (c.to_numpy().astype(np.int64) for c in found.values.flatten())
+                cuts = merged(np.maximum(low, 0), np.minimum(high, len(raw)))
+            edges = np.concatenate([[0], cuts, [len(raw)]])
+            removed.append(int((cuts[1::2] - cuts[::2]).sum()))
+            counts.append(len(cuts) // 2)
+            kept.append(b"".join(raw[edges[i] : edges[i + 1]].tobytes() for i in range(0, len(edges), 2)))
+            spans.append(cuts)
         columns = [batch.column(0), *(pa.array(c, pa.int64()) for c in (sizes, removed, counts)), pa.array(kept, pa.binary()), pa.array(spans, pa.list_(pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "spans"])

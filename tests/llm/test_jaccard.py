@@ -113,3 +113,28 @@ def test_long_words_that_a_polynomial_cannot_tell_apart(spark):
     rows = [(1, word), (2, other), (3, f"one two {word} three"), (4, f"one two {other} three"), (5, word)]
     found = jaccard.join_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_long_texts_are_hashed_in_parts(monkeypatch):
+    from opinara.llm import kernels
+
+    dice = random.Random(8)
+    text = " \n".join("".join(dice.choice("abcé") for _ in range(dice.choice([1, 3, 9, 200]))) for _ in range(4000)) + "  "
+    data = np.frombuffer(text.encode(), np.uint8)
+    slab = kernels.Slab(0, data, np.array([0, len(data)]))
+    (_, whole), = jaccard.shingle_sets(slab, 4, 0)
+    for limit in (64, 1000, len(data) - 1):
+        parts = [p.data.tobytes() for p in kernels.blank_cuts(slab, limit)]
+        assert b"".join(parts) == data.tobytes() and sum(len(p.split()) for p in parts) == 4000 and (limit > 1000 or len(parts) > 1)
+        monkeypatch.setattr(kernels.blank_cuts, "__defaults__", (limit,))
+        monkeypatch.setattr(jaccard, "GRAM_STEP", limit)
+        (_, found), = jaccard.shingle_sets(slab, 4, 0)
+        assert np.array_equal(found, whole) and len(whole) == len(shingles(text))
+
+
+def test_one_long_text_and_its_copy(spark):
+    words = [f"w{i * 7919 % 99999989:x}" for i in range(7_000_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[100:])), (3, " ".join(words[:3_500_000]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(rows[0][1]) > 50 << 20
+    assert {r.doc_id: r.component_id for r in jaccard.join_components(docs).collect()} == {1: 1, 2: 1, 3: 3}

@@ -115,3 +115,33 @@ def test_slabs_give_the_texts_back():
             for i in range(len(slab)):
                 got[slab.first + i] = slab.data[slab.offsets[i] : slab.offsets[i + 1]].tobytes().decode()
         assert [got[i] for i in range(5)] == texts[1:]
+
+
+def test_one_long_text_is_worked_through_in_windows(spark, monkeypatch):
+    """64 MB in one text, with a passage at the border of two windows that stands in another text as well."""
+    dice = np.random.default_rng(4)
+    size, border = 64 << 20, 77 * kernels.SLAB_BYTES
+    raw = dice.integers(97, 123, size).astype(np.uint8).tobytes()
+    passage = raw[border - 150 : border + 250]
+    docs = spark.createDataFrame([(1, raw.decode()), (2, "é" * 9 + passage.decode())], "doc_id long, text string")
+    found = {r.doc_id: r for r in suffix_dedup.cut_repeated_bytes(docs).collect()}
+    assert list(found[1].spans) == [border - 150, border + 250] and list(found[2].spans) == [18, 418]
+    assert bytes(found[1].kept) == raw[: border - 150] + raw[border + 250 :]
+
+
+def test_windows_find_the_anchors_of_the_whole():
+    dice = np.random.default_rng(6)
+    data = np.concatenate([dice.integers(97, 100, 9000), np.full(1500, 97), dice.integers(97, 123, 7000)]).astype(np.uint8)
+    slab = kernels.Slab(0, data, np.array([0, len(data)]))
+    whole = set(zip(*(c.tolist() for c in suffix_dedup.anchors_of(slab, 200, 96))))
+    parts = set()
+    for part, begin, first, last in kernels.windows(slab, 400, 1000):
+        row, places, *rest = suffix_dedup.anchors_of(part, 200, 96)
+        own = (places >= first) & (places < last)
+        parts |= set(zip(*(c[own].tolist() for c in (row, places + begin, *rest))))
+    assert parts == whole
+
+
+def test_spans_that_touch_are_one():
+    edges = suffix_dedup.merged(np.array([30, 0, 10, 50, 52]), np.array([40, 12, 30, 60, 55]))
+    assert edges.tolist() == [0, 40, 50, 60] and suffix_dedup.merged(np.zeros(0, int), np.zeros(0, int)).tolist() == []
