@@ -133,8 +133,8 @@ def test_long_texts_are_hashed_in_parts(monkeypatch):
 
 
 def test_one_long_text_and_its_copy(spark):
-    words = [f"w{i * 7919 % 99999989:x}" for i in range(7_000_000)]
-    rows = [(1, " ".join(words)), (2, " ".join(words[100:])), (3, " ".join(words[:3_500_000]))]
+    words = [f"w{i * 7919 % 999983:x}" for i in range(8_000_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[100:])), (3, " ".join(words[:500_000]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert len(rows[0][1]) > 50 << 20
     assert {r.doc_id: r.component_id for r in jaccard.join_components(docs).collect()} == {1: 1, 2: 1, 3: 3}
