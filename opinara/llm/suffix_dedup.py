@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from opinara.llm import kernels, suffixes
 from opinara.llm.frames import documents_of, map_batches, materialize, small_batches, store
@@ -259,6 +259,42 @@ def _unique_keys(rows: DataFrame) -> DataFrame:
     return store(rows.withColumn("doc", F.monotonically_increasing_id()), "numbered")
 
 
+def by_context(found: DataFrame) -> DataFrame:
+    """``anchor, context, edges``: one row per context, its spans merged, starts and ends alternating.
+
+    A context is at most two strings and an anchor long, so its spans are few.
+    """
+
+    def join(edges: Column, span: Column) -> Column:
+        grown = F.concat(
+            F.slice(edges, F.lit(1), F.greatest(F.size(edges) - 1, F.lit(0))),
+            F.array(F.greatest(F.try_element_at(edges, F.lit(-1)), span["high"])),
+        )
+        return F.when((F.size(edges) > 0) & (F.try_element_at(edges, F.lit(-1)) >= span["low"]), grown).otherwise(
+            F.concat(edges, F.array(span["low"], span["high"]))
+        )
+
+    spans = found.groupBy("anchor", "context").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("spans"))
+    return spans.select("anchor", "context", F.aggregate("spans", F.array().cast("array<int>"), join).alias("edges"))
+
+
+def spans_of_places(places: DataFrame, found: DataFrame) -> DataFrame:
+    """``of, spans``: the repeated spans of each document.
+
+    A place meets the one row of its context; a context of many strings would else meet each of its places with each string.
+    """
+    # Written out, so that the join deals both sides anew and Spark can split a hot context.
+    merged_ = store(by_context(found), "spans")
+    met = places.select("doc", "pos", "anchor", "context").join(merged_, ["anchor", "context"])
+    numbers = F.sequence(F.lit(0), F.size("edges") - 1, F.lit(2))
+    moved = F.transform(
+        numbers,
+        lambda i: F.struct((F.col("pos") + F.get("edges", i)).alias("low"), (F.col("pos") + F.get("edges", i + 1)).alias("high")),
+    )
+    listed = met.groupBy(F.col("doc").alias("of")).agg(F.collect_list(moved).alias("spans"))
+    return listed.select("of", F.flatten("spans").alias("spans"))
+
+
 def cut_repeated_bytes(docs: DataFrame, key="doc_id", text="text", length: int = LENGTH, gram: int = GRAM, wide: int = WIDE) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept, spans`` (starts and ends of the cuts, alternating)."""
     small_batches(docs.sparkSession)
@@ -280,10 +316,7 @@ def cut_repeated_bytes(docs: DataFrame, key="doc_id", text="text", length: int =
     if not many.isEmpty():
         broad = contexts.join(many, "anchor", "left_semi").select("anchor", "context", "one.*")
         found = found.unionByName(counted_strings(context_bytes(texts, broad), length))
-    spans = places.select("doc", "pos", *known).join(found, known)
-    spans = spans.groupBy(F.col("doc").alias("of")).agg(
-        F.collect_set(F.struct((F.col("pos") + F.col("low")).alias("low"), (F.col("pos") + F.col("high")).alias("high"))).alias("spans")
-    )
+    spans = spans_of_places(places, found)
     name = F.col("doc_id" if "doc_id" in rows.columns else "doc").alias("doc_id")
     joined = rows.join(spans, F.col("doc") == F.col("of"), "left").select(name, "text", "spans")
     return map_batches(joined, _cut, CUT_SCHEMA)

@@ -145,3 +145,15 @@ def test_windows_find_the_anchors_of_the_whole():
 def test_spans_that_touch_are_one():
     edges = suffix_dedup.merged(np.array([30, 0, 10, 50, 52]), np.array([40, 12, 30, 60, 55]))
     assert edges.tolist() == [0, 40, 50, 60] and suffix_dedup.merged(np.zeros(0, int), np.zeros(0, int)).tolist() == []
+
+
+def test_a_place_meets_one_row_however_many_strings_its_context_has(spark):
+    """Near copies under one anchor: strings by the hundred, and as many places; the join must not multiply them."""
+    places = spark.createDataFrame([(d, 1000 + d, 7, 8) for d in range(40)] + [(99, 5, 7, 9)], "doc long, pos int, anchor long, context long")
+    strings = [(7, 8, low, low + 200) for low in range(-100, 0)] + [(7, 8, 150, 160), (7, 9, 0, 200)]
+    found = spark.createDataFrame(strings, "anchor long, context long, low int, high int")
+    merged = {(r.anchor, r.context): list(r.edges) for r in suffix_dedup.by_context(found).collect()}
+    assert merged == {(7, 8): [-100, 199], (7, 9): [0, 200]}
+    got = {r.of: [tuple(s) for s in r.spans] for r in suffix_dedup.spans_of_places(places, found).collect()}
+    assert got[99] == [(5, 205)] and got[3] == [(903, 1202)]
+    assert sum(map(len, got.values())) == 41
