@@ -66,6 +66,25 @@ def test_vocabulary_has_the_builtin_terms_in_stable_order(tokenized, feature):
     assert ours.getOutputCol() == "features"
 
 
+def test_a_vocabulary_reads_the_texts_once(spark):
+    """The counts of magnitudes and the terms above them come from one evaluation of the texts."""
+    from opinara.operators.vocabulary import tfidf, vocabulary
+
+    read = spark.sparkContext.accumulator(0)
+
+    def tokens(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame([(i, ["a", "b", None, "a"][: i % 5]) for i in range(50)], "doc_id long, filtered_tokens array<string>")
+    seen = docs.mapInArrow(tokens, docs.schema)
+    got = [(r.term, r.cnt, r.df) for r in vocabulary(seen, min_df=1).orderBy("idx").collect()]
+    assert got == [("a", 50, 40), ("b", 30, 30)] and read.value == 50
+    # Once for the numbers, once for the occurrences.
+    assert tfidf(seen, "doc_id", min_df=1).count() == 70 and read.value == 150
+
+
 def test_no_term_is_an_error(tokenized):
     with pytest.raises(ValueError, match="No term"):
         weighting_stages("count_vectorizer", FeatureSettings(min_df=10_000))[-1].fit(tokenized)
