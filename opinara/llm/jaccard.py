@@ -257,7 +257,10 @@ def join_components(
     shared = store(shared_signatures(signed_nodes(rows, size, percent, seed)), "signatures")
     owners = shared.select("node").distinct().join(nodes, "node").select(F.col("first").alias("owner"))
     texts = rows.join(owners, F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi")
-    sets = store(gram_sets(texts, size, seed).dropDuplicates(["node"]), "grams")
+    # Equal sets have one owner each; only rows that share a key with one can be there besides.
+    unique = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    sets = gram_sets(texts, size, seed)
+    sets = store(sets if unique else sets.dropDuplicates(["node"]), "grams")
 
     # Everyone against the hub that shares the most signatures with others: the original of a group
     # of edited copies holds nearly all their signatures, each copy only some.
@@ -268,7 +271,7 @@ def join_components(
     offers = placed.join(materialize(hubs), "signature").filter(F.col("node") != F.col("hub.node"))
     chosen = offers.groupBy("node").agg(F.max("hub").alias("hub"))
     tested = materialize(_pairs(F.col("node"), F.col("hub.node"), chosen))
-    links = materialize(verified(tested, sets, percent))
+    links = materialize(verified(store(_close(tested, sets, percent), "near"), sets, percent))
 
     # What is left: nodes that share a signature across components.
     left = _across(shared, materialize(components(links)))
@@ -294,7 +297,7 @@ def _across(shared: DataFrame, found: DataFrame) -> DataFrame:
     range_ = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     # Written out, so that the join deals both sides anew and Spark can split a hot signature.
     split = materialize(range_.filter("low <> high").select("signature", "low"))
-    return materialize(placed.join(split, "signature"))
+    return store(placed.join(split, "signature"), "across")
 
 
 def _pairs(one: Column, two: Column, rows: DataFrame) -> DataFrame:
@@ -308,7 +311,7 @@ def _all_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     its sizes allow is no link; the join's condition drops it before it becomes a row.
     """
     rows = left.select("signature", "node", "component").join(sets.select("node", F.size("grams").alias("n"), *PARITIES), "node")
-    rows = materialize(rows)
+    rows = store(rows, "parities")
     one, two = (rows.select("signature", *(F.col(c).alias(side + c) for c in rows.columns if c != "signature")) for side in "ab")
     bits = sum((F.bit_count(F.col("a" + p).bitwiseXOR(F.col("b" + p))) for p in PARITIES), F.lit(0))
     allowed = (F.col("an") + F.col("bn")) * (100 - percent)

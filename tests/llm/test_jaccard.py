@@ -138,3 +138,19 @@ def test_one_long_text_and_its_copy(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert len(rows[0][1]) > 50 << 20
     assert {r.doc_id: r.component_id for r in jaccard.join_components(docs).collect()} == {1: 1, 2: 1, 3: 3}
+
+
+def test_whole_sets_are_joined_only_for_pairs_that_the_bits_allow(spark, small_dir, monkeypatch):
+    """Pairs with hubs as well: the sets of a pair that its parity bits rule out are not shuffled."""
+    ruled_out, true = [], jaccard.verified
+
+    def watched(pairs, sets, percent):
+        ruled_out.append(pairs.exceptAll(jaccard._close(pairs, sets, percent)).count())
+        return true(pairs, sets, percent)
+
+    monkeypatch.setattr(jaccard, "verified", watched)
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    # A text and its halves share parts, but are no near copies.
+    halves = docs.selectExpr("doc_id + 100000 as doc_id", "substring(text, 1, cast(length(text) * 0.7 as int)) as text")
+    jaccard.keep_first(docs.select("doc_id", "text").union(halves), size=5, percent=80).count()
+    assert ruled_out == [0, 0]
