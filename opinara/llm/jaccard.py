@@ -14,7 +14,8 @@ Equal sets are one node from the start. Pairs that share a signature are not lis
 is held against one hub it shares a signature with, links contract into components, and only nodes
 that share a signature across components are left. Their pairs are all
 held against a bound on bits, and those it lets through are tested. Every link taken is verified on
-the whole sets. A pair skipped is one whose documents are connected already.
+the whole sets, which are made and written for the nodes of such pairs only; all others are known by
+their bits. A pair skipped is one whose documents are connected already.
 
 Defined results: null or empty texts and texts without words have 0 shingles and are alone; repeated
 rows, and different rows under one key, come back one row each; a null key is a document like any
@@ -41,7 +42,8 @@ SEEN_NODES = 1 << 19  # nodes a task remembers so as not to sign a copy twice
 # A set's parity bits: for each of 64 * PARITY values of its grams' hashes, whether their number is odd.
 PARITY, WIDE = 16, 64
 PARITIES = [f"p{i}" for i in range(PARITY)]
-SETS_SCHEMA = "doc_id long, n_shingles long, node long, other long"
+BITS_SCHEMA = ", ".join(f"{p} long" for p in PARITIES) + ", wide array<long>"
+SETS_SCHEMA = f"doc_id long, n_shingles long, node long, other long, {BITS_SCHEMA}"
 SIGNED_SCHEMA = "signature long, node long"
 
 
@@ -134,12 +136,14 @@ def documents_sets(docs: DataFrame, size: int, seed: int) -> DataFrame:
         for batch in batches:
             counts = np.zeros(batch.num_rows, np.int64)
             names = np.zeros((2, batch.num_rows), np.int64)
+            few, wide = (np.zeros((batch.num_rows, longs), np.int64) for longs in (PARITY, WIDE))
             for slab in kernels.slabs(batch.column(1)):
                 for row, grams in shingle_sets(slab, size, seed):
                     counts[slab.first + row] = len(grams)
                     names[:, slab.first + row] = node_of(grams)
-            columns = [batch.column(0), pa.array(counts), pa.array(names[0]), pa.array(names[1])]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "other"])
+                    few[slab.first + row], wide[slab.first + row] = parity(grams, PARITY), parity(grams, WIDE)
+            columns = [batch.column(0), *map(pa.array, (counts, *names, *few.T)), lists(wide)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "other", *PARITIES, "wide"])
 
     return map_batches(docs, run, SETS_SCHEMA)
 
@@ -212,21 +216,35 @@ def parity(grams: np.ndarray, longs: int) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def lists(values: np.ndarray) -> pa.Array:
+    """The rows of a matrix as lists."""
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]), pa.array(values.ravel()))
+
+
 def gram_sets(docs: DataFrame, size: int, seed: int) -> DataFrame:
-    """``node, grams`` of the documents given, and their parity bits, few and many (``wide``)."""
+    """``node, n, grams`` of the documents given, and their wide parity bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for slab in kernels.slabs(batch.column(0)):
-                found = [(node_of(g)[0], kernels.signed(g), parity(g, PARITY), parity(g, WIDE)) for _, g in shingle_sets(slab, size, seed)]
-                bits = np.array([p for _, _, p, _ in found], np.int64).reshape(-1, PARITY)
+                found = [(node_of(g)[0], kernels.signed(g), parity(g, WIDE)) for _, g in shingle_sets(slab, size, seed)]
                 columns = [
-                    pa.array([n for n, *_ in found], pa.int64()), pa.array([g for _, g, _, _ in found], pa.list_(pa.int64())),
-                    *map(pa.array, bits.T), pa.array([w for *_, w in found], pa.list_(pa.int64())),
+                    pa.array([n for n, _, _ in found], pa.int64()), pa.array([len(g) for _, g, _ in found], pa.int64()),
+                    pa.array([g for _, g, _ in found], pa.list_(pa.int64())), pa.array([w for *_, w in found], pa.list_(pa.int64())),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["node", "grams", *PARITIES, "wide"])
+                yield pa.RecordBatch.from_arrays(columns, ["node", "n", "grams", "wide"])
+
+    return map_batches(docs.select("text"), run, "node long, n long, grams array<long>, wide array<long>")
 
-    return map_batches(docs.select("text"), run, "node long, grams array<long>, " + ", ".join(f"{p} long" for p in PARITIES) + ", wide array<long>")
+
+def sets_of(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, unique: bool, size: int, seed: int) -> DataFrame:
+    """The whole sets of the nodes in ``a, b``, from the text of one document each."""
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    owners = wanted.join(nodes, "node").select(F.col("first").alias("owner"))
+    texts = rows.join(owners, F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi")
+    # Equal sets have one owner each; only rows that share a key with one can be there besides.
+    sets = gram_sets(texts, size, seed)
+    return store(sets if unique else sets.dropDuplicates(["node"]), "grams")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -255,29 +273,27 @@ def join_components(
             break
         seed += 1  # two different sets met under one 64-bit name
     shared = store(shared_signatures(signed_nodes(rows, size, percent, seed)), "signatures")
-    owners = shared.select("node").distinct().join(nodes, "node").select(F.col("first").alias("owner"))
-    texts = rows.join(owners, F.col("doc_id").eqNullSafe(F.col("owner")), "left_semi")
-    # Equal sets have one owner each; only rows that share a key with one can be there besides.
     unique = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
-    sets = gram_sets(texts, size, seed)
-    sets = store(sets if unique else sets.dropDuplicates(["node"]), "grams")
+    bits = named.filter("n_shingles > 0").select("node", F.col("n_shingles").alias("n"), *PARITIES, "wide").dropDuplicates(["node"])
+    bits = store(bits.join(shared.select("node").distinct(), "node", "left_semi"), "bits")
 
     # Everyone against the hub that shares the most signatures with others: the original of a group
     # of edited copies holds nearly all their signatures, each copy only some.
     sizes = shared.groupBy("signature").agg(F.count(F.lit(1)).alias("n"))
-    weights = shared.join(materialize(sizes), "signature").groupBy("node").agg(F.sum("n").alias("weight"))
+    weights = shared.join(store(sizes, "sizes"), "signature").groupBy("node").agg(F.sum("n").alias("weight"))
     placed = shared.select("signature", "node").join(weights, "node")
     hubs = placed.groupBy("signature").agg(F.max(F.struct("weight", "node")).alias("hub"))
-    offers = placed.join(materialize(hubs), "signature").filter(F.col("node") != F.col("hub.node"))
+    offers = placed.join(store(hubs, "hubs"), "signature").filter(F.col("node") != F.col("hub.node"))
     chosen = offers.groupBy("node").agg(F.max("hub").alias("hub"))
-    tested = materialize(_pairs(F.col("node"), F.col("hub.node"), chosen))
-    links = materialize(verified(store(_close(tested, sets, percent), "near"), sets, percent))
+    tested = store(_pairs(F.col("node"), F.col("hub.node"), chosen), "tested")
+    near = store(_close(tested, bits, percent), "near")
+    links = store(verified(near, sets_of(near, nodes, rows, unique, size, seed), percent), "links")
 
     # What is left: nodes that share a signature across components.
     left = _across(shared, materialize(components(links)))
-    pairs = _all_pairs(left, sets, percent)
-    pairs = _close(pairs.join(tested, ["a", "b"], "left_anti"), sets, percent)
-    links = links.union(verified(materialize(pairs), sets, percent))
+    pairs = _all_pairs(left, bits, percent)
+    near = store(_close(pairs.join(tested, ["a", "b"], "left_anti"), bits, percent), "near")
+    links = links.union(verified(near, sets_of(near, nodes, rows, unique, size, seed), percent))
     found = materialize(components(links))
 
     smallest = found.join(nodes, "node").groupBy("component").agg(F.min("first").alias("component_id"))
@@ -296,7 +312,7 @@ def _across(shared: DataFrame, found: DataFrame) -> DataFrame:
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     range_ = placed.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     # Written out, so that the join deals both sides anew and Spark can split a hot signature.
-    split = materialize(range_.filter("low <> high").select("signature", "low"))
+    split = store(range_.filter("low <> high").select("signature", "low"), "split")
     return store(placed.join(split, "signature"), "across")
 
 
@@ -304,33 +320,33 @@ def _pairs(one: Column, two: Column, rows: DataFrame) -> DataFrame:
     return rows.select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
 
 
-def _all_pairs(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _all_pairs(left: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Every pair of nodes that shares a signature across components and whose parity bits allow a link.
 
     Sets differ in at least as many grams as parity bits, so a pair that differs in more bits than
     its sizes allow is no link; the join's condition drops it before it becomes a row.
     """
-    rows = left.select("signature", "node", "component").join(sets.select("node", F.size("grams").alias("n"), *PARITIES), "node")
+    rows = left.select("signature", "node", "component").join(bits.select("node", "n", *PARITIES), "node")
     rows = store(rows, "parities")
     one, two = (rows.select("signature", *(F.col(c).alias(side + c) for c in rows.columns if c != "signature")) for side in "ab")
-    bits = sum((F.bit_count(F.col("a" + p).bitwiseXOR(F.col("b" + p))) for p in PARITIES), F.lit(0))
+    turned = sum((F.bit_count(F.col("a" + p).bitwiseXOR(F.col("b" + p))) for p in PARITIES), F.lit(0))
     allowed = (F.col("an") + F.col("bn")) * (100 - percent)
-    close = (F.col("anode") < F.col("bnode")) & (F.col("acomponent") != F.col("bcomponent")) & (bits * (100 + percent) <= allowed)
+    close = (F.col("anode") < F.col("bnode")) & (F.col("acomponent") != F.col("bcomponent")) & (turned * (100 + percent) <= allowed)
     one, two = one.withColumnRenamed("signature", "of_a"), two.withColumnRenamed("signature", "of_b")
     met = one.join(two, (F.col("of_a") == F.col("of_b")) & close)
     return met.select(F.col("anode").alias("a"), F.col("bnode").alias("b")).distinct()
 
 
-def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _close(pairs: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """The pairs that the wide parity bits still allow: large sets fill the few bits used before."""
     for side in "ab":
-        own = sets.select(F.col("node").alias(side), F.size("grams").alias(side + "n"), F.col("wide").alias(side + "wide"))
+        own = bits.select(F.col("node").alias(side), F.col("n").alias(side + "n"), F.col("wide").alias(side + "wide"))
         pairs = pairs.join(own, side)
-    bits = F.aggregate(
+    turned = F.aggregate(
         F.zip_with("awide", "bwide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
     )
     allowed = (F.col("an") + F.col("bn")) * (100 - percent)
-    return pairs.filter(bits * (100 + percent) <= allowed).select("a", "b")
+    return pairs.filter(turned * (100 + percent) <= allowed).select("a", "b")
 
 
 def keep_first(docs: DataFrame, key="doc_id", text="text", size: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:

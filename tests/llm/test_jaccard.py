@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from opinara.llm import jaccard
 from opinara.llm.components import components
@@ -154,3 +155,36 @@ def test_whole_sets_are_joined_only_for_pairs_that_the_bits_allow(spark, small_d
     halves = docs.selectExpr("doc_id + 100000 as doc_id", "substring(text, 1, cast(length(text) * 0.7 as int)) as text")
     jaccard.keep_first(docs.select("doc_id", "text").union(halves), size=5, percent=80).count()
     assert ruled_out == [0, 0]
+
+
+def test_whole_sets_are_made_for_the_nodes_of_close_pairs_only(spark, small_dir, monkeypatch):
+    """A set that its bits rule out as a partner is never written; it was stored for each node with a shared signature."""
+    made, true = [], jaccard.verified
+
+    def watched(pairs, sets, percent):
+        asked = pairs.selectExpr("a as node").union(pairs.select("b")).distinct()
+        made.append((sets.select("node").exceptAll(asked).count(), asked.exceptAll(sets.select("node")).count()))
+        return true(pairs, sets, percent)
+
+    monkeypatch.setattr(jaccard, "verified", watched)
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text")
+    halves = docs.selectExpr("doc_id + 100000 as doc_id", "substring(text, 1, cast(length(text) * 0.7 as int)) as text")
+    jaccard.join_components(docs.union(halves)).count()
+    assert made == [(0, 0), (0, 0)]
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    import time
+
+    from opinara.llm.frames import SHUFFLE_CLEANUP, store
+
+    disk, before = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    count = lambda: sum(".data" in (name := disk.getAllFiles().apply(i).getName()) and name.startswith("shuffle_") for i in range(disk.getAllFiles().size()))
+    old = count()
+    stored = store(spark.range(5000).repartition(7).groupBy((F.col("id") % 1000).alias("k")).count(), "test")
+    for _ in range(50):
+        if count() <= old:
+            break
+        time.sleep(0.1)
+    assert count() <= old and stored.count() == 1000
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
