@@ -5,10 +5,11 @@ begin and end of a word, for each value of the language column. Spark counts it
 words by language first, combined per task, then the n-grams of distinct words with the words' counts.
 Continuation counts, counts of counts and the sums of each context are aggregations of those.
 
-An n-gram is known by a hash cut to ``SLOT_BITS`` bits, language included, so the model has at most
-``ORDER * 2^SLOT_BITS`` counts and contexts whatever the corpus holds; that is what bounds its
-broadcast. It is a set of sorted arrays of such hashes with their values, looked up by bisection; each
-task scores a distinct word once as long as its bounded cache holds it.
+An n-gram is known by its order and 60 bits of a hash, language included, so different n-grams are not
+added up, and the model grows with the corpus. Up to ``MODEL_ENTRIES`` counts and contexts it is broadcast as
+sorted arrays of such hashes with their values, looked up by bisection; each task scores a distinct word
+once as long as its bounded cache holds it. A larger model stays a table: the probability of each n-gram,
+then of each word, then of each document, are joins.
 
 A language's band is the median of the log perplexity of all its documents that pass the base rules,
 give or take ``WIDTH`` times the median distance from it, widened by ``SHORT / sqrt(characters)``,
@@ -23,17 +24,20 @@ occur; null keys are kept; an empty table gives an empty result. Other columns p
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from opinara.llm import kernels, tokens
-from opinara.llm.frames import map_batches, materialize, text_of
+from opinara.llm.frames import map_batches, materialize, store, text_of
 
-ORDER, SLOT_BITS = 4, 21
+ORDER, SLOT_BITS = 4, 60
+MODEL_ENTRIES = 1 << 21
 WIDTH, SHORT, LEAST_WIDTH, BINS = 6.0, 2.0, 0.08, 100
 COUNTED_WORDS, CACHED_WORDS, PIECE_ROWS, MAX_LANGUAGES = 200_000, 800_000, 500, 4096
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
@@ -155,8 +159,36 @@ class Model:
         return np.bincount(found.owner, logs, len(words))
 
 
-def fit(docs: DataFrame, order: int = ORDER, bits: int = SLOT_BITS) -> Model:
-    """Count the model over ``doc_id, text, lang``; what reaches the driver is bounded by the slots."""
+@dataclass
+class Counts:
+    """The model as tables: ``n, slot, a`` and ``n, context, sum, n1, n2, n3``; the n-grams they come from."""
+
+    order: int
+    bits: int
+    grams: DataFrame
+    adjusted: DataFrame
+    contexts: DataFrame
+    discounts: np.ndarray
+    letters: int
+
+    def entries(self) -> int:
+        return self.adjusted.count() + self.contexts.count()
+
+    def model(self) -> Model:
+        """All of it on the driver."""
+        counts = self.adjusted.select("slot", "a").toArrow().to_pandas().sort_values("slot")
+        known = self.contexts.toArrow().to_pandas().sort_values("context")
+        sums = known["sum"].to_numpy(np.float64)
+        own = self.discounts[known["n"].to_numpy(np.int64)]
+        left = sum(own[:, k] * known[f"n{k}"].to_numpy() for k in (1, 2, 3)) / np.maximum(sums, 1)
+        return Model(
+            self.order, self.bits, counts["slot"].to_numpy(np.int64), counts["a"].to_numpy(np.float64),
+            known["context"].to_numpy(np.int64), sums, left, self.discounts, 1.0 / (self.letters + 1),
+        )
+
+
+def count(docs: DataFrame, order: int = ORDER, bits: int = SLOT_BITS) -> Counts:
+    """Count the model over ``doc_id, text, lang``."""
     grams = materialize(gram_counts(word_counts(docs), order, bits))
     whole = grams.filter((F.col("n") == order) | F.col("opens")).select("n", "slot", F.col("count").alias("a"))
     continued = grams.filter("n > 1").select((F.col("n") - 1).alias("n"), F.col("shorter").alias("slot"), F.lit(1).alias("a"))
@@ -164,20 +196,63 @@ def fit(docs: DataFrame, order: int = ORDER, bits: int = SLOT_BITS) -> Model:
     pairs = grams.select("n", "slot", "context").distinct().join(adjusted, ["n", "slot"])
     times = [F.count(F.when(F.col("a") == k, 1)).alias(f"n{k}") for k in (1, 2)]
     contexts = pairs.groupBy("n", "context").agg(F.sum("a").alias("sum"), *times, F.count(F.when(F.col("a") > 2, 1)).alias("n3"))
-    of_counts = {row.n: row for row in adjusted.groupBy("n").agg(*[F.count(F.when(F.col("a") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).collect()}
+    of_counts = {row.n: row for row in adjusted.groupBy("n").agg(F.count(F.lit(1)).alias("all"), *[F.count(F.when(F.col("a") == k, 1)).alias(f"n{k}") for k in (1, 2, 3, 4)]).collect()}
     discounts = np.zeros((order + 1, 4))
     for n, row in of_counts.items():
         discounts[n] = _discounts([row.n1, row.n2, row.n3, row.n4])
-    counts = adjusted.select("slot", "a").toArrow().to_pandas().sort_values("slot")
-    known = contexts.toArrow().to_pandas().sort_values("context")
-    sums = known["sum"].to_numpy(np.float64)
-    own = discounts[known["n"].to_numpy(np.int64)]
-    left = sum(own[:, k] * known[f"n{k}"].to_numpy() for k in (1, 2, 3)) / np.maximum(sums, 1)
-    alphabet = int((counts["slot"].to_numpy() >> bits == 1).sum()) + 1
-    return Model(
-        order, bits, counts["slot"].to_numpy(np.int64), counts["a"].to_numpy(np.float64),
-        known["context"].to_numpy(np.int64), sums, left, discounts, 1.0 / alphabet,
-    )
+    return Counts(order, bits, grams, adjusted, materialize(contexts), discounts, of_counts[1].all if 1 in of_counts else 0)
+
+
+def fit(docs: DataFrame, order: int = ORDER, bits: int = SLOT_BITS) -> Model:
+    """The model as arrays; for tables whose n-grams fit the driver."""
+    return count(docs, order, bits).model()
+
+
+def gram_scores(counts: Counts) -> DataFrame:
+    """``slot, log_p`` of every n-gram that a place of a word is scored by: the longest that ends there."""
+    shorter, found = None, []
+    for n in range(1, counts.order + 1):
+        own = counts.discounts[n].tolist()
+        cut = F.when(F.col("a") > 2, own[3]).when(F.col("a") == 2, own[2]).when(F.col("a") == 1, own[1]).otherwise(own[0])
+        kept = F.greatest(F.col("a") - cut, F.lit(0.0)) / F.col("sum")
+        left = sum((F.col(f"n{k}") * own[k] for k in (1, 2, 3)), F.lit(0.0)) / F.col("sum")
+        level = counts.grams.filter(F.col("n") == n).select("slot", "context", "shorter", "opens").dropDuplicates(["slot"])
+        level = level.join(counts.adjusted.filter(F.col("n") == n).select("slot", "a"), "slot")
+        level = level.join(counts.contexts.filter(F.col("n") == n).drop("n"), "context")
+        below = F.lit(1.0 / (counts.letters + 1))
+        if shorter is not None:
+            level = level.join(shorter.select(F.col("slot").alias("shorter"), F.col("p").alias("below")), "shorter")
+            below = F.col("below")
+        shorter = materialize(level.select("slot", "opens", (kept + left * below).alias("p")))
+        found.append(shorter if n == counts.order else shorter.filter("opens"))
+    scores = found[0]
+    for level in found[1:]:
+        scores = scores.union(level)
+    return scores.select("slot", F.log(F.least(F.greatest("p", F.lit(1e-12)), F.lit(1.0))).alias("log_p"))
+
+
+def word_scores(words: DataFrame, counts: Counts) -> DataFrame:
+    """``lang, word, score``: what :meth:`Model.log_probability` gives, by joins."""
+    order, bits = counts.order, counts.bits
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            langs, names = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            found = kernels.word_grams(names, language_hash(langs), order)
+            longest = np.minimum(found.step + 1, order)
+            slot = np.zeros(len(longest), np.int64)
+            for n in range(1, order + 1):
+                at = longest == n
+                slot[at] = slots(found.hashes[n][at], n, bits)
+            inner = found.step > 0
+            ends = np.concatenate([[0], np.cumsum(np.bincount(found.owner[inner], minlength=len(names)))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(slot[inner]))], ["lang", "word", "slots"])
+
+    places = map_batches(words.select("lang", "word"), run, "lang string, word string, slots array<long>")
+    places = places.select("lang", "word", F.explode("slots").alias("slot"))
+    return places.join(gram_scores(counts), "slot").groupBy("lang", "word").agg(F.sum("log_p").alias("score"))
 
 
 def _discounts(n: list[int]) -> list[float]:
@@ -254,6 +329,34 @@ def measured(docs: DataFrame, model: Model) -> DataFrame:
     return map_batches(docs, run, MEASURED)
 
 
+def measured_by_joins(docs: DataFrame, counts: Counts) -> DataFrame:
+    """Like :func:`measured`, for a model that is too large for a broadcast."""
+    names = [c.split()[0] for c in MEASURED.split(", ")][:-1]
+    schema = "row long, " + MEASURED.rsplit(", ", 1)[0] + ", words array<string>, times array<long>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for start in range(0, batch.num_rows, PIECE_ROWS):
+                piece = batch.slice(start, PIECE_ROWS)
+                out, held = [], []
+                for text in piece.column(1).to_pylist():
+                    words = WORD.findall(text)
+                    out.append((len(words), *base_counts(text, words)))
+                    held.append(Counter(words))
+                columns = [piece.column(0), piece.column(2), *(pa.array(c, pa.int64()) for c in zip(*out))]
+                lists = [pa.array([list(h) for h in held], pa.list_(pa.string())), pa.array([list(h.values()) for h in held], pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + len(out))), *columns, *lists], ["row", *names, "words", "times"])
+                row += len(out)
+
+    rows = store(map_batches(docs, run, schema), "words")  # the numbers of rows hold in one run only
+    each = rows.select("row", "lang", F.inline(F.arrays_zip(F.col("words").alias("word"), "times")))
+    each = each.join(word_scores(word_counts(docs), counts), ["lang", "word"])
+    totals = each.groupBy("row").agg(F.sum(F.col("score") * F.col("times")).alias("total"))
+    mean = -F.col("total") / (F.col("word_chars") + F.col("n_words"))
+    return rows.drop("words", "times").join(totals, "row", "left").select(*names, mean.alias("log_perplexity"))
+
+
 def median_bin(counts: DataFrame, value: str) -> DataFrame:
     """``lang`` and the median of ``value`` (whole numbers) weighted by ``n``; few distinct values each."""
     running = Window.partitionBy("lang").orderBy(value)
@@ -279,7 +382,9 @@ def apply_rules(
     """One row per document: base counts, ``base_failed, kept, log_perplexity, low, high``."""
     rows = documents_by_language(docs, key, text, lang)
     failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT)
-    scored = materialize(measured(rows, fit(rows, order)).withColumn("base_failed", failed))
+    counts = count(rows, order)
+    scored = measured(rows, counts.model()) if counts.entries() <= MODEL_ENTRIES else measured_by_joins(rows, counts)
+    scored = materialize(scored.withColumn("base_failed", failed))
     limits = materialize(bands(scored, width).withColumnRenamed("lang", "of"))
     if limits.count() <= MAX_LANGUAGES:  # a row per language; documents of one language are too many for a task
         limits = F.broadcast(limits)

@@ -119,3 +119,23 @@ def test_odd_rows(spark):
     got = sorted((r.doc_id or -1, r.n_words, r.base_failed, r.kept) for r in quality.apply_rules(docs).collect())
     assert got == [(-1, 11, False, True), (1, 0, True, False), (2, 0, True, False), (3, 0, True, False), (3, 0, True, False)]
     assert quality.apply_rules(docs.limit(0)).count() == 0
+
+
+def test_different_grams_keep_their_own_counts():
+    """Cut to 21 bits, 200,000 hashes fell into some 190,000 slots."""
+    import numpy as np
+
+    hashes = quality.kernels.mix(np.arange(200_000, dtype=np.uint64))
+    for n in range(quality.ORDER + 1):
+        assert len(np.unique(quality.slots(hashes, n, quality.SLOT_BITS))) == 200_000
+
+
+def test_a_model_too_large_to_send_gives_the_same(spark, small_dir, monkeypatch):
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").select("doc_id", "text", "lang")
+    docs = docs.union(docs.limit(5)).union(spark.createDataFrame([(None, None, None), (-1, "", "en")], docs.schema))
+    rows = lambda: sorted(map(tuple, quality.apply_rules(docs).collect()), key=lambda r: (r[0] or 0, str(r[:8])))
+    sent = rows()
+    monkeypatch.setattr(quality, "MODEL_ENTRIES", 0)
+    joined = rows()
+    assert [r[:8] for r in joined] == [r[:8] for r in sent]
+    assert [r[8] for r in joined if r[8] is not None] == pytest.approx([r[8] for r in sent if r[8] is not None], rel=1e-9)
