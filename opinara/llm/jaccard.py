@@ -8,7 +8,9 @@ per part (a hash of the part's grams) brings every linked pair together. Parts h
 grams of a set are thin: they match by chance and get no signature, which loses nothing for a set
 with at most e thin parts, because an agreed part is thin on both sides. A set with more thin parts
 signs those too, so two such sets still meet there. Sets sign in their own band and the next, since
-a partner may lie one band higher.
+a partner may lie one band higher. Sets of ``LARGE`` elements or more get as many parts again, all of which
+are signed unless empty: linked ones then agree on many, and each leaves out its most common
+signatures but for one of so many, so that passages which many texts hold bring no unlike texts together.
 
 Equal sets are one node from the start. Pairs that share a signature are not listed at first: every node
 is held against one hub it shares a signature with, links contract into components, and only nodes
@@ -36,6 +38,7 @@ from opinara.llm.components import components
 from opinara.llm.frames import documents_of, map_batches, materialize, small_batches, store
 
 SHINGLE_WORDS, PERCENT, THIN = 4, 85, 2
+LARGE = 1024  # shingles: from here on more and smaller parts, so that the most common signatures can go
 LONG_WORD = 64  # bytes
 GRAM_STEP = 1 << 18  # shingles of a text hashed at a time
 SEEN_NODES = 1 << 19  # nodes a task remembers so as not to sign a copy twice
@@ -43,7 +46,7 @@ SEEN_NODES = 1 << 19  # nodes a task remembers so as not to sign a copy twice
 PARITY, WIDE = 16, 64
 PARITIES = [f"p{i}" for i in range(PARITY)]
 BITS_SCHEMA = ", ".join(f"{p} long" for p in PARITIES) + ", wide array<long>"
-SETS_SCHEMA = f"doc_id long, n_shingles long, node long, other long, {BITS_SCHEMA}"
+SETS_SCHEMA = f"doc_id long, n_shingles long, node long, other long, even int, odd int, {BITS_SCHEMA}"
 SIGNED_SCHEMA = "signature long, node long"
 
 
@@ -109,41 +112,61 @@ def difference(largest: int, percent: int = PERCENT) -> int:
     return 2 * largest * (100 - percent) // (100 + percent)
 
 
+def parted(grams: np.ndarray, tag: int, largest: int, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Salted grams, the part of each, which parts are thin, and how many of these are allowed for."""
+    k = difference(largest, percent)
+    spare, least = (3 + k, 1) if largest >= LARGE else (3 + k // 7, THIN)
+    salted = kernels.mix(grams + kernels.mix(np.array([tag], np.uint64)))
+    part = (salted % np.uint64(k + 1 + spare)).astype(np.int64)
+    return salted, part, np.bincount(part, minlength=k + 1 + spare) < least, spare
+
+
 def signatures(grams: np.ndarray, ends: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The set's signatures in its own band and the next."""
+    """The set's signatures in its own band and the next; the last bit is that of the band's number."""
     band = int(np.searchsorted(ends, len(grams)))
     out = []
     for tag in (band, band + 1):
-        k = difference(int(ends[tag]), percent)
-        if k == 0:
+        if difference(int(ends[tag]), percent) == 0:
             continue  # only equal sets are similar, and those are one node
-        spare = 3 + k // 7
-        count = k + 1 + spare
-        salted = kernels.mix(grams + kernels.mix(np.array([tag], np.uint64)))
-        part = (salted % np.uint64(count)).astype(np.int64)
-        held = np.bincount(part, minlength=count)
-        sums = np.zeros(count, np.uint64)
+        salted, part, thin, spare = parted(grams, tag, int(ends[tag]), percent)
+        sums = np.zeros(len(thin), np.uint64)
         np.add.at(sums, part, kernels.mix(salted))
-        label = np.arange(count, dtype=np.uint64) + np.uint64(tag) * np.uint64(1 << 40)
-        marks = kernels.mix(sums + kernels.mix(label))
-        thin = held < THIN
+        label = np.arange(len(thin), dtype=np.uint64) + np.uint64(tag) * np.uint64(1 << 40)
+        marks = kernels.mix(sums + kernels.mix(label)) & ~np.uint64(1) | np.uint64(tag & 1)
         out.append(marks if thin.sum() > spare else marks[~thin])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def documents_sets(docs: DataFrame, size: int, seed: int) -> DataFrame:
+def dispensable(grams: np.ndarray, ends: np.ndarray, percent: int = PERCENT) -> tuple[int, int]:
+    """How many of its most common signatures the set can do without, in the band of even and of odd number.
+
+    Linked sets agree on ``1 + e`` parts or more. In a set with fewer than ``e`` thin parts, the others of these
+    are signed on both sides.
+    """
+    band = int(np.searchsorted(ends, len(grams)))
+    out = [0, 0]
+    for tag in (band, band + 1):
+        *_, thin, spare = parted(grams, tag, int(ends[tag]), percent)
+        out[tag & 1] = max(spare - int(thin.sum()), 0)
+    return out[0], out[1]
+
+
+def documents_sets(docs: DataFrame, size: int, percent: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends = bands(percent)
         for batch in batches:
             counts = np.zeros(batch.num_rows, np.int64)
             names = np.zeros((2, batch.num_rows), np.int64)
+            free = np.zeros((2, batch.num_rows), np.int32)
             few, wide = (np.zeros((batch.num_rows, longs), np.int64) for longs in (PARITY, WIDE))
             for slab in kernels.slabs(batch.column(1)):
                 for row, grams in shingle_sets(slab, size, seed):
                     counts[slab.first + row] = len(grams)
                     names[:, slab.first + row] = node_of(grams)
+                    free[:, slab.first + row] = dispensable(grams, ends, percent)
                     few[slab.first + row], wide[slab.first + row] = parity(grams, PARITY), parity(grams, WIDE)
-            columns = [batch.column(0), *map(pa.array, (counts, *names, *few.T)), lists(wide)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "other", *PARITIES, "wide"])
+            columns = [batch.column(0), *map(pa.array, (counts, *names, *free, *few.T)), lists(wide)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "other", "even", "odd", *PARITIES, "wide"])
 
     return map_batches(docs, run, SETS_SCHEMA)
 
@@ -264,7 +287,7 @@ def join_components(
     small_batches(docs.sparkSession)
     rows, seed = documents_of(docs, key, text), 0
     while True:
-        named = store(documents_sets(rows, size, seed), "sets")
+        named = store(documents_sets(rows, size, percent, seed), "sets")
         nodes = named.filter("n_shingles > 0").groupBy("node").agg(
             F.min("doc_id").alias("first"), F.min("other").alias("low"), F.max("other").alias("high")
         )
@@ -273,14 +296,14 @@ def join_components(
             break
         seed += 1  # two different sets met under one 64-bit name
     shared = store(shared_signatures(signed_nodes(rows, size, percent, seed)), "signatures")
+    shared = store(_rare(shared, named.filter("n_shingles > 0").select("node", "even", "odd").distinct()), "rare")
     unique = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
     bits = named.filter("n_shingles > 0").select("node", F.col("n_shingles").alias("n"), *PARITIES, "wide").dropDuplicates(["node"])
     bits = store(bits.join(shared.select("node").distinct(), "node", "left_semi"), "bits")
 
     # Everyone against the hub that shares the most signatures with others: the original of a group
     # of edited copies holds nearly all their signatures, each copy only some.
-    sizes = shared.groupBy("signature").agg(F.count(F.lit(1)).alias("n"))
-    weights = shared.join(store(sizes, "sizes"), "signature").groupBy("node").agg(F.sum("n").alias("weight"))
+    weights = shared.groupBy("node").agg(F.sum("n").alias("weight"))
     placed = shared.select("signature", "node").join(weights, "node")
     hubs = placed.groupBy("signature").agg(F.max(F.struct("weight", "node")).alias("hub"))
     offers = placed.join(store(hubs, "hubs"), "signature").filter(F.col("node") != F.col("hub.node"))
@@ -306,6 +329,20 @@ def join_components(
     )
 
 
+def _rare(shared: DataFrame, free: DataFrame) -> DataFrame:
+    """``signature, node, n`` without the most common signatures that nodes can do without; n: nodes that share it.
+
+    Linked nodes share at least one signature more than either can do without. Of those they share, all
+    but the rarest are more common than it, so neither leaves that one out. Ties go by signature, the same for all nodes.
+    """
+    sizes = store(shared.groupBy("signature").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    rows = shared.select("signature", "node").join(sizes, "signature").join(free, "node")
+    odd = F.col("signature").bitwiseAND(F.lit(1)) == 1
+    order = Window.partitionBy("node", odd).orderBy(F.desc("n"), F.desc("signature"))
+    rows = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") > F.when(odd, F.col("odd")).otherwise(F.col("even")))
+    return rows.select("signature", "node", "n")
+
+
 def _across(shared: DataFrame, found: DataFrame) -> DataFrame:
     """``signature, node, component`` of the signatures whose nodes lie in several components."""
     placed = shared.select("signature", "node").join(found, "node", "left")
@@ -331,7 +368,8 @@ def _all_pairs(left: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     one, two = (rows.select("signature", *(F.col(c).alias(side + c) for c in rows.columns if c != "signature")) for side in "ab")
     turned = sum((F.bit_count(F.col("a" + p).bitwiseXOR(F.col("b" + p))) for p in PARITIES), F.lit(0))
     allowed = (F.col("an") + F.col("bn")) * (100 - percent)
-    close = (F.col("anode") < F.col("bnode")) & (F.col("acomponent") != F.col("bcomponent")) & (turned * (100 + percent) <= allowed)
+    apart = F.greatest(turned, F.abs(F.col("an") - F.col("bn")))
+    close = (F.col("anode") < F.col("bnode")) & (F.col("acomponent") != F.col("bcomponent")) & (apart * (100 + percent) <= allowed)
     one, two = one.withColumnRenamed("signature", "of_a"), two.withColumnRenamed("signature", "of_b")
     met = one.join(two, (F.col("of_a") == F.col("of_b")) & close)
     return met.select(F.col("anode").alias("a"), F.col("bnode").alias("b")).distinct()

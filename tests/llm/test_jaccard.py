@@ -188,3 +188,43 @@ def test_a_stored_table_leaves_no_shuffle_files(spark):
         time.sleep(0.1)
     assert count() <= old and stored.count() == 1000
     assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+
+
+@pytest.mark.parametrize("size, percent", [(4, 85), (5, 80)])
+def test_long_texts_that_share_a_passage_are_no_pairs(spark, monkeypatch, size, percent):
+    """Sets of this size turn so many of the few bits that these allow any pair."""
+    dice = random.Random(size)
+    passage = [f"p{i}" for i in range(400)]
+    texts = [passage + [f"w{k}x{dice.randrange(10**9)}" for _ in range(3200)] for k in range(30)]
+    texts += [[w if dice.random() > 0.01 else f"new{dice.randrange(10**9)}" for w in text] for text in texts[:6]]
+    rows = [(i, " ".join(text)) for i, text in enumerate(texts)]
+    seen = []
+
+    def counted(left, bits, percent, all_pairs=jaccard._all_pairs):
+        pairs = all_pairs(left, bits, percent)
+        seen.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_all_pairs", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = result(jaccard.join_components(docs, size=size, percent=percent))
+    assert found == brute_force(rows, percent, size)
+    assert sum(c != i for i, (_, c) in found.items()) == 6
+    assert seen[0] <= 6
+
+
+@pytest.mark.parametrize("percent", [85, 80])
+def test_linked_sets_share_more_signatures_than_either_can_do_without(percent):
+    dice, ends = np.random.default_rng(percent), jaccard.bands(percent)
+    for n in (60, 700, 1100, 3000, 5000):
+        for _ in range(10):
+            base = dice.integers(0, 1 << 63, n).astype(np.uint64)
+            gone = int(dice.integers(0, jaccard.difference(n, percent) // 2))
+            new = dice.integers(0, 1 << 63, gone).astype(np.uint64)
+            other = np.concatenate([base[gone:], new])
+            assert 100 * (n - gone) >= percent * (n + gone)
+            one, two = (set(jaccard.signatures(x, ends, percent).tolist()) for x in (base, other))
+            bands = {int(np.searchsorted(ends, len(x))) for x in (base, other)}
+            for tag in range(max(bands), min(bands) + 2):  # both sign in these
+                common = sum(s & 1 == tag & 1 for s in one & two)
+                assert common > max(jaccard.dispensable(x, ends, percent)[tag & 1] for x in (base, other))
