@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -42,8 +43,7 @@ WIDTH, SHORT, LEAST_WIDTH, BINS = 6.0, 2.0, 0.08, 100
 COUNTED_WORDS, CACHED_WORDS, PIECE_ROWS, MAX_LANGUAGES = 200_000, 800_000, 500, 4096
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SYMBOLS = "#*$%&|<>"
-SPACES = " \t\n\x0b\x0c\r"
+SYMBOLS = [bytes([symbol]) for symbol in b"#*$%&|<>"]
 NO_LANGUAGE = "\0"
 
 
@@ -266,25 +266,33 @@ def _discounts(n: list[int]) -> list[float]:
 
 def base_counts(text: str, words: list[str]) -> tuple[int, int, int, int]:
     """``word_chars, n_symbols, n_dup_lines, n_repeat_words``."""
-    seen: set[str] = set()
+    return byte_counts(text.encode(), [word.encode() for word in words], len(text))
+
+
+def byte_counts(text: bytes, words: list[bytes], chars: int) -> tuple[int, int, int, int]:
+    """The same of a text of ``chars`` code points in UTF-8; blanks are single bytes."""
+    seen: set[bytes] = set()
     doubled = 0
-    for line in text.split("\n"):
+    for line in text.split(b"\n"):
         if line in seen:
             doubled += 1
-        elif line.strip(SPACES):
+        elif not line.isspace() and line:
             seen.add(line)
-    return sum(map(len, words)), sum(map(text.count, SYMBOLS)), doubled, repeated_words(words)
+    blanks = len(text) - sum(map(len, words))
+    return chars - blanks, sum(map(text.count, SYMBOLS)), doubled, repeated_words(words)
 
 
-def repeated_words(words: list[str]) -> int:
+def repeated_words(words: list[bytes]) -> int:
     """Words in windows of five that the text holds twice or more, the first time included."""
     if len(words) <= WINDOW:
         return 0
     hashes = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
-    _, inverse, counts = np.unique(kernels.grams(kernels.mix(hashes), WINDOW), return_inverse=True, return_counts=True)
-    again = counts[inverse] > 1
-    if not again.any():
+    windows = kernels.grams(kernels.mix(hashes), WINDOW)
+    ordered = np.sort(windows)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
         return 0
+    again = np.isin(windows, twice)
     edges = np.zeros(len(words) + 1, np.int64)
     edges[: len(again)] += again
     edges[WINDOW : WINDOW + len(again)] -= again
@@ -294,7 +302,7 @@ def repeated_words(words: list[str]) -> int:
 MEASURED = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_perplexity double"
 
 
-def _learn(known: dict[str, dict[str, float]], words: list[list[str]], langs: list[str], model: Model) -> None:
+def _learn(known: dict[str, dict[bytes, float]], words: list[list[bytes]], langs: list[str], model: Model) -> None:
     """Score the words of some documents that are not known yet, all of a language at once."""
     if sum(map(len, known.values())) > CACHED_WORDS:
         known.clear()
@@ -302,7 +310,7 @@ def _learn(known: dict[str, dict[str, float]], words: list[list[str]], langs: li
         scores = known.setdefault(lang, {})
         new = list(set().union(*(w for w, own in zip(words, langs) if own == lang)) - scores.keys())
         if new:
-            scores.update(zip(new, model.log_probability(new, lang).tolist()))
+            scores.update(zip(new, model.log_probability([word.decode() for word in new], lang).tolist()))
 
 
 def measured(docs: DataFrame, model: Model) -> DataFrame:
@@ -310,16 +318,17 @@ def measured(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, dict[str, float]] = {}
+        known: dict[str, dict[bytes, float]] = {}
         for batch in batches:
             for start in range(0, batch.num_rows, PIECE_ROWS):
                 piece = batch.slice(start, PIECE_ROWS)
-                texts, langs = piece.column(1).to_pylist(), piece.column(2).to_pylist()
-                words = [WORD.findall(text) for text in texts]
+                texts, langs = piece.column(1).cast(pa.binary()).to_pylist(), piece.column(2).to_pylist()
+                lengths = pc.utf8_length(piece.column(1)).to_pylist()
+                words = [text.split() for text in texts]  # of bytes, only the blanks of ``WORD`` part words
                 _learn(known, words, langs, shared.value)
                 out = []
-                for text, lang, found in zip(texts, langs, words):
-                    counts = base_counts(text, found)
+                for text, length, lang, found in zip(texts, lengths, langs, words):
+                    counts = byte_counts(text, found, length)
                     total = sum(map(known[lang].__getitem__, found))
                     out.append((len(found), *counts, -total / (counts[0] + len(found)) if found else None))
                 kinds = [*[pa.int64()] * 5, pa.float64()]

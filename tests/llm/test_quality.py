@@ -139,3 +139,12 @@ def test_a_model_too_large_to_send_gives_the_same(spark, small_dir, monkeypatch)
     joined = rows()
     assert [r[:8] for r in joined] == [r[:8] for r in sent]
     assert [r[8] for r in joined if r[8] is not None] == pytest.approx([r[8] for r in sent if r[8] is not None], rel=1e-9)
+
+
+def test_words_of_bytes_part_at_the_blanks_of_the_rules_only():
+    dice = random.Random(7)
+    letters = "ab#|\x1c\x1d\x1e\x1f\x85\xa0 　é€😀" + " \t\n\x0b\x0c\r" * 2
+    for _ in range(500):
+        text = "".join(dice.choices(letters, k=dice.randrange(60)))
+        data = text.encode()
+        assert (len(data.split()), *quality.byte_counts(data, data.split(), len(text))) == base(text)
