@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from opinara.llm import tokens
-from opinara.llm.frames import map_batches, store, text_of
+from opinara.llm.frames import map_batches, small_batches, store, text_of
 
 FOLDS, HELD_OUT = 7, 2
 HEAD, OWN, TAILS = 1 << 18, 1023, 1024
@@ -514,6 +514,7 @@ def class_scores(found: DataFrame, model: Model) -> DataFrame:
 
 def score_documents(docs: DataFrame, key="doc_id", text="text", head: int = HEAD, own: int = OWN, tails: int = TAILS) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row."""
+    small_batches(docs.sparkSession)
     rows = documents(docs, key, text)
     model, found, rare = fit(rows, head, own, tails)
     # A token with a count adds its log to both scores; one without adds log 1.

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from opinara.llm import lm_scoring, tokens
+from opinara.llm import frames, lm_scoring, tokens
 from opinara.llm.frames import table
 
 SCHEMA = "doc_id long, text string"
@@ -154,3 +154,15 @@ def test_model_beats_counts_on_held_out_texts(spark, small_dir):
     found = lm_scoring.score_documents(table(spark, "/root/testdata/sf0.01", "documents"))
     sums = found.filter("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base"), F.sum("n_tokens").alias("n")).first()
     assert sums.score / sums.n > sums.base / sums.n + 0.1
+
+
+def test_tasks_get_small_batches(spark):
+    """Spark's own 64 MB are held several times over in each task."""
+    before = spark.conf.get(frames.BATCH_KEY)
+    spark.conf.unset(frames.BATCH_KEY)
+    try:
+        docs = spark.createDataFrame([(k, "a b c") for k in range(9)], "doc_id long, text string")
+        assert lm_scoring.score_documents(docs).count() == 9
+        assert spark.conf.get(frames.BATCH_KEY) == frames.BATCH_BYTES
+    finally:
+        spark.conf.set(frames.BATCH_KEY, before)
