@@ -1,10 +1,15 @@
+import shutil
 import threading
+from pathlib import Path
 
 import pytest
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, SQLTransformer
 from pyspark.sql import functions as F
 
+from oracle_check import compare, connect
+from opinara.catalog.oracles import ORACLES
+from opinara.catalog.queries import QUERIES
 from opinara.catalog.tables import KEY, with_tokens
 from opinara.operators import metrics
 from opinara.operators.runs import METRICS, RUNS_SCHEMA, log_entries, logged_runs, put_log, read_log, valid_runs
@@ -157,6 +162,17 @@ def test_naive_bayes_in_closed_form_equals_the_estimator(small_reviews):
     assert rows == small_reviews.count() and difference < 1e-9
 
 
+@pytest.mark.parametrize("label", [0.0, 1.0])
+def test_naive_bayes_of_one_class_equals_the_closed_form(spark, small_reviews, label):
+    rows = small_reviews.withColumn("label", F.lit(label))
+    model = full_pipeline("count_vectorizer", "naive_bayes", SETTINGS).fit(rows)
+    docs = with_tokens(rows)
+    wanted = score_with_weights(docs, naive_bayes_margin(naive_bayes_weights(docs, settings=SETTINGS)), KEY)
+    for fitted in (model, load_model(save_model(model, fresh_path(spark, "test-model")))):
+        count, difference = joined_difference(score(fitted, rows, KEY), wanted)
+        assert count == rows.count() and difference < 1e-9
+
+
 def test_saved_model_predicts_the_same(spark, small_reviews, logistic):
     path = save_model(logistic, fresh_path(spark, "test-model"))
     save_model(logistic, path)  # overwrites
@@ -209,6 +225,41 @@ def test_scaling_study(spark, small_reviews):
     assert summary.peak_throughput == max(r.throughput or 0 for r in rows.values())
 
 
+@pytest.mark.parametrize("name", ["scaling_nb", "scaling_summary"])
+def test_a_failed_fraction_is_no_result(spark, small_dir, monkeypatch, name):
+    """Small samples have no vocabulary, which is a result; then a job of the fourth fails, which is none."""
+    fits, real = [], studies.full_pipeline
+
+    def failing(*given):
+        fits.append(given)
+        broken = [SQLTransformer(statement="SELECT * FROM __THIS__ WHERE raise_error('job given up') IS NULL")]
+        return Pipeline(stages=broken * (len(fits) == 4) + real(*given).getStages())
+
+    monkeypatch.setattr(studies, "full_pipeline", failing)
+    with pytest.raises(studies.FAILURES, match="job given up"):
+        QUERIES[name](spark, small_dir)
+    assert len(fits) == 4
+
+
+@pytest.mark.parametrize("quality", [0, 1])
+def test_scaling_nb_of_one_class_equals_sql(spark, small_dir, tmp_path, quality):
+    folder = tmp_path / "one-class"
+    folder.mkdir()
+    shutil.copy(f"{small_dir}/documents.parquet", folder)
+    labels = spark.read.parquet(f"{small_dir}/labels.parquet").withColumn("quality", F.lit(quality))
+    labels.write.parquet(str(tmp_path / "labels"))
+    shutil.copy(next(Path(tmp_path / "labels").glob("*.parquet")), folder / "labels.parquet")
+    assert compare(QUERIES["scaling_nb"](spark, str(folder)), connect(folder), ORACLES["scaling_nb"]) == []
+
+
+def test_nothing_tested_has_no_accuracy(spark, small_reviews):
+    study = studies.scaling_study(
+        spark, small_reviews, small_reviews.limit(0), KEY, (1.0,), "naive_bayes", settings=SETTINGS
+    ).first()
+    assert study.n_rows == small_reviews.count() and study.training_time > 0
+    assert study.accuracy is None and study.error is None
+
+
 NAIVE = [
     studies.RunSpec("naive_bayes", features, FeatureSettings(size, 3))
     for features, size in (("count_vectorizer", 500), ("count_vectorizer", 40), ("ngram_cv", 500), ("tfidf", 300))
